@@ -17,13 +17,15 @@ from ..operators import offsets as O
 from ..operators import progress as P
 from ..operators import release as R
 from ..operators import watermark as W
+from ..session import materialize
 from ..sources.log import DEFAULT_BATCH_SIZE
 
 
 class Replay:
     def __init__(self, log: DataFrame, topics: Iterable[Any] | None = None,
                  as_of_ms: int | None = None, batch_size: int | None = None,
-                 ranges: DataFrame | None = None, bounded: bool = True):
+                 ranges: DataFrame | None = None, bounded: bool = True,
+                 materialized: bool = True):
         if ranges is None and topics is None:
             raise ValueError("give topics (with policies) or resolved ranges")
         self.log = log
@@ -33,12 +35,13 @@ class Replay:
         self.batch_size = int(batch_size or DEFAULT_BATCH_SIZE)
         self._ranges = ranges
         self.bounded = bounded
+        self._keep = materialize if materialized else (lambda df: df)
 
     @cached_property
     def ranges(self) -> DataFrame:
         if self._ranges is not None:
             return self._ranges
-        return O.resolve_offsets(self.log, self.topics, self.as_of_ms)
+        return self._keep(O.resolve_offsets(self.log, self.topics, self.as_of_ms))
 
     @cached_property
     def slice(self) -> DataFrame:
@@ -47,7 +50,7 @@ class Replay:
     @cached_property
     def messages(self) -> DataFrame:
         """Consumed messages (in range, with a timestamp)."""
-        return W.consumed_messages(self.slice)
+        return self._keep(W.consumed_messages(self.slice))
 
     @cached_property
     def events(self) -> DataFrame:
@@ -59,12 +62,12 @@ class Replay:
 
     @cached_property
     def limits(self) -> DataFrame:
-        return W.release_limits(self.spark, self.events, self.ranges, self.last_epoch)
+        return self._keep(W.release_limits(self.spark, self.events, self.ranges, self.last_epoch))
 
     @cached_property
     def released(self) -> DataFrame:
         """Every consumed message with its (uncapped) release poll."""
-        return R.release_epochs(self.messages, self.limits, self.last_epoch)
+        return self._keep(R.release_epochs(self.messages, self.limits, self.last_epoch))
 
     def partition_state(self, upto_epoch: int | None = None, as_timestamp: bool = True) -> DataFrame:
         return P.partition_state(self.released, self.ranges, upto_epoch, as_timestamp)

@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -63,3 +64,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and read it back (reliable
+    checkpoint: survives executor loss, cuts lineage). Used for tables that a
+    plan reads several times."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
