@@ -122,3 +122,19 @@ def flow_report(spark, events: DataFrame, limits: DataFrame, metrics: DataFrame,
         (F.col("held") > b * 5).alias("over_buffer"),
         F.lit(0).cast("long").alias("paused_partitions"),
     )
+
+
+# --- flow decisions on a partition-state table (B1, B2) -----------------------
+
+def partitions_ahead_of(state: DataFrame, low_water_mark: int) -> DataFrame:
+    """B1: partitions whose last timestamp is above the mark and that are not
+    paused (caught-up ones included; no timestamp, not included)."""
+    return state.filter((F.col("timestamp_ms") > F.lit(low_water_mark)) & ~F.col("is_paused")).select(*TP)
+
+
+def should_resume_of(state: DataFrame, held: int, batch_size: int) -> DataFrame:
+    """B2: one row, true when the buffer is below one batch or every unpaused
+    partition is caught up (vacuously true)."""
+    all_active_caught = F.coalesce(
+        F.bool_and(F.when(~F.col("is_paused"), F.col("is_caught_up"))), F.lit(True))
+    return state.agg((F.lit(held < batch_size) | all_active_caught).alias("should_resume"))

@@ -106,3 +106,22 @@ def consumption_state(msgs: DataFrame, ranges: DataFrame, upto_epoch: int | None
         F.when(F.col("_last").isNull(), F.col("replay_start_offset") >= F.col("replay_end_offset"))
         .otherwise(F.col("_last") + 1 >= F.col("replay_end_offset")).alias("is_caught_up"),
     )
+
+
+# --- the same rules on a partition-state table --------------------------------
+# A state table has one row per partition: topic, partition, timestamp_ms
+# (last consumed, nullable), is_caught_up, is_paused.
+
+def low_water_mark_of(state: DataFrame) -> DataFrame:
+    """A2 on a state table: one row, ``low_water_mark`` (null if none)."""
+    active = ~F.col("is_caught_up") & ~F.col("is_paused")
+    return state.agg(F.min(F.when(active, F.col("timestamp_ms"))).alias("low_water_mark"))
+
+
+def release_limit_of(state: DataFrame) -> DataFrame:
+    """A3 + A4 on a state table: one row with the mark, all-caught-up and limit."""
+    out = state.agg(
+        F.min(F.when(~F.col("is_caught_up") & ~F.col("is_paused"), F.col("timestamp_ms"))).alias("low_water_mark"),
+        ((F.count(F.lit(1)) > 0) & F.coalesce(F.bool_and("is_caught_up"), F.lit(False))).alias("all_caught_up"))
+    return out.withColumn("release_limit", F.when(F.col("all_caught_up"), F.lit(MAX_LIMIT))
+                          .otherwise(F.coalesce(F.col("low_water_mark"), F.lit(MAX_LIMIT))))
