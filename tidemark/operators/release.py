@@ -164,3 +164,49 @@ def late_messages(msgs_rel: DataFrame) -> DataFrame:
     prior = per.select("release_epoch", F.max("_mx").over(w).alias("prior_max_ts"))
     return (msgs_rel.join(prior, "release_epoch")
             .filter(F.col("timestamp_ms") < F.col("prior_max_ts")))
+
+
+def drain_tail(held: DataFrame, limit: int, batch_size: int, first_epoch: int) -> DataFrame:
+    """After the last arrival the buffer no longer changes, so the
+    remaining releasable rows leave in buffer order, ``batch_size`` per
+    poll, from ``first_epoch`` on. Rows above the limit stay held (null)."""
+    ok = held.filter(F.col("timestamp_ms") <= F.lit(limit))
+    ranked = sequence_number(ok, BUFFER_KEY, "_pos")
+    tail = ranked.withColumn("release_epoch", (F.lit(first_epoch) + F.floor(F.col("_pos") / batch_size)).cast("long")) \
+        .drop("_pos")
+    never = held.filter(~(F.col("timestamp_ms") <= F.lit(limit))).withColumn(
+        "release_epoch", F.lit(None).cast("long"))
+    return tail.unionByName(never)
+
+
+def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int) -> DataFrame:
+    """Exact rows of a capped release, poll by poll.
+
+    Limits do not depend on what was released, so they are computed once
+    (W1). Each poll is one small job: the buffer (held + arrivals) gives at
+    most ``batch_size`` rows (``TakeOrderedAndProject``), written to the
+    shared checkpoint folder; the rest is the next buffer, checkpointed to
+    cut lineage. After the last arrival the backlog drains set-based.
+    """
+    from ..session import materialize, scratch_path
+    from ..streaming.step import release_step, remaining
+
+    spark = msgs.sparkSession
+    lim = {r["epoch"]: r["release_limit"] for r in limits.select("epoch", "release_limit").collect()}
+    cols = msgs.columns
+    out_path = scratch_path(spark, "paced-release")
+    held = None
+    wrote = False
+    for e in range(e_end + 1):
+        new = msgs.filter(F.col("arrival_epoch") == e)
+        pool = new if held is None else held.unionByName(new)
+        batch = release_step(pool, lim[e], batch_size, e)
+        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={e}")
+        got = spark.read.parquet(f"{out_path}/epoch={e}")
+        wrote = True
+        held = materialize(remaining(pool, got).select(*cols))
+    if not wrote:
+        return msgs.withColumn("release_epoch", F.lit(None).cast("long"))
+    released = spark.read.parquet(out_path).drop("epoch").select(*cols, "release_epoch")
+    tail = drain_tail(held, lim[e_end], batch_size, e_end + 1).select(*cols, "release_epoch")
+    return released.unionByName(tail)
