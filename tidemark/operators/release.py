@@ -188,25 +188,25 @@ def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int
     shared checkpoint folder; the rest is the next buffer, checkpointed to
     cut lineage. After the last arrival the backlog drains set-based.
     """
-    from ..session import materialize, scratch_path
-    from ..streaming.step import release_step, remaining
+    from ..session import scratch_path
+    from ..streaming.step import release_flag
 
     spark = msgs.sparkSession
     lim = {r["epoch"]: r["release_limit"] for r in limits.select("epoch", "release_limit").collect()}
     cols = msgs.columns
-    out_path = scratch_path(spark, "paced-release")
+    root = scratch_path(spark, "paced-release")
     held = None
-    wrote = False
     for e in range(e_end + 1):
         new = msgs.filter(F.col("arrival_epoch") == e)
         pool = new if held is None else held.unionByName(new)
-        batch = release_step(pool, lim[e], batch_size, e)
-        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={e}")
-        got = spark.read.parquet(f"{out_path}/epoch={e}")
-        wrote = True
-        held = materialize(remaining(pool, got).select(*cols))
-    if not wrote:
+        flag = release_flag(pool, lim[e], batch_size)
+        (pool.filter(flag).withColumn("release_epoch", F.lit(e).cast("long"))
+         .write.mode("overwrite").parquet(f"{root}/out/epoch={e}"))
+        # the next buffer, written to the shared folder: cuts lineage
+        pool.filter(~flag).write.mode("overwrite").parquet(f"{root}/held/epoch={e}")
+        held = spark.read.parquet(f"{root}/held/epoch={e}")
+    if held is None:
         return msgs.withColumn("release_epoch", F.lit(None).cast("long"))
-    released = spark.read.parquet(out_path).drop("epoch").select(*cols, "release_epoch")
+    released = spark.read.parquet(f"{root}/out").drop("epoch").select(*cols, "release_epoch")
     tail = drain_tail(held, lim[e_end], batch_size, e_end + 1).select(*cols, "release_epoch")
     return released.unionByName(tail)

@@ -292,3 +292,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "derived_ranges": q_derived_ranges,
     "poll_plan_missing": q_poll_plan_missing,
 }
+
+
+# --- iterative and streaming queries (rows-only checks) -------------------------
+
+def q_paced_replay(spark, d):
+    rp = earliest_replay(spark, d)
+    rel = R.paced_replay(rp.messages.select(*SLICE_COLS, "arrival_epoch"), rp.limits, BATCH_SIZE, rp.last_epoch)
+    return R.release_order(rel)
+
+
+def _stream(spark, d, batch_size):
+    from ..session import scratch_path
+    from ..streaming.stream import run_ordered_release, write_polls
+    rp = earliest_replay(spark, d)
+    root = scratch_path(spark, "stream-replay")
+    msgs = rp.messages.select(*SLICE_COLS, "key", "value", "arrival_epoch")
+    glob = write_polls(msgs, f"{root}/source", rp.last_epoch)
+    schema = msgs.drop("arrival_epoch").schema
+    return run_ordered_release(spark, glob, schema, rp.ranges, root, batch_size)
+
+
+def q_stream_ordered_release(spark, d):
+    handler = _stream(spark, d, BATCH_SIZE)
+    return R.release_order(handler.released(spark).select(*SLICE_COLS, "arrival_epoch", "release_epoch"))
+
+
+def q_stream_replay_until_live(spark, d):
+    handler = _stream(spark, d, None)
+    return handler.partition_state(spark)
+
+
+QUERIES.update({
+    "paced_replay": q_paced_replay,
+    "stream_ordered_release": q_stream_ordered_release,
+    "stream_replay_until_live": q_stream_replay_until_live,
+})

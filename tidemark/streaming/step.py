@@ -24,6 +24,27 @@ def release_step(pool: DataFrame, limit: int, batch_size: int | None, epoch: int
     return batch.withColumn("release_epoch", F.lit(epoch).cast("long"))
 
 
+def release_flag(pool: DataFrame, limit: int, batch_size: int | None):
+    """Which buffer rows the poll releases, as a column expression.
+
+    Uncapped: ``timestamp <= limit``. Capped: one small job finds the buffer
+    key of the last row of the batch (top ``batch_size`` of the eligible rows,
+    ``TakeOrderedAndProject``, bounded); the flag is then
+    ``eligible AND key <= that key``, so the buffer is split with two plain
+    filters and never shuffled."""
+    eligible = F.col("timestamp_ms") <= F.lit(limit)
+    if not batch_size:
+        return eligible
+    key = F.struct(*[F.col(c) for c in BUFFER_KEY])
+    top = pool.filter(eligible).orderBy(*BUFFER_KEY).limit(batch_size)
+    last = top.agg(F.max(key).alias("k")).first()["k"]
+    if last is None:
+        return F.lit(False)
+    types = {f.name: f.dataType for f in pool.schema.fields}
+    lit = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in BUFFER_KEY])
+    return eligible & (key <= lit)
+
+
 def remaining(pool: DataFrame, released: DataFrame) -> DataFrame:
     """The buffer after a release."""
     return pool.join(released.select(*TP, "offset"), [*TP, "offset"], "left_anti")
@@ -37,7 +58,7 @@ def advance_state(state: DataFrame, new_rows: DataFrame) -> DataFrame:
     is_caught_up, is_live, is_paused.
     """
     upd = new_rows.groupBy(*TP).agg(F.max("offset").alias("_o"), F.max_by("timestamp_ms", "offset").alias("_t"))
-    j = state.join(upd, TP, "left")
+    j = state.join(F.broadcast(upd), TP, "left")  # at most one row per partition
     got = F.col("_o").isNotNull()
     return j.select(
         *TP, "replay_start_offset", "replay_end_offset",
@@ -52,7 +73,7 @@ def apply_release(state: DataFrame, released: DataFrame) -> DataFrame:
     """R8 as a merge: last released offset per partition in release order."""
     key = F.struct("timestamp_ms", "arrival_epoch", "offset")
     upd = released.groupBy(*TP).agg(F.max_by("offset", key).alias("_r"))
-    j = state.join(upd, TP, "left")
+    j = state.join(F.broadcast(upd), TP, "left")  # at most one row per partition
     got = F.col("_r").isNotNull()
     return j.select(
         *TP, "replay_start_offset", "replay_end_offset", "consumed_offset",

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.release import BUFFER_KEY, drain_tail
 from ..operators.watermark import release_limit_of
-from .step import advance_state, apply_release, initial_state, release_step, remaining
+from .step import advance_state, apply_release, initial_state, release_flag
 
 LOG_COLS = ["topic", "partition", "offset", "timestamp_ms", "key", "value"]
 
@@ -62,19 +62,20 @@ class OrderedRelease:
         # only partitions inside the resolved ranges are tracked; rows past
         # the end offset still flow (a live replay, Q14)
         r = F.broadcast(self.ranges.select("topic", "partition", "replay_start_offset"))
-        new = new.join(r, ["topic", "partition"]).filter(F.col("offset") >= F.col("replay_start_offset")) \
-            .drop("replay_start_offset")
-        state = advance_state(state, new)
-        state.write.mode("overwrite").parquet(self._path("consumed", epoch_id))
+        new = new.join(r, ["topic", "partition"]).filter(
+            F.col("offset") >= F.col("replay_start_offset")).drop("replay_start_offset")
+        # the state table has one row per partition: written as one file
+        advance_state(state, new).coalesce(1).write.mode("overwrite").parquet(self._path("consumed", epoch_id))
         state = spark.read.parquet(self._path("consumed", epoch_id))
         limit = release_limit_of(state.select(
             "topic", "partition", "timestamp_ms", "is_caught_up", "is_paused")).first()["release_limit"]
         pool = new if held is None else held.unionByName(new)
-        out = release_step(pool, limit, self.batch_size, epoch_id)
-        out.write.mode("overwrite").parquet(self._path("out", epoch_id))
+        flag = release_flag(pool, limit, self.batch_size)
+        (pool.filter(flag).withColumn("release_epoch", F.lit(epoch_id).cast("long"))
+         .write.mode("overwrite").parquet(self._path("out", epoch_id)))
+        pool.filter(~flag).write.mode("overwrite").parquet(self._path("held", epoch_id))
         out = spark.read.parquet(self._path("out", epoch_id))
-        remaining(pool, out).write.mode("overwrite").parquet(self._path("held", epoch_id))
-        apply_release(state, out).write.mode("overwrite").parquet(self._path("state", epoch_id))
+        apply_release(state, out).coalesce(1).write.mode("overwrite").parquet(self._path("state", epoch_id))
 
     # --- after the stream -----------------------------------------------------
 
