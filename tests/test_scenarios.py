@@ -115,3 +115,16 @@ def test_poll_plan_unknown_offset(spark, polls, missing):
     plan = spark.createDataFrame([(0, E, 0, [999, 1])], "poll long, topic string, partition int, offsets array<long>")
     rows = poll_plan_missing(log, plan).collect()
     assert [(r.topic, r.partition, r.offset) for r in rows] == [(E, 0, 999)]
+
+
+def test_consumer_accessors(spark):
+    ranges = {(E, 0): (0, 100), (E, 1): (0, 100)}
+    polls = [[msg(E, 0, 0, 1000), msg(E, 1, 0, 500), msg(E, 0, 1, 1500), msg(E, 1, 1, 800)],
+             [msg(E, 1, 2, 1600)]]
+    rp = replay_of(spark, ranges, polls, 10)
+    first = rp.poll(0)
+    assert first.columns[:6] == ["key", "value", "topic", "partition", "offset", "timestamp"]
+    assert [(r.partition, r.offset) for r in first.orderBy("release_position").collect()] == [(1, 0), (1, 1)]
+    assert rp.held_message_count(0) == 2 and rp.held_message_count(1) == 1
+    assert rp.get_priming_watermark(0) == 800 and not rp.is_live(1)
+    assert rp.paused_partition_count() == 0

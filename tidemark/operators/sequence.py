@@ -8,8 +8,11 @@ task, numbered locally with ``monotonically_increasing_id`` and shifted by the
 running count of earlier tasks. Only the per-(task, group) count table moves
 between stages; it has at most ``tasks + groups`` rows.
 
-The keys must be unique per row: both uses of the range exchange then see the
-same rows in the same order, also after a task is retried.
+The keys must be unique per row. The range-partitioned, locally numbered
+rows are written once to the shared checkpoint folder before the counts are
+taken: both uses then read the same partitions (Catalyst would otherwise plan
+two range exchanges with different column sets, which adaptive execution may
+coalesce differently), and a lost executor cannot renumber them.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -35,6 +40,7 @@ def sequence_number(df: DataFrame, order_cols: Sequence[str], out_col: str,
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", 33))
               .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
+    ranged = materialize(ranged)
     counts = ranged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_idx").alias("_first"))
     w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy())

@@ -55,8 +55,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
 
-def base_log(spark, sf_dir):
-    return log_from_events(events(spark, sf_dir))
+def base_log(spark, sf_dir, topics=None):
+    return log_from_events(events(spark, sf_dir), topics=topics)
 
 
 def jitter_log(spark, sf_dir):
@@ -72,12 +72,12 @@ def tombstone_log(spark, sf_dir):
 
 
 def earliest_replay(spark, sf_dir, log=None) -> Replay:
-    return Replay(log if log is not None else base_log(spark, sf_dir),
+    return Replay(log if log is not None else base_log(spark, sf_dir, TOPICS),
                   all_topics("earliest"), AS_OF_MS, BATCH_SIZE)
 
 
 def mixed_replay(spark, sf_dir) -> Replay:
-    return Replay(base_log(spark, sf_dir), MIXED, AS_OF_MS, BATCH_SIZE)
+    return Replay(base_log(spark, sf_dir, [t.name for t in MIXED]), MIXED, AS_OF_MS, BATCH_SIZE)
 
 
 SLICE_COLS = ["topic", "partition", "offset", "timestamp_ms"]
@@ -91,7 +91,7 @@ def q_message_log(spark, d):
 
 def _offsets(topics):
     def q(spark, d):
-        return O.resolve_offsets(base_log(spark, d), topics, AS_OF_MS)
+        return O.resolve_offsets(base_log(spark, d, [t.name for t in topics]), topics, AS_OF_MS)
     return q
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import cached_property
 from typing import Any, Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..operators import offsets as O
@@ -35,13 +36,17 @@ class Replay:
         self.batch_size = int(batch_size or DEFAULT_BATCH_SIZE)
         self._ranges = ranges
         self.bounded = bounded
+        # data-sized tables read several times are written to the shared
+        # folder; small per-partition / per-poll tables are only persisted
+        # (no extra job; a lost block is recomputed from lineage)
         self._keep = materialize if materialized else (lambda df: df)
+        self._small = (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if materialized else (lambda df: df)
 
     @cached_property
     def ranges(self) -> DataFrame:
         if self._ranges is not None:
             return self._ranges
-        return self._keep(O.resolve_offsets(self.log, self.topics, self.as_of_ms))
+        return self._small(O.resolve_offsets(self.log, self.topics, self.as_of_ms))
 
     @cached_property
     def slice(self) -> DataFrame:
@@ -54,15 +59,16 @@ class Replay:
 
     @cached_property
     def events(self) -> DataFrame:
-        return W.consumption_events(self.messages, self.ranges)
+        return self._small(W.consumption_events(self.messages, self.ranges))
 
     @cached_property
     def last_epoch(self) -> int:
-        return W.last_epoch(self.messages)
+        v = self.events.agg({"epoch": "max"}).first()[0]
+        return -1 if v is None else int(v)
 
     @cached_property
     def limits(self) -> DataFrame:
-        return self._keep(W.release_limits(self.spark, self.events, self.ranges, self.last_epoch))
+        return self._small(W.release_limits(self.spark, self.events, self.ranges, self.last_epoch))
 
     @cached_property
     def released(self) -> DataFrame:
@@ -88,3 +94,41 @@ class Replay:
         total = self.messages.count()
         return R.paced_counts(self.released, self.limits, self.batch_size, self.spark,
                               self.last_epoch, total)
+
+    # --- consumer-style accessors (T1, A5-A8) -----------------------------------
+
+    def poll(self, epoch: int) -> DataFrame:
+        """The batch poll ``epoch`` returns (uncapped), in release order, with
+        the fixed message schema."""
+        from pyspark.sql import functions as F
+        from ..schema import to_messages
+        rel = R.release_order(self.released.filter(F.col("release_epoch") == epoch))
+        return to_messages(rel, extra=["release_position"])
+
+    def _progress_row(self, epoch: int):
+        from pyspark.sql import functions as F
+        return self.progress().filter(F.col("epoch") == epoch).first()
+
+    def is_live(self, epoch: int | None = None) -> bool:
+        """A5: every partition released up to its end (after poll ``epoch``)."""
+        e = self.last_epoch if epoch is None else epoch
+        if e < 0:
+            return self.ranges.filter("replay_start_offset < replay_end_offset").limit(1).count() == 0 \
+                and self.ranges.limit(1).count() > 0
+        row = self._progress_row(e)
+        return bool(row["is_live"]) if row is not None else False
+
+    def get_priming_watermark(self, epoch: int) -> int | None:
+        """The mark while any partition is not live, else None."""
+        row = self._progress_row(epoch)
+        return None if row is None else row["priming_watermark"]
+
+    def held_message_count(self, epoch: int) -> int:
+        """Consumed, not yet released after poll ``epoch``."""
+        from pyspark.sql import functions as F
+        row = self.metrics().filter(F.col("epoch") == epoch).first()
+        return 0 if row is None else int(row["held"])
+
+    def paused_partition_count(self) -> int:
+        """Admission control replaces pausing, so always 0."""
+        return 0

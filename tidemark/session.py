@@ -66,9 +66,28 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and read it back (reliable
-    checkpoint: survives executor loss, cuts lineage). Used for tables that a
-    plan reads several times."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back: one job, lineage cut, survives executor loss, and later
+    reads get column pruning and filter pushdown (an RDD checkpoint gets
+    neither). Used for tables that a plan reads several times."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Delete the tables written by ``materialize`` in this process."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            n += 1
+    return n
