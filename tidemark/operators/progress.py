@@ -106,11 +106,22 @@ def flow_report(spark, events: DataFrame, limits: DataFrame, metrics: DataFrame,
     """B1-B3 + A8 per poll: partitions ahead of the mark (timestamp above it,
     caught-up ones included), whether paused partitions would resume, whether
     the buffer is over its 5 x batch bound, and the paused count."""
-    iv = state_intervals(events, e_end)
-    grid = iv.select(F.explode(F.sequence("epoch", "until")).alias("epoch"), "last_ts")
     lwm = limits.select("epoch", "low_water_mark")
-    ahead = grid.join(lwm, "epoch").groupBy("epoch").agg(
-        F.count_if(F.col("last_ts") > F.col("low_water_mark")).alias("ahead"))
+    # partitions still behind: their state per poll, as for the mark itself
+    iv = state_intervals(events, e_end).filter(~F.col("caught"))
+    grid = iv.select(F.explode(F.sequence("epoch", "until")).alias("epoch"), "last_ts")
+    behind = grid.join(lwm, "epoch").groupBy("epoch").agg(
+        F.count_if(F.col("last_ts") > F.col("low_water_mark")).alias("_behind"))
+    # caught-up partitions keep their last timestamp from the poll they catch
+    # up on: one array row (one entry per partition), checked per poll
+    caught = events.filter("caught").groupBy(*TP).agg(
+        F.min("epoch").alias("c"), F.min_by("last_ts", "epoch").alias("t"))
+    arr = caught.agg(F.collect_list(F.struct("c", "t")).alias("_arr"))
+    done = lwm.crossJoin(F.broadcast(arr)).select(
+        "epoch", F.size(F.filter("_arr", lambda x: (x["c"] <= F.col("epoch"))
+                                 & (x["t"] > F.col("low_water_mark")))).alias("_done"))
+    ahead = done.join(behind, "epoch", "left").select(
+        "epoch", (F.col("_done") + F.coalesce(F.col("_behind"), F.lit(0))).alias("ahead"))
     out = (limits.select("epoch", "all_caught_up")
            .join(metrics.select("epoch", "held"), "epoch")
            .join(ahead, "epoch", "left").fillna(0, ["ahead"]))

@@ -179,6 +179,16 @@ def drain_tail(held: DataFrame, limit: int, batch_size: int, first_epoch: int) -
     return tail.unionByName(never)
 
 
+def by_poll(msgs: DataFrame) -> DataFrame:
+    """The messages written once, range-sorted by poll (with the full unique
+    key, so one huge poll is still split over tasks): a later
+    ``arrival_epoch == e`` filter is pushed to the parquet scan and skips the
+    row groups of other polls instead of reading the whole table per poll."""
+    from ..session import materialize
+    key = ["arrival_epoch", "topic", "partition", "offset"]
+    return materialize(msgs.repartitionByRange(*key).sortWithinPartitions(*key), "by-poll")
+
+
 def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int) -> DataFrame:
     """Exact rows of a capped release, poll by poll.
 
@@ -192,6 +202,7 @@ def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int
     from ..streaming.step import release_flag
 
     spark = msgs.sparkSession
+    msgs = by_poll(msgs)
     lim = {r["epoch"]: r["release_limit"] for r in limits.select("epoch", "release_limit").collect()}
     cols = msgs.columns
     root = scratch_path(spark, "paced-release")

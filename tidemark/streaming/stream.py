@@ -37,6 +37,7 @@ class OrderedRelease:
         self.ranges = ranges
         self.root = root
         self.batch_size = batch_size
+        self.query = None  # the StreamingQuery, once started
 
     def _path(self, table: str, epoch: int) -> str:
         return os.path.join(self.root, table, f"epoch={epoch}")
@@ -115,6 +116,8 @@ def write_polls(msgs: DataFrame, root: str, e_end: int) -> str:
     """Lay a log out as one parquet folder per poll, written in poll order
     (increasing modification time), so a file stream with
     ``maxFilesPerTrigger=1`` sees one poll per micro-batch."""
+    from ..operators.release import by_poll
+    msgs = by_poll(msgs)
     for e in range(e_end + 1):
         (msgs.filter(F.col("arrival_epoch") == e).select(*LOG_COLS)
          .coalesce(1).write.mode("overwrite").parquet(os.path.join(root, f"poll-{e:09d}")))
@@ -134,6 +137,7 @@ def run_ordered_release(spark: SparkSession, source_glob: str, schema, ranges: D
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "1 second")
     q = writer.start()
+    handler.query = q
     if available_now:
         q.awaitTermination()
     return handler
