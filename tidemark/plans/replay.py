@@ -26,7 +26,7 @@ class Replay:
     def __init__(self, log: DataFrame, topics: Iterable[Any] | None = None,
                  as_of_ms: int | None = None, batch_size: int | None = None,
                  ranges: DataFrame | None = None, bounded: bool = True,
-                 materialized: bool = True):
+                 materialized: bool = True, keep_messages: bool = False):
         if ranges is None and topics is None:
             raise ValueError("give topics (with policies) or resolved ranges")
         self.log = log
@@ -41,6 +41,10 @@ class Replay:
         # (no extra job; a lost block is recomputed from lineage)
         self._keep = materialize if materialized else (lambda df: df)
         self._small = (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if materialized else (lambda df: df)
+        # the log is expected to be a table (an archive, or the written output
+        # of log_from_events); then the consumed slice is a scan plus a
+        # broadcast-join filter and is not written again unless asked
+        self._keep_messages = self._keep if keep_messages else (lambda df: df)
 
     @cached_property
     def ranges(self) -> DataFrame:
@@ -55,7 +59,7 @@ class Replay:
     @cached_property
     def messages(self) -> DataFrame:
         """Consumed messages (in range, with a timestamp)."""
-        return self._keep(W.consumed_messages(self.slice))
+        return self._keep_messages(W.consumed_messages(self.slice))
 
     @cached_property
     def events(self) -> DataFrame:
