@@ -199,7 +199,7 @@ def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int
     cut lineage. After the last arrival the backlog drains set-based.
     """
     from ..session import scratch_path
-    from ..streaming.step import release_flag
+    from ..streaming.step import release_flag, split_write
 
     spark = msgs.sparkSession
     msgs = by_poll(msgs)
@@ -211,13 +211,12 @@ def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int
         new = msgs.filter(F.col("arrival_epoch") == e)
         pool = new if held is None else held.unionByName(new)
         flag = release_flag(pool, lim[e], batch_size)
-        (pool.filter(flag).withColumn("release_epoch", F.lit(e).cast("long"))
-         .write.mode("overwrite").parquet(f"{root}/out/epoch={e}"))
-        # the next buffer, written to the shared folder: cuts lineage
-        pool.filter(~flag).write.mode("overwrite").parquet(f"{root}/held/epoch={e}")
-        held = spark.read.parquet(f"{root}/held/epoch={e}")
+        # written to the shared folder: the next buffer starts from files
+        _, held = split_write(pool.select(*cols), flag, f"{root}/poll={e}", e)
     if held is None:
         return msgs.withColumn("release_epoch", F.lit(None).cast("long"))
-    released = spark.read.parquet(f"{root}/out").drop("epoch").select(*cols, "release_epoch")
+    released = (spark.read.parquet(root).filter(F.col("_released").cast("string") == "true")
+                .withColumnRenamed("poll", "release_epoch")
+                .select(*cols, F.col("release_epoch").cast("long")))
     tail = drain_tail(held, lim[e_end], batch_size, e_end + 1).select(*cols, "release_epoch")
     return released.unionByName(tail)

@@ -2,12 +2,12 @@
 
 A micro-batch is a poll. ``OrderedRelease`` is a ``foreachBatch`` handler:
 it merges the batch into the partition-state table, computes the limit from
-that state, releases with ``release_step`` and writes three tables under one
+that state, releases with ``release_flag`` and writes two tables under one
 folder, each keyed by the micro-batch id:
 
 * ``state/epoch=N``  partition state after poll N (the progress report)
-* ``held/epoch=N``   the buffer carried to poll N+1
-* ``out/epoch=N``    rows released by poll N, with their release position
+* ``buffer/epoch=N`` the buffer after the arrivals of poll N, split by
+  ``_released``: ``true`` left with poll N, ``false`` is carried to N+1
 
 Poll N reads N-1 and overwrites N, so a retried micro-batch gives the same
 tables (idempotent). Only the state table (one row per partition) is read by
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.release import BUFFER_KEY, drain_tail
 from ..operators.watermark import release_limit_of
-from .step import advance_state, apply_release, initial_state, release_flag
+from .step import _exists, advance_state, apply_release, initial_state, release_flag, split_write
 
 LOG_COLS = ["topic", "partition", "offset", "timestamp_ms", "key", "value"]
 
@@ -48,10 +48,21 @@ class OrderedRelease:
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return fs.exists(jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS")))
 
-    def _read_prev(self, spark, epoch: int):
+    def _held(self, spark, epoch: int, schema=None) -> DataFrame:
+        p = os.path.join(self._path("buffer", epoch), "_released=false")
+        if schema is None:  # after the stream: any written poll has it
+            schema = spark.read.parquet(os.path.join(self.root, "buffer")).drop("_released", "epoch").schema
+        return spark.read.schema(schema).parquet(p) if _exists(spark, p) else spark.createDataFrame([], schema)
+
+    def _released(self, spark) -> DataFrame:
+        rows = spark.read.parquet(os.path.join(self.root, "buffer")).filter(F.col("_released").cast("string") == "true")
+        return rows.withColumnRenamed("epoch", "release_epoch").withColumn(
+            "release_epoch", F.col("release_epoch").cast("long")).drop("_released")
+
+    def _read_prev(self, spark, epoch: int, schema):
         if epoch > 0 and self._exists(spark, self._path("state", epoch - 1)):
             state = spark.read.parquet(self._path("state", epoch - 1))
-            held = spark.read.parquet(self._path("held", epoch - 1))
+            held = self._held(spark, epoch - 1, schema)
             return state, held
         return initial_state(self.ranges), None
 
@@ -59,23 +70,18 @@ class OrderedRelease:
         spark = batch.sparkSession
         new = (batch.select(*LOG_COLS).filter(F.col("timestamp_ms").isNotNull())
                .withColumn("arrival_epoch", F.lit(epoch_id).cast("long")))
-        state, held = self._read_prev(spark, epoch_id)
+        state, held = self._read_prev(spark, epoch_id, new.schema)
         # only partitions inside the resolved ranges are tracked; rows past
         # the end offset still flow (a live replay, Q14)
         r = F.broadcast(self.ranges.select("topic", "partition", "replay_start_offset"))
         new = new.join(r, ["topic", "partition"]).filter(
             F.col("offset") >= F.col("replay_start_offset")).drop("replay_start_offset")
-        # the state table has one row per partition: written as one file
-        advance_state(state, new).coalesce(1).write.mode("overwrite").parquet(self._path("consumed", epoch_id))
-        state = spark.read.parquet(self._path("consumed", epoch_id))
+        state = advance_state(state, new)  # one row per partition
         limit = release_limit_of(state.select(
             "topic", "partition", "timestamp_ms", "is_caught_up", "is_paused")).first()["release_limit"]
         pool = new if held is None else held.unionByName(new)
         flag = release_flag(pool, limit, self.batch_size)
-        (pool.filter(flag).withColumn("release_epoch", F.lit(epoch_id).cast("long"))
-         .write.mode("overwrite").parquet(self._path("out", epoch_id)))
-        pool.filter(~flag).write.mode("overwrite").parquet(self._path("held", epoch_id))
-        out = spark.read.parquet(self._path("out", epoch_id))
+        out, _ = split_write(pool, flag, self._path("buffer", epoch_id), epoch_id)
         apply_release(state, out).coalesce(1).write.mode("overwrite").parquet(self._path("state", epoch_id))
 
     # --- after the stream -----------------------------------------------------
@@ -93,7 +99,7 @@ class OrderedRelease:
         if e < 0:
             return None
         state = spark.read.parquet(self._path("state", e))
-        held = spark.read.parquet(self._path("held", e))
+        held = self._held(spark, e)
         limit = release_limit_of(state.select(
             "topic", "partition", "timestamp_ms", "is_caught_up", "is_paused")).first()["release_limit"]
         if self.batch_size:
@@ -102,7 +108,7 @@ class OrderedRelease:
 
     def released(self, spark) -> DataFrame:
         """Everything released so far, plus the drain."""
-        out = spark.read.parquet(os.path.join(self.root, "out")).drop("epoch")
+        out = self._released(spark)
         tail = self.drain(spark)
         if tail is not None:
             out = out.unionByName(tail.select(*out.columns))
