@@ -93,25 +93,3 @@ def initial_state(ranges: DataFrame) -> DataFrame:
         F.col("replay_start_offset").alias("released_offset"),
         F.lit(None).cast("long").alias("timestamp_ms"),
         empty.alias("is_caught_up"), empty.alias("is_live"), F.lit(False).alias("is_paused"))
-
-
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def split_write(pool: DataFrame, flag, path: str, epoch: int):
-    """Write the buffer once, partitioned by the release flag, and return
-    (released rows tagged with ``epoch``, remaining buffer) read back from
-    the two halves. One job per poll instead of two filtered writes."""
-    spark = pool.sparkSession
-    pool.withColumn("_released", flag).write.mode("overwrite").partitionBy("_released").parquet(path)
-    schema = pool.schema
-    halves = []
-    for v in ("true", "false"):
-        p = f"{path}/_released={v}"
-        halves.append(spark.read.schema(schema).parquet(p) if _exists(spark, p)
-                      else spark.createDataFrame([], schema))
-    released, held = halves
-    return released.withColumn("release_epoch", F.lit(epoch).cast("long")), held
