@@ -46,8 +46,14 @@ def spark_release(rows):
             if r["release_epoch"] is not None}
 
 
+@pytest.fixture(params=["blocks", "asof"])
+def strategy(request, monkeypatch):
+    monkeypatch.setattr(R, "ASOF_MIN_EPOCHS", 4096 if request.param == "blocks" else 0)
+    return request.param
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3, 4])
-def test_uncapped_release_and_state(spark, seed):
+def test_uncapped_release_and_state(spark, seed, strategy):
     ranges, polls = random_log(seed)
     rp = replay_of(spark, ranges, polls)
     got = spark_release(rp.released.collect())
@@ -78,7 +84,7 @@ def test_uncapped_release_and_state(spark, seed):
         assert prog[e].pending == pending
 
 
-def test_release_blocks_many_polls(spark):
+def test_release_blocks_many_polls(spark, strategy):
     """Many polls: the block search crosses block boundaries."""
     rnd = random.Random(7)
     ranges = {("a", 0): (0, 400), ("a", 1): (0, 400)}

@@ -21,6 +21,9 @@ RELEASE_KEY = ["release_epoch"] + BUFFER_KEY
 
 # Limit tables up to this many polls are broadcast whole (16 bytes a poll).
 BROADCAST_EPOCHS = 2_000_000
+# Up to this many polls the block search costs at most ~64 array entries per
+# message and is used alone; above it the as-of path of release_epochs runs.
+ASOF_MIN_EPOCHS = 4096
 
 
 def ordered_replay(slice_df: DataFrame, out_col: str = "position") -> DataFrame:
@@ -37,6 +40,65 @@ def replay_batches(slice_df: DataFrame, batch_size: int) -> DataFrame:
 
 def release_epochs(msgs: DataFrame, limits: DataFrame, e_end: int) -> DataFrame:
     """The poll that releases each message without a cap: the first poll
+    at or after its arrival ``a`` whose limit is at or above its timestamp
+    ``t``; null when it is held for ever.
+
+    With ``M`` the running maximum of the limit (non-decreasing):
+
+    * ``limit(a) >= t``: released at ``a`` (equi-join on the arrival poll);
+    * ``t > M(a)``: released at the first poll where ``M`` reaches ``t``. That
+      poll is after ``a`` by construction; it is an as-of lookup on the
+      increasing steps of ``M``, done as an equi-join on a value bucket;
+    * otherwise (the limit dipped below an earlier high, rare): the block
+      search of :func:`release_epochs_blocks`.
+
+    Replays of at most ``ASOF_MIN_EPOCHS`` polls use the block search alone.
+    """
+    if e_end + 1 <= ASOF_MIN_EPOCHS:
+        return release_epochs_blocks(msgs, limits, e_end)
+    small = e_end + 1 <= BROADCAST_EPOCHS
+    bc = F.broadcast if small else (lambda df: df)
+    w = Window.orderBy("e")
+    lim = limits.select(F.col("epoch").cast("long").alias("e"), F.col("release_limit").alias("l"))
+    lim = lim.withColumn("m", F.max("l").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    steps = (lim.withColumn("mp", F.lag("m").over(w))
+             .filter(F.col("mp").isNull() | (F.col("m") > F.col("mp")))
+             .select(F.col("e").alias("se"), F.col("mp").alias("lo"), F.col("m").alias("hi")))
+    steps = steps.persist()  # one row per rise of the limit (at most one per poll)
+    st = steps.agg(F.count(F.lit(1)).alias("n"),
+                   F.min(F.when(F.col("hi") < MAX_LIMIT, F.col("hi"))).alias("base"),
+                   F.max(F.when(F.col("hi") < MAX_LIMIT, F.col("hi"))).alias("top"),
+                   F.min(F.when(F.col("lo").isNull(), F.col("se"))).alias("first_e"),
+                   F.min(F.when(F.col("hi") == MAX_LIMIT, F.col("se"))).alias("max_e")).first()
+
+    a, t = F.col("arrival_epoch"), F.col("timestamp_ms")
+    m = msgs.join(bc(lim.select(F.col("e").alias("arrival_epoch"), F.col("l").alias("_la"),
+                                F.col("m").alias("_ma"))), "arrival_epoch", "left")
+    case_a = m.filter(F.col("_la") >= t).withColumn("release_epoch", a)
+    case_b = m.filter(F.col("_ma") < t)
+    case_c = m.filter(~(F.col("_la") >= t) & ~(F.col("_ma") < t))
+    drop = ["_la", "_ma"]
+
+    if st["base"] is None:  # no finite step: only an unlimited one, or none
+        b_out = case_b.withColumn("release_epoch", F.lit(st["max_e"]).cast("long"))
+    else:
+        base, top, n = int(st["base"]), int(st["top"]), int(st["n"])
+        width = max(1, -(-(top - base) // max(n, 1)))
+        bucket = lambda c: F.floor((c - F.lit(base)) / F.lit(width)).cast("long")
+        fin = steps.filter((F.col("hi") < MAX_LIMIT) & F.col("lo").isNotNull())
+        iv = fin.select("se", "lo", "hi", F.explode(F.sequence(bucket(F.col("lo") + 1), bucket(F.col("hi")))).alias("_b"))
+        mid = case_b.filter((t > F.lit(base)) & (t <= F.lit(top))).withColumn("_b", bucket(t))
+        mid = mid.join(bc(iv), "_b").filter((t > F.col("lo")) & (t <= F.col("hi")))             .withColumn("release_epoch", F.col("se")).drop("_b", "se", "lo", "hi")
+        low = case_b.filter(t <= F.lit(base)).withColumn("release_epoch", F.lit(st["first_e"]).cast("long"))
+        high = case_b.filter(t > F.lit(top)).withColumn("release_epoch", F.lit(st["max_e"]).cast("long"))
+        b_out = mid.unionByName(low).unionByName(high)
+    c_out = release_epochs_blocks(case_c.drop(*drop), limits, e_end)
+    return (case_a.drop(*drop).unionByName(b_out.drop(*drop)).unionByName(c_out)
+            .withColumn("release_epoch", F.col("release_epoch").cast("long")))
+
+
+def release_epochs_blocks(msgs: DataFrame, limits: DataFrame, e_end: int) -> DataFrame:
+    """R5 by block search: the first poll
     at or after its arrival whose limit is at or above its timestamp; null
     when it is held for ever.
 
