@@ -1,9 +1,10 @@
 """One poll as DataFrame operators.
 
-``release_step`` takes the buffer (held rows plus this poll's arrivals) and a
-release limit and returns the released batch and the new buffer. Batch
-replay (``paced_replay``) and the streaming ``foreachBatch`` handler both use
-it, so capped release has a single definition.
+``release_flag`` marks which rows of the buffer (held rows plus this poll's
+arrivals) a poll releases under a limit and a cap; the state merges update the
+per-partition table. Batch replay (``paced_replay``) and the streaming
+``foreachBatch`` handler both use them, so capped release has a single
+definition.
 """
 
 from __future__ import annotations
@@ -15,15 +16,6 @@ from ..operators.release import BUFFER_KEY
 from ..schema import TP
 
 
-def release_step(pool: DataFrame, limit: int, batch_size: int | None, epoch: int) -> DataFrame:
-    """R2 on the buffer: the first ``batch_size`` rows (buffer order) with
-    timestamp <= limit, tagged with the releasing poll. Bounded by the batch
-    size when capped (``TakeOrderedAndProject``)."""
-    eligible = pool.filter(F.col("timestamp_ms") <= F.lit(limit))
-    batch = eligible.orderBy(*BUFFER_KEY).limit(batch_size) if batch_size else eligible
-    return batch.withColumn("release_epoch", F.lit(epoch).cast("long"))
-
-
 def release_flag(pool: DataFrame, limit: int, batch_size: int | None):
     """Which buffer rows the poll releases, as a column expression.
 
@@ -45,11 +37,6 @@ def release_flag(pool: DataFrame, limit: int, batch_size: int | None):
     return eligible & (key <= lit)
 
 
-def remaining(pool: DataFrame, released: DataFrame) -> DataFrame:
-    """The buffer after a release."""
-    return pool.join(released.select(*TP, "offset"), [*TP, "offset"], "left_anti")
-
-
 def advance_state(state: DataFrame, new_rows: DataFrame) -> DataFrame:
     """A1 as a merge: the state table updated with one poll's arrivals.
 

@@ -2,12 +2,13 @@
 
 A micro-batch is a poll. ``OrderedRelease`` is a ``foreachBatch`` handler:
 it merges the batch into the partition-state table, computes the limit from
-that state, releases with ``release_step`` and writes three tables under one
-folder, each keyed by the micro-batch id:
+that state, marks the released rows with ``release_flag`` and writes its
+tables under one folder, each keyed by the micro-batch id:
 
-* ``state/epoch=N``  partition state after poll N (the progress report)
-* ``held/epoch=N``   the buffer carried to poll N+1
-* ``out/epoch=N``    rows released by poll N, with their release position
+* ``consumed/epoch=N`` partition state after the arrivals of poll N
+* ``out/epoch=N``      rows released by poll N
+* ``held/epoch=N``     the buffer carried to poll N+1
+* ``state/epoch=N``    partition state after poll N (the progress report)
 
 Poll N reads N-1 and overwrites N, so a retried micro-batch gives the same
 tables (idempotent). Only the state table (one row per partition) is read by
