@@ -119,3 +119,21 @@ def test_capped_counts(spark):
     model = run(ranges, polls, cap, drain=True)
     for e, (rel, _, _) in enumerate(model):
         assert counts.get(e, 0) == len(rel), f"poll {e}"
+
+
+@pytest.mark.parametrize("seed", [31, 32])
+def test_mark_and_ahead_with_tree_blocks(spark, seed, monkeypatch):
+    """Force the segment-tree path for every interval; mark and partitions
+    ahead of it (B1) per poll equal the model."""
+    from tidemark.operators import watermark as W
+    monkeypatch.setattr(W, "SHORT_INTERVAL", 0)
+    ranges, polls = random_log(seed, never_caught=0.5)
+    rp = replay_of(spark, ranges, polls, batch_size=5)
+    lim = {r.epoch: r.low_water_mark for r in rp.limits.collect()}
+    ahead = {r.epoch: r.partitions_ahead for r in rp.flow().collect()}
+    for e, (_, _, state) in enumerate(run(ranges, polls)):
+        behind = [v["ts"] for v in state.values() if not v["caught"] and v["ts"] is not None]
+        mark = min(behind) if behind else None
+        assert lim[e] == mark, f"poll {e}"
+        n = sum(1 for v in state.values() if v["ts"] is not None and mark is not None and v["ts"] > mark)
+        assert ahead[e] == n, f"poll {e}"

@@ -42,3 +42,26 @@ def test_read_archive_and_starting_offsets(spark):
     ranges = resolve_offsets(log, [SourceTopic.from_absolute_time("a", 150), SourceTopic.from_latest("b")])
     js = starting_offsets_json(ranges.collect())
     assert js == '{"a": {"0": 1, "1": 0}, "b": {"0": 6}}'
+
+
+def test_cover_min_long_intervals(spark):
+    """Mark over idle partitions: segment-tree blocks equal brute force."""
+    import random
+    from tidemark.operators.watermark import cover_min
+    rnd = random.Random(5)
+    e_end = 700
+    rows = []
+    for p in range(12):
+        s = rnd.randint(0, 200)
+        while s <= e_end:
+            t = min(e_end, s + rnd.choice([0, 1, 3, 70, 150, 500]))
+            rows.append((s, t, rnd.choice([10, 20, 20, 30, 40])))
+            s = t + 1 + rnd.randint(0, 5)
+    df = spark.createDataFrame(rows, "epoch long, until long, value long")
+    got = {r.epoch: (r.min_value, r.at_min) for r in cover_min(df, e_end).collect()}
+    exp = {}
+    for e in range(e_end + 1):
+        vals = [v for s, t, v in rows if s <= e <= t]
+        if vals:
+            exp[e] = (min(vals), vals.count(min(vals)))
+    assert got == exp

@@ -107,11 +107,18 @@ def flow_report(spark, events: DataFrame, limits: DataFrame, metrics: DataFrame,
     caught-up ones included), whether paused partitions would resume, whether
     the buffer is over its 5 x batch bound, and the paused count."""
     lwm = limits.select("epoch", "low_water_mark")
-    # partitions still behind: their state per poll, as for the mark itself
+    # partitions still behind: all of them are at or above the mark, so those
+    # ahead are the ones behind minus the ones at the mark; the count behind
+    # is a running sum of +1 / -1 changes (no per-poll expansion)
     iv = state_intervals(events, e_end).filter(~F.col("caught"))
-    grid = iv.select(F.explode(F.sequence("epoch", "until")).alias("epoch"), "last_ts")
-    behind = grid.join(lwm, "epoch").groupBy("epoch").agg(
-        F.count_if(F.col("last_ts") > F.col("low_water_mark")).alias("_behind"))
+    chg = iv.select(F.col("epoch").alias("e"), F.lit(1).alias("d")).unionByName(
+        iv.select((F.col("until") + 1).alias("e"), F.lit(-1).alias("d")))
+    n_behind = _running(_epochs(spark, e_end).join(
+        chg.groupBy(F.col("e").alias("epoch")).agg(F.sum("d").alias("_n")), "epoch", "left")
+        .fillna(0, ["_n"]), ["_n"])
+    at_mark = limits.select("epoch", "partitions_at_mark")
+    behind = n_behind.join(at_mark, "epoch").select(
+        "epoch", (F.col("_n") - F.coalesce(F.col("partitions_at_mark"), F.lit(0))).alias("_behind"))
     # caught-up partitions keep their last timestamp from the poll they catch
     # up on: one array row (one entry per partition), checked per poll
     caught = events.filter("caught").groupBy(*TP).agg(

@@ -53,12 +53,56 @@ def state_intervals(events: DataFrame, e_end: int) -> DataFrame:
     return events.withColumn("until", F.coalesce(nxt - 1, F.lit(e_end)).cast("long"))
 
 
+# Intervals up to this many polls are expanded poll by poll; longer ones are
+# cut into at most two aligned power-of-two blocks per level.
+SHORT_INTERVAL = 64
+
+
+def _min_count(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key: the smallest value ``v`` and how many rows hold it."""
+    per_v = df.groupBy(*keys, "v").agg(F.sum("c").alias("c"))
+    return per_v.groupBy(*keys).agg(F.min("v").alias("v"), F.min_by("c", "v").alias("c"))
+
+
+def cover_min(intervals: DataFrame, e_end: int) -> DataFrame:
+    """For each poll, the smallest value over the intervals ``[epoch, until]``
+    that cover it, and how many intervals hold that value.
+
+    Short intervals are expanded poll by poll. Longer ones (a partition idle
+    for many polls) are split into the canonical aligned blocks of a segment
+    tree, at most two per level, so the work per interval is O(log polls),
+    not its length. Each poll then reads the blocks above it: polls x levels
+    rows."""
+    levels = max(1, int(e_end + 1).bit_length())
+    iv = intervals.select(F.col("epoch").alias("s"), F.col("until").alias("t"), F.col("value").alias("v"))
+    short = iv.filter(F.col("t") - F.col("s") < SHORT_INTERVAL).select(
+        F.lit(0).alias("k"), F.explode(F.sequence("s", "t")).alias("j"), "v")
+    long_ = iv.filter(F.col("t") - F.col("s") >= SHORT_INTERVAL).select(
+        "s", "t", "v", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("k"))
+    lk = F.expr("shiftright(s + shiftleft(1L, k) - 1, k)")  # ceil(s / 2^k)
+    rk = F.expr("shiftright(t + 1, k)")                     # floor((t + 1) / 2^k)
+    open_ = lk < rk
+    left = F.when(open_ & (lk % 2 == 1), lk)
+    right = F.when(open_ & (rk % 2 == 1), rk - 1)
+    blocks = long_.select("k", "v", F.explode(F.array(left, right)).alias("j")).filter(F.col("j").isNotNull())
+    nodes = _min_count(short.unionByName(blocks.select("k", "j", "v")).withColumn("c", F.lit(1).cast("long")),
+                       ["k", "j"])
+    spark = intervals.sparkSession
+    polls = spark.range(0, e_end + 1).select(F.col("id").alias("epoch"))
+    up = polls.crossJoin(spark.range(0, levels + 1).select(F.col("id").cast("int").alias("k"))) \
+        .withColumn("j", F.expr("shiftright(epoch, k)"))
+    hit = up.join(nodes, ["k", "j"]).select("epoch", "v", "c")
+    return _min_count(hit, ["epoch"]).select("epoch", F.col("v").alias("min_value"),
+                                             F.col("c").alias("at_min"))
+
+
 def low_water_marks(events: DataFrame, e_end: int) -> DataFrame:
     """A2 per poll: min last timestamp over partitions that are not caught up
     (nothing is paused in this model) and have consumed something (Q1)."""
     iv = state_intervals(events, e_end).filter(~F.col("caught"))
-    grid = iv.select(F.explode(F.sequence("epoch", "until")).alias("epoch"), "last_ts")
-    return grid.groupBy("epoch").agg(F.min("last_ts").alias("low_water_mark"))
+    cov = cover_min(iv.select("epoch", "until", F.col("last_ts").alias("value")), e_end)
+    return cov.select("epoch", F.col("min_value").alias("low_water_mark"),
+                      F.col("at_min").alias("partitions_at_mark"))
 
 
 def caught_up_from(events: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -85,7 +129,7 @@ def release_limits(spark, events: DataFrame, ranges: DataFrame, e_end: int) -> D
     all_caught = (F.col("partitions") > 0) & F.coalesce(
         F.col("epoch") >= F.col("all_caught_from"), F.lit(False))
     return out.select(
-        "epoch", "low_water_mark",
+        "epoch", "low_water_mark", "partitions_at_mark",
         all_caught.alias("all_caught_up"),
         F.when(all_caught, F.lit(MAX_LIMIT))
         .otherwise(F.coalesce(F.col("low_water_mark"), F.lit(MAX_LIMIT))).alias("release_limit"),

@@ -143,7 +143,7 @@ def q_low_water_mark(spark, d):
 
 
 def q_release_limits(spark, d):
-    return earliest_replay(spark, d).limits
+    return earliest_replay(spark, d).limits.select("epoch", "low_water_mark", "all_caught_up", "release_limit")
 
 
 def q_replay_progress(spark, d):
