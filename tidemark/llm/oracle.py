@@ -14,10 +14,10 @@ WITH RECURSIVE w AS (
          ELSE list_transform(range(1, len(a) - 3), i -> a[i:i+4]) END) AS sh FROM w
 ), e AS (SELECT doc_id, unnest(sh) AS g FROM s),
  p AS (
-  SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS both FROM e x JOIN e y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+  SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS n_common FROM e x JOIN e y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
 ), l AS (
   SELECT u, v FROM p JOIN s a ON a.doc_id = u JOIN s b ON b.doc_id = v
-  WHERE 100 * both >= 85 * (len(a.sh) + len(b.sh) - both)
+  WHERE 100 * n_common >= 85 * (len(a.sh) + len(b.sh) - n_common)
 ), reach AS (
   SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, l.v FROM reach JOIN l ON l.u = reach.r
 ), m AS (SELECT doc_id, min(r) AS c FROM reach GROUP BY 1)
