@@ -8,10 +8,10 @@ _TEXT = _LOW.format(t="coalesce(text, '')")
 
 OP9 = rf"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array({_TEXT}, '[\x20\x09-\x0D]+'), x -> x <> '') AS a FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array({_TEXT}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents
 ), s AS (
   SELECT doc_id, list_distinct(CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 5 THEN [a]
-         ELSE list_transform(range(1, len(a) - 3), i -> a[i:i+4]) END) AS sh FROM w
+         ELSE list_transform(range(1, len(a) - 3), lambda i: a[i:i+4]) END) AS sh FROM w
 ), e AS (SELECT doc_id, unnest(sh) AS g FROM s),
  p AS (
   SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS n_common FROM e x JOIN e y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
@@ -25,4 +25,26 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, c AS component_id, c = s
 FROM s JOIN m USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op9_near_duplicates": OP9}
+OP1 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_TEXT}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_TEXT}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(13, len(a)) AS k, unnest(list_transform(range(1, len(a) - least(13, len(a)) + 2), lambda i: a[i:i + least(13, len(a)) - 1])) AS g
+  FROM b WHERE len(a) > 0
+), dw AS (
+  SELECT doc_id, k, i, a[i:i + k - 1] AS g FROM (SELECT doc_id, a, k, unnest(range(1, len(a) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(a) >= k)
+), hits AS (
+  SELECT doc_id, i, dw.k, item_id FROM dw JOIN bw ON dw.g = bw.g AND dw.k = bw.k
+), n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY 1
+), s AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits) GROUP BY 1
+)
+SELECT d.doc_id, CAST(len(a) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(a) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op9_near_duplicates": OP9}

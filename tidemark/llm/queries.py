@@ -6,7 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import decontaminate as D
 from .near_dedup import near_duplicates
 
 
@@ -14,10 +16,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame, c = D.decide(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform(c["items"], lambda x: x.cast("string"))), ",")
+    return frame.select(F.col("c0").alias("doc_id"), c["n_words"].alias("n_words"), c["n_hit"].alias("n_hit"),
+                        c["n_items"].alias("n_items"), F.sha2(ids, 256).alias("items_sha256"),
+                        c["contaminated"].alias("contaminated"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op9_near_duplicates,)
+    f.__name__: f for f in (op1_decontaminate, op9_near_duplicates,)
 }
