@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as D
 from .near_dedup import near_duplicates
+from .suffix_dedup import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +25,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         c["contaminated"].alias("contaminated"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame, c = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return frame.select(F.col("c0").alias("doc_id"), *[c[n].alias(n) for n in names])
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op9_near_duplicates,)
+    f.__name__: f for f in (op1_decontaminate, op6_suffix_dedup, op9_near_duplicates,)
 }
