@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as D
+from . import token_counts as K
 from .near_dedup import near_duplicates
+from .packing import pack
 from .suffix_dedup import remove_repeats
 
 
@@ -25,6 +27,15 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         c["contaminated"].alias("contaminated"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = K.token_counts(_table(spark, sf_dir, "documents"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > K.LIMIT)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, c = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -36,5 +47,5 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op6_suffix_dedup, op9_near_duplicates,)
+    f.__name__: f for f in (op1_decontaminate, op3_best_fit_packing, op5_token_counts, op6_suffix_dedup, op9_near_duplicates,)
 }
