@@ -13,6 +13,7 @@ from . import token_counts as K
 from .near_dedup import near_duplicates
 from .packing import pack
 from .suffix_dedup import remove_repeats
+from .toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +43,14 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.select(F.col("c0").alias("doc_id"), *[c[n].alias(n) for n in names])
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_best_fit_packing, op5_token_counts, op6_suffix_dedup, op9_near_duplicates,)
+    f.__name__: f for f in (op1_decontaminate, op3_best_fit_packing, op5_token_counts, op6_suffix_dedup, op8_toxicity, op9_near_duplicates,)
 }
