@@ -163,18 +163,27 @@ def _features_of(table):
     return run
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Newton's method. Returns means, deviations and weights (the last: constant)."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Newton's method with halved steps where the loss would rise. Returns
+    means, deviations and weights (the last: constant)."""
     mean, dev = x.mean(0), x.std(0) + 1e-9
     z = np.column_stack([(x - mean) / dev, np.ones(len(x))])
     w = np.zeros(z.shape[1])
     w[-1] = np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))
+
+    def loss(w: np.ndarray) -> float:
+        m = z @ w
+        return float(np.logaddexp(0, m).sum() - y @ m + ridge / 2 * w @ w)
+
+    now = loss(w)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         grad = z.T @ (p - y) + ridge * w
         hess = (z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
-        w -= step
+        while (new := loss(w - step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w, now = w - step, new
         if np.abs(step).max() < 1e-8:
             break
     return mean, dev, w
