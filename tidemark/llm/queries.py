@@ -13,7 +13,9 @@ from . import token_counts as K
 from .near_dedup import near_duplicates
 from .packing import pack
 from .suffix_dedup import remove_repeats
+from .topk import top_k
 from .toxicity import toxicity
+from .url_filter import judge
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +45,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.select(F.col("c0").alias("doc_id"), *[c[n].alias(n) for n in names])
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -51,6 +57,10 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_best_fit_packing, op5_token_counts, op6_suffix_dedup, op8_toxicity, op9_near_duplicates,)
+    f.__name__: f for f in (op1_decontaminate, op3_best_fit_packing, op5_token_counts, op6_suffix_dedup, op7_top_k, op8_toxicity, op9_near_duplicates, op10_url_filter)
 }
