@@ -12,6 +12,7 @@ from . import decontaminate as D
 from . import token_counts as K
 from .near_dedup import near_duplicates
 from .packing import pack
+from .quality import quality
 from .suffix_dedup import remove_repeats
 from .topk import top_k
 from .toxicity import toxicity
@@ -30,6 +31,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         c["contaminated"].alias("contaminated"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
@@ -62,5 +67,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_best_fit_packing, op5_token_counts, op6_suffix_dedup, op7_top_k, op8_toxicity, op9_near_duplicates, op10_url_filter)
+    f.__name__: f for f in (op1_decontaminate, op2_quality, op3_best_fit_packing, op5_token_counts, op6_suffix_dedup, op7_top_k, op8_toxicity, op9_near_duplicates, op10_url_filter)
 }
