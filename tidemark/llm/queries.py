@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as D
 from . import token_counts as K
+from .html_extract import extract
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import quality
@@ -39,6 +40,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = K.token_counts(_table(spark, sf_dir, "documents"))
     return counts.withColumn("over_limit", F.col("n_tokens") > K.LIMIT)
@@ -67,5 +72,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_quality, op3_best_fit_packing, op5_token_counts, op6_suffix_dedup, op7_top_k, op8_toxicity, op9_near_duplicates, op10_url_filter)
+    f.__name__: f for f in (op1_decontaminate, op2_quality, op3_best_fit_packing, op4_html_extract, op5_token_counts, op6_suffix_dedup, op7_top_k, op8_toxicity, op9_near_duplicates, op10_url_filter)
 }
