@@ -2,29 +2,71 @@
 ``tidemark.llm``; its result is written as Parquet in the shared checkpoint
 folder and read again as the next stage's documents.
 
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``; rows keep every
+other column they came with. A document whose text is null or empty passes the
+filters (its toxicity score permitting) and is packed as the end token alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.packing import pack
+from tidemark.llm.suffix_dedup import remove_repeats
+from tidemark.llm.toxicity import without_toxic
 from tidemark.session import materialize
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the operator predicts to be toxic go."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: its smallest doc_id."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return out.dropDuplicates(["doc_id"])
+    kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = materialize(kept, "kept")
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    repeated = not kept.filter("_rows > 1").isEmpty()
+    return out.dropDuplicates(["doc_id"]) if repeated else out
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages are cut out of the texts; n_chars follows the text.
+    Bytes of a character that a cut has split are dropped with it."""
+    frame, new = remove_repeats(docs, kept="text")
+    cut = new["n_removed"] > 0
+    changed = {"text": F.when(cut, new["kept"]).otherwise(_column(docs, "text"))}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(cut, F.length(new["kept"]).cast("long")).otherwise(_column(docs, "n_chars"))
+    return frame.select(*[changed.get(c, _column(docs, c)).alias(c) for c in docs.columns])
+
+
+def _column(docs: DataFrame, name: str) -> Column:
+    return F.col(f"c{docs.columns.index(name)}")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark text go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left is packed into training sequences."""
+    return pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic),
     ("minhash near-dedup", near_dedup),
+    ("suffix-array dedup", suffix_dedup),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", packing),
 ]
 
 #: SQL cannot express the learned first stage; tests/llm holds run() against a brute-force version

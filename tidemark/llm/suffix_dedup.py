@@ -379,7 +379,7 @@ def _window_hashes(data: np.ndarray, head: np.ndarray, windows: np.ndarray) -> n
 
 # --- step 4: back to the documents ------------------------------------------
 
-def _finish(parts: int, splitters: np.ndarray, id_at: int, text_at: int):
+def _finish(parts: int, splitters: np.ndarray, id_at: int, text_at: int, kept: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist())
@@ -397,12 +397,12 @@ def _finish(parts: int, splitters: np.ndarray, id_at: int, text_at: int):
                     at = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(c.q1[i], w)
                     np.add.at(step, at[flags], 1)
                     np.add.at(step, at[flags] + WINDOW, -1)
-                yield _documents(c, np.cumsum(step[:-1]) > 0)
+                yield _documents(c, np.cumsum(step[:-1]) > 0, kept)
 
     return run
 
 
-def _documents(c: _Chunk, gone: np.ndarray) -> pa.RecordBatch:
+def _documents(c: _Chunk, gone: np.ndarray, want: str | None) -> pa.RecordBatch:
     n = len(c.off) - 1
     removed, spans, kept = [], [], []
     total = np.concatenate([[0], np.cumsum(gone)])
@@ -418,21 +418,27 @@ def _documents(c: _Chunk, gone: np.ndarray) -> pa.RecordBatch:
         spans.append(int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1])))
         kept.append(c.data[lo:hi][~g].tobytes())
     new = [pa.array(np.diff(c.off), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
-           pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array(kept, pa.binary())]
+           pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
+    if want == "bytes":
+        new.append(pa.array(kept, pa.binary()))
+    elif want == "text":
+        new.append(pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()))
     columns = c.batch.columns + new
     return pa.RecordBatch.from_arrays(columns, [f"c{k}" for k in range(len(columns))])
 
 
 _NEW = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
-        ("kept_sha256", T.StringType()), ("kept", T.BinaryType())]
+        ("kept_sha256", T.StringType())]
+_KEPT = {"bytes": [("kept", T.BinaryType())], "text": [("kept", T.StringType())], None: []}
 
 
-def remove_repeats(docs: DataFrame) -> tuple[DataFrame, dict]:
+def remove_repeats(docs: DataFrame, kept: str | None = None) -> tuple[DataFrame, dict]:
     """``docs`` (doc_id, text, any others) with their repeated passages marked.
 
     Returns a frame whose first columns are ``docs``' own, renamed c0, c1, ...,
-    and the new columns by name: n_bytes, n_removed, n_spans, kept_sha256, and
-    kept (the remaining bytes)."""
+    and the new columns by name: n_bytes, n_removed, n_spans, kept_sha256, and,
+    where ``kept`` asks for it, kept: the remaining "bytes", or them as "text"
+    without those of a character that a cut has split."""
     spark = ready(docs.sparkSession)
     id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -461,7 +467,7 @@ def remove_repeats(docs: DataFrame) -> tuple[DataFrame, dict]:
      .groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("verdicts")).write.parquet(path))
     verdicts = spark.read.parquet(path)
     own = [T.StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema.fields)]
-    width = len(own)
-    schema = T.StructType(own + [T.StructField(f"c{width + k}", t) for k, (_, t) in enumerate(_NEW)])
-    out = known.join(verdicts, "chunk", "left").mapInArrow(_finish(parts, splitters, id_at, text_at), schema)
-    return out, {n: F.col(f"c{width + k}") for k, (n, _) in enumerate(_NEW)}
+    width, new = len(own), _NEW + _KEPT[kept]
+    schema = T.StructType(own + [T.StructField(f"c{width + k}", t) for k, (_, t) in enumerate(new)])
+    out = known.join(verdicts, "chunk", "left").mapInArrow(_finish(parts, splitters, id_at, text_at, kept), schema)
+    return out, {n: F.col(f"c{width + k}") for k, (n, _) in enumerate(new)}

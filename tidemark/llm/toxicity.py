@@ -189,20 +189,32 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int =
     return mean, dev, w
 
 
+def _scores(model: tuple, column: pa.Array) -> np.ndarray:
+    table, (mean, dev, w), base = model
+    data, off = B.buffers(column)
+    out = []
+    for a, b in B.slices(off):
+        if table is None:
+            out.append(np.full(b - a, base))
+            continue
+        x = (features(data[off[a]:off[b]], off[a:b + 1] - off[a], table) - mean) / dev
+        out.append(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))))
+    return np.concatenate(out) if out else np.zeros(0)
+
+
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, (mean, dev, w), base = model.value
         for batch in batches:
-            data, off = B.buffers(batch.column(1))
-            out = []
-            for a, b in B.slices(off):
-                if table is None:
-                    out.append(np.full(b - a, base))
-                    continue
-                x = (features(data[off[a]:off[b]], off[a:b + 1] - off[a], table) - mean) / dev
-                out.append(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))))
-            score = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(score)], ["doc_id", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(_scores(model.value, batch.column(1)))],
+                                             ["doc_id", "held_out", "score"])
+
+    return run
+
+
+def _ordinary(model, text_at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model.value, batch.column(text_at)) < THRESHOLD))
 
     return run
 
@@ -222,14 +234,15 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return docs.join(marks, "doc_id").select("doc_id", "text", "label")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (4, 2)) -> DataFrame:
-    """(doc_id, text) rows and (doc_id, toxic) labels -> doc_id, held_out,
-    score, predicted of each row. Rows whose fold is ``held_out`` (modulus,
-    remainder) teach nothing."""
+def _out_of_fold(held_out: tuple[int, int]) -> Column:
+    return F.coalesce(fold(F.col("doc_id"), held_out[0]) == held_out[1], F.lit(False))
+
+
+def _learn(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int]):
+    """The broadcast model (table, fit, share of toxic labels)."""
     spark = ready(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    modulus, rest = held_out
-    out_of_fold = F.coalesce(fold(F.col("doc_id"), modulus) == rest, F.lit(False))
+    out_of_fold = _out_of_fold(held_out)
     train = labelled(docs.filter(F.col("doc_id").isNotNull() & ~out_of_fold), labels.filter(~out_of_fold), "toxic")
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0
     counts = (train.filter(~apart).select("text", "label").mapInArrow(_count, "gram long, n0 long, n1 long")
@@ -255,7 +268,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (4,
             fitted = (np.zeros(4), np.ones(4), np.array([20.0, 0, 0, 0, -1.0]))
     else:
         base = float(train.agg(F.avg("label")).first()[0] or 0.0)
-    model = spark.sparkContext.broadcast((table, fitted, base))
-    scored = docs.select("doc_id", "text", out_of_fold.alias("held_out")).mapInArrow(
+    return spark.sparkContext.broadcast((table, fitted, base))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (4, 2)) -> DataFrame:
+    """(doc_id, text) rows and (doc_id, toxic) labels -> doc_id, held_out,
+    score, predicted of each row. Rows whose fold is ``held_out`` (modulus,
+    remainder) teach nothing."""
+    model = _learn(docs, labels, held_out)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = rows.select("doc_id", "text", _out_of_fold(held_out).alias("held_out")).mapInArrow(
         _score(model), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = (4, 2)) -> DataFrame:
+    """``docs`` without the rows predicted to be toxic, columns unchanged."""
+    return docs.mapInArrow(_ordinary(_learn(docs, labels, held_out), docs.columns.index("text")), docs.schema)
