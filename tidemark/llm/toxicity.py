@@ -6,10 +6,11 @@ discounted counts back off to one distribution shared by both classes, built
 from continuation counts (distinct left neighbours) of both, so that an
 expression that neither class has seen says nothing for either. The log ratio
 of the two models at each character gives a document's length-normalised
-difference of log-likelihoods, and its largest sum over ``SPAN`` characters; a
-logistic regression with the length turns these into a score. It is fitted on
-labelled rows kept out of the counts (``CALIBRATION`` of them, a bounded sample
-of at most ``MAX_CALIBRATION`` rows).
+difference of log-likelihoods, and that of each word; a logistic regression on
+the first, the largest of the second and their number above ``CLEAR`` turns
+these into a score. It is fitted by cross-fitting: the labelled rows fall into ``FOLDS`` parts, and a part's rows
+get their features from counts without that part (of each part a bounded
+sample, at most ``MAX_CALIBRATION`` rows in all). Scores use all counts.
 
 Counts are summed within tasks before they are exchanged, and grow with the
 text up to the 32 ** ORDER expressions there are. The scoring table is that
@@ -36,9 +37,10 @@ from ._ship import ready
 
 ORDER = 5
 BITS = 5  # symbols as numbers below 32
-SPAN = 40
+CLEAR = 3.0  # log ratio of a word that counts as toxic
+N_FEATURES = 6
 DISCOUNT = 0.75
-CALIBRATION = 8  # one training row in so many
+FOLDS = 3
 MAX_CALIBRATION = 20_000
 MAX_BROADCAST_LABELS = 2_000_000  # rows (32 MB); beyond it the labels are joined by a shuffle
 THRESHOLD = 0.3
@@ -72,26 +74,30 @@ def _texts(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) rows -> (gram, n0, n1) summed over the task."""
-    keys, counts = [np.zeros(0, np.uint32)] * 2, [np.zeros(0, np.int64)] * 2
+    """(text, label, fold) rows -> (gram, n0, n1, fold) summed over the task."""
+    sums: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
-        toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        for label in (0, 1):
-            data, off = B.buffers(batch.column(0).filter(pa.array(toxic == bool(label))))
+        label, part = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+        for which in sorted(set(zip(part.tolist(), label.tolist()))):
+            data, off = B.buffers(batch.column(0).filter(pa.array((part == which[0]) & (label == which[1]))))
             for a, b in B.slices(off):
                 text, ends = _texts(data[off[a]:off[b]], off[a:b + 1] - off[a])
-                gram = _grams(text)
                 real = np.ones(len(text), bool)
                 real[(ends[:-1][:, None] + np.arange(ORDER - 1)).ravel()] = False
-                k, c = np.unique(gram[real], return_counts=True)
-                both, at = np.unique(np.concatenate([keys[label], k]), return_inverse=True)
-                counts[label] = np.bincount(at, weights=np.concatenate([counts[label], c]), minlength=len(both)).astype(np.int64)
-                keys[label] = both
-    both = np.union1d(keys[0], keys[1])
-    n = np.zeros((2, len(both)), np.int64)
-    for label in (0, 1):
-        n[label, np.searchsorted(both, keys[label])] = counts[label]
-    yield pa.RecordBatch.from_arrays([pa.array(both.astype(np.int64)), pa.array(n[0]), pa.array(n[1])], ["gram", "n0", "n1"])
+                keys, counts = np.unique(_grams(text)[real], return_counts=True)
+                if which in sums:
+                    old = sums[which]
+                    keys, at = np.unique(np.concatenate([old[0], keys]), return_inverse=True)
+                    counts = np.bincount(at, np.concatenate([old[1], counts]), len(keys)).astype(np.int64)
+                sums[which] = keys, counts
+    for part in sorted({k[0] for k in sums}):
+        sides = [sums.get((part, label), (np.zeros(0, np.uint32), np.zeros(0, np.int64))) for label in (0, 1)]
+        both = np.union1d(sides[0][0], sides[1][0])
+        n = np.zeros((2, len(both)), np.int64)
+        for row, (keys, counts) in zip(n, sides):
+            row[np.searchsorted(both, keys)] = counts
+        yield pa.RecordBatch.from_arrays([pa.array(both.astype(np.int64)), pa.array(n[0]), pa.array(n[1]),
+                                          pa.array(np.full(len(both), part, np.int32))], ["gram", "n0", "n1", "fold"])
 
 
 def log_ratio_table(gram: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -132,24 +138,42 @@ def log_ratio_table(gram: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> np.ndar
     return out
 
 
+def _table_of(gram: np.ndarray, n0: np.ndarray, n1: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``log_ratio_table`` of the chosen rows, summed by expression."""
+    keys, at = np.unique(gram[rows], return_inverse=True)
+    return log_ratio_table(keys, *(np.bincount(at, n[rows], len(keys)).astype(np.int64) for n in (n0, n1)))
+
+
 def features(data: np.ndarray, off: np.ndarray, ratio: np.ndarray) -> np.ndarray:
-    """Per text: mean log ratio, largest sum over SPAN characters, its square
-    root by sign, log length."""
+    """Per text: mean log ratio, largest sum over a word, mean of the three
+    largest, share and (log) number of words above CLEAR, log length."""
     n = len(off) - 1
     text, ends = _texts(data, off)
+    out = np.zeros((n, N_FEATURES))
+    if not n:
+        return out
     r = ratio[_grams(text)].astype(np.int64)
     r[(ends[:-1][:, None] + np.arange(ORDER - 1)).ravel()] = 0
-    cum = np.concatenate([[0], np.cumsum(r)])
     size = np.diff(off)
-    total = cum[ends[1:]] - cum[ends[:-1]]
-    # windows end inside their text and start no earlier than it does
-    begin = np.repeat(ends[:-1], np.diff(ends))
-    at = np.arange(1, len(text) + 1)
-    window = cum[at] - cum[np.maximum(at - SPAN, begin)]
-    most = np.maximum.reduceat(window, ends[:-1]) if n else np.zeros(0)
-    mean = total / _STEP / np.maximum(size, 1)
-    most = np.where(size > 0, most / _STEP, 0.0)
-    return np.stack([mean, most, np.sign(most) * np.sqrt(np.abs(most)), np.log1p(size)], axis=1)
+    out[:, 0] = np.add.reduceat(r, ends[:-1]) / _STEP / np.maximum(size, 1)
+    # a word is its symbols and the sign that ends it
+    after = np.ones(len(text), bool)
+    after[1:] = _SYMBOL[text[:-1]] == 0
+    begin = after & (_SYMBOL[text] != 0)
+    begin[ends[:-1]] = True  # signs before a text's first word
+    at = np.flatnonzero(begin)
+    word = np.add.reduceat(r, at) / _STEP
+    owner = np.searchsorted(ends, at, side="right") - 1
+    order = np.lexsort((-word, owner))
+    rank = np.arange(len(order)) - np.searchsorted(owner, owner[order])
+    best = np.zeros((n, 3))
+    top = rank < 3
+    best[owner[order[top]], rank[top]] = np.maximum(word[order[top]], 0)
+    words = np.bincount(owner, minlength=n)
+    clear = np.bincount(owner, word > CLEAR, n)
+    out[:, 1], out[:, 2] = best[:, 0], best.mean(1)
+    out[:, 3], out[:, 4], out[:, 5] = clear / np.maximum(words, 1), np.log1p(clear), np.log1p(size)
+    return out
 
 
 def _features_of(table):
@@ -157,8 +181,9 @@ def _features_of(table):
         for batch in batches:
             data, off = B.buffers(batch.column(0))
             parts = [features(data[off[a]:off[b]], off[a:b + 1] - off[a], table.value) for a, b in B.slices(off)]
-            x = np.concatenate(parts) if parts else np.zeros((0, 4))
-            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(x[:, k]) for k in range(4))], ["toxic", "a", "b", "c", "d"])
+            x = np.concatenate(parts) if parts else np.zeros((0, N_FEATURES))
+            cells = pa.array([row.tobytes() for row in x], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(1), cells], ["toxic", "x"])
 
     return run
 
@@ -244,30 +269,36 @@ def _learn(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int]):
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out_of_fold = _out_of_fold(held_out)
     train = labelled(docs.filter(F.col("doc_id").isNotNull() & ~out_of_fold), labels.filter(~out_of_fold), "toxic")
-    apart = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0
-    counts = (train.filter(~apart).select("text", "label").mapInArrow(_count, "gram long, n0 long, n1 long")
-              .groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
-    gram, n0, n1 = (counts.column(k).to_numpy() for k in range(3))
-    order = np.argsort(gram)
-    gram, n0, n1 = gram[order], n0[order], n1[order]
+    train = train.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int"))
+    counts = (train.select("text", "label", "fold").mapInArrow(_count, "gram long, n0 long, n1 long, fold int")
+              .groupBy("gram", "fold").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
+    gram, part, n0, n1 = (counts.column(k).to_numpy() for k in range(4))
     table, fitted, base = None, (None, None, None), 0.0
-    if n0.sum() and n1.sum():
-        table = log_ratio_table(gram, n0, n1)
-        apart_rows = train.filter(apart)
-        n = apart_rows.count()
-        if n > MAX_CALIBRATION:  # a hash decides, so the sample is the same each time
-            keep = int(MAX_CALIBRATION / n * 10_000)
-            apart_rows = apart_rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(10_000)) < keep)
-        rows = apart_rows.select("text", "label").mapInArrow(
-            _features_of(spark.sparkContext.broadcast(table)), "toxic int, a double, b double, c double, d double").toArrow()
-        x = np.column_stack([rows.column(k).to_numpy() for k in range(1, 5)]) if rows.num_rows else np.zeros((0, 4))
-        y = rows.column(0).to_numpy().astype(float)
-        if 0 < y.sum() < len(y):
-            fitted = fit_logistic(x, y)
-        else:  # no row of one class to fit on: the mean ratio decides
-            fitted = (np.zeros(4), np.ones(4), np.array([20.0, 0, 0, 0, -1.0]))
-    else:
+    if not (n0.sum() and n1.sum()):
         base = float(train.agg(F.avg("label")).first()[0] or 0.0)
+        return spark.sparkContext.broadcast((table, fitted, base))
+    table = _table_of(gram, n0, n1, np.ones(len(gram), bool))
+    n = labels.count()
+    share = min(1.0, MAX_CALIBRATION / max(n, 1))  # a hash decides, so the sample is the same each time
+    sample = train.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000))
+    xs, ys = [], []
+    for k in range(FOLDS):
+        other = part != k
+        if not (n0[other].sum() and n1[other].sum()):
+            continue
+        held = spark.sparkContext.broadcast(_table_of(gram, n0, n1, other))
+        rows = sample.filter(F.col("fold") == k).select("text", "label").mapInArrow(
+            _features_of(held), "toxic int, x binary").toArrow()
+        held.unpersist()
+        xs.append(np.frombuffer(b"".join(rows.column(1).to_pylist()), np.float64).reshape(-1, N_FEATURES))
+        ys.append(rows.column(0).to_numpy().astype(float))
+    y = np.concatenate(ys) if ys else np.zeros(0)
+    if 0 < y.sum() < len(y):
+        x = np.concatenate(xs)
+        order = np.lexsort(x.T)  # rows come in no fixed order
+        fitted = fit_logistic(x[order], y[order])
+    else:  # too few rows to fit on: the mean ratio decides
+        fitted = (np.zeros(N_FEATURES), np.ones(N_FEATURES), np.array([20.0] + [0.0] * (N_FEATURES - 1) + [-1.0]))
     return spark.sparkContext.broadcast((table, fitted, base))
 
 

@@ -105,7 +105,8 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     if n > TRAIN_ROWS:
         cut = int(TRAIN_ROWS / n * 1_000_000)
         sample = sample.filter(F.pmod(F.xxhash64("url", F.col("page_id").cast("string")), F.lit(1_000_000)) < cut)
-    trees = GBTClassifier(featuresCol="features", labelCol="blocked", maxIter=TREES, maxDepth=DEPTH, seed=SEED)
+    trees = GBTClassifier(featuresCol="features", labelCol="blocked", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
+                          featureSubsetStrategy="onethird", subsamplingRate=0.8)
     model = trees.fit(sample.select("features", "blocked"))
     chance = vector_to_array(F.col("probability"))[1]
     judged = model.transform(rows)
