@@ -2,19 +2,25 @@
 
 Method. A document's set is its distinct five-word shingles. Equal sets are
 merged first. Of every set, two groups of ``COLLECTIONS`` small hash
-collections of ``HALF`` minhashes are computed; the key of table (i, j) joins
-collection i of the first group with collection j of the second, so
-2 * COLLECTIONS * HALF minhashes serve COLLECTIONS ** 2 tables of 2 * HALF
-minhashes. Two sets with Jaccard 0.85 share a key unless all collections of
-one group differ: 3e-4; at 0.9, 9e-6.
-
-Within a table's bucket the first ``CENTERS`` members are compared with every
-member, by a byte sketch of all minhashes and by set size; survivors are
-confirmed exactly on the full shingle sets. Confirmed links are contracted to
-components; buckets that still hold members beyond those centers and more than
-one component go through further rounds with eight times the centers, without
-the pairs that are already in one component. No pair of a bucket is dropped
-and none is listed twice per round; a bucket is streamed, never held whole.
+collections of ``HALF`` minhashes are computed; table (i, j) joins collection i
+of the first group with collection j of the second, so 2 * COLLECTIONS * HALF
+minhashes serve COLLECTIONS ** 2 tables of 2 * HALF minhashes. Two sets with
+Jaccard 0.85 share a key unless all collections of one group differ: 3e-4; at
+0.9, 9e-6.
+
+Rows are dealt by the first half of the key only, one row for each collection
+of the first group; inside such a bucket the second halves tell which tables a
+pair shares, and the pair is looked at in the first of them alone. It is then
+judged by the ``BOTTOM`` smallest hashes of both sets: all of them in sets of
+that size or less, else an estimate (deviation 0.015) that must reach
+``LEAST``. Pairs already joined by links found in the same batch are passed
+over, so a group of copies yields about as many links as members, not pairs.
+Links are confirmed on the full shingle sets, then contracted to components.
+
+A bucket is streamed; its first ``CENTERS`` members are held and meet every
+member. Members beyond those go through further rounds, without the pairs that
+are in one component by then, until no bucket has members left that have not
+met or more than one component. No pair is dropped.
 
 Defined cases: null or empty text, or text without words: empty set, a class
 of its own. Null doc_id: takes part; its component_id is the smallest non-null
@@ -39,9 +45,10 @@ from ._ship import ready
 SHINGLE = 5
 COLLECTIONS = 12
 HALF = 4
-CENTERS = 8
-#: of 2 * COLLECTIONS * HALF minhash bytes; at Jaccard 0.85 the mean is 81.6, the deviation 3.5
-MIN_AGREE = 60
+CENTERS = 2048
+BOTTOM = 512
+LEAST = 0.78  # estimated Jaccard of sets over BOTTOM that is looked at further
+SURE = 0.93  # estimate from which a pair counts as joined while its link is unconfirmed
 SIMILARITY = 85  # per cent
 
 _HASHES = 2 * COLLECTIONS * HALF
@@ -93,7 +100,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-_SIG_SCHEMA = "doc_id long, n_shingles long, set_key binary, halves binary, sketch binary"
+_SIG_SCHEMA = "doc_id long, n_shingles long, set_key binary, halves binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,77 +110,178 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingle_sets(data[off[a]:off[b]], off[a:b + 1] - off[a])
             full = [i for i, s in enumerate(sets) if len(s)]
             halves: list[bytes | None] = [None] * len(sets)
-            sketch: list[bytes | None] = [None] * len(sets)
             if full:
-                sig = _signatures([sets[i] for i in full])
-                parts = sig.reshape(len(full), 2 * COLLECTIONS, HALF).astype(np.uint64)
+                parts = _signatures([sets[i] for i in full]).reshape(len(full), 2 * COLLECTIONS, HALF).astype(np.uint64)
                 h = np.zeros(parts.shape[:2], np.uint64)
                 for k in range(HALF):
                     h = h * B._STEP + parts[:, :, k]
-                h = B.mix(h)
-                low = B.mix(sig.astype(np.uint64)).astype(np.uint8)
-                for row, i in enumerate(full):
-                    halves[i] = h[row].tobytes()
-                    sketch[i] = low[row].tobytes()
+                for row, i in zip(B.mix(h), full):
+                    halves[i] = row.tobytes()
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(a, b - a),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([set_key(s) for s in sets], pa.binary()),
-                pa.array(halves, pa.binary()), pa.array(sketch, pa.binary()),
-            ], ["doc_id", "n_shingles", "set_key", "halves", "sketch"])
+                pa.array([set_key(s) for s in sets], pa.binary()), pa.array(halves, pa.binary()),
+            ], ["doc_id", "n_shingles", "set_key", "halves"])
+
+
+def _half_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, halves) rows -> one (key, collection, node) row for each
+    collection of the first group."""
+    which = np.arange(COLLECTIONS, dtype=np.uint64)
+    for batch in batches:
+        h = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(batch.num_rows, -1)[:, :COLLECTIONS]
+        keys = B.mix(h + which * B._STEP).reshape(-1)
+        node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), COLLECTIONS)
+        table = np.tile(np.arange(COLLECTIONS, dtype=np.int8), batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(B.as_long(keys)), pa.array(table), pa.array(node)], ["key", "collection", "node"])
+
 
+_MEMBER = "node long, size long, prints binary, bottom binary, set_key binary, text string"
 
-def _table_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = np.arange(COLLECTIONS ** 2, dtype=np.uint64)
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, halves, set_key, text) rows -> what the buckets compare."""
     for batch in batches:
-        for a in range(0, batch.num_rows, 2000):
-            part = batch.slice(a, 2000)
-            h = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint64).reshape(part.num_rows, 2, COLLECTIONS)
-            keys = (h[:, 0, :, None] * B._BASE + h[:, 1, None, :]).reshape(part.num_rows, -1)
-            keys = B.mix(keys + table * B._STEP)
-            node = np.repeat(part.column(0).to_numpy(zero_copy_only=False), COLLECTIONS ** 2)
-            yield pa.RecordBatch.from_arrays([pa.array(B.as_long(keys.reshape(-1))), pa.array(node)], ["key", "node"])
+        data, off = B.buffers(batch.column(3))
+        for a, b in B.slices(off):
+            sets = shingle_sets(data[off[a]:off[b]], off[a:b + 1] - off[a])
+            part = batch.slice(a, b - a)
+            keep, prints, bottom = [], [], []
+            for s, key, h in zip(sets, part.column(2).to_pylist(), part.column(1).to_pylist()):
+                keep.append(set_key(s) == key)  # else another text of the same doc_id
+                prints.append((np.frombuffer(h, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes())
+                low = np.unique((B.mix(s) >> np.uint64(32)).astype(np.uint32))
+                bottom.append(low[:BOTTOM].tobytes())
+            out = pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()),
+                 pa.array(bottom, pa.binary()), part.column(2), part.column(3)],
+                ["node", "size", "prints", "bottom", "set_key", "text"])
+            yield out.filter(pa.array(keep, pa.bool_()))
+
+
+class _Rows:
+    """Rows of one or more buckets, in key and rank order."""
+
+    def __init__(self, key, collection, node, size, comp, prints, bottom):
+        self.key, self.collection, self.node, self.size, self.comp, self.prints, self.bottom = key, collection, node, size, comp, prints, bottom
 
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> "_Rows":
+        key, collection, node, size, comp = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+        prints = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint32).reshape(-1, 2 * COLLECTIONS)
+        return cls(key, collection, node, size, comp, prints, batch.column(6).to_pylist())
 
-def _bucket_pairs(centers: int):
-    """Rows (key, node, rank, n_shingles, sketch, comp) in key and rank order ->
-    pairs of a member and one of its bucket's first ``centers`` members."""
+    def take(self, a: int, b: int) -> "_Rows":
+        return _Rows(*(x[a:b].copy() if isinstance(x, np.ndarray) else x[a:b] for x in vars(self).values()))
+
+    def after(self, held: "_Rows") -> "_Rows":
+        return _Rows(*(np.concatenate([x, y]) if isinstance(x, np.ndarray) else x + y
+                       for x, y in zip(vars(held).values(), vars(self).values())))
+
+
+class _Judge:
+    """Estimated or exact Jaccard of pairs of rows, from their smallest hashes."""
+
+    def __init__(self, rows: _Rows):
+        lists = [np.frombuffer(x, np.uint32) for x in rows.bottom]
+        self.length = np.array([len(x) for x in lists], np.int64)
+        self.head = np.cumsum(self.length) - self.length
+        self.value = np.concatenate(lists).astype(np.uint64)
+        self.tagged = self.value | np.repeat(np.arange(len(lists), dtype=np.uint64), self.length) << np.uint64(32)
+        last = self.value[self.head + self.length - 1]
+        self.limit = np.where(rows.size > BOTTOM, last, np.uint64(0xFFFFFFFF))
+        self.size = rows.size
+
+    def __call__(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Jaccard of each pair, and whether it is that of the full sets."""
+        out = np.zeros(len(i))
+        step = max(1, (1 << 20) // BOTTOM)
+        limit = np.minimum(self.limit[i], self.limit[j])
+        for a in range(0, len(i), step):
+            x, y, lim = i[a:a + step], j[a:a + step], limit[a:a + step]
+            n = self.length[y]
+            src = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.head[y], n)
+            pair = np.repeat(np.arange(len(x)), n)
+            value = self.value[src]
+            value_ok = value <= lim[pair]
+            want = value | x[pair].astype(np.uint64) << np.uint64(32)
+            at = np.minimum(np.searchsorted(self.tagged, want), len(self.tagged) - 1)
+            both = np.bincount(pair, (self.tagged[at] == want) & value_ok, len(x))
+            of_y = np.bincount(pair, value_ok, len(x))
+            of_x = np.searchsorted(self.tagged, lim | x.astype(np.uint64) << np.uint64(32), side="right") - self.head[x]
+            out[a:a + step] = both / np.maximum(of_x + of_y - both, 1)
+        return out, (self.size[i] <= BOTTOM) & (self.size[j] <= BOTTOM)
+
+
+def _bucket_links(trust: int):
+    """Rows (key, collection, node, size, comp, prints, bottom) in key and rank
+    order -> (u, v, sure) pairs that are, or may be, links. trust: which pairs
+    count as joined at once; 2 also those of a high estimate, 1 those judged on
+    all hashes of both sets, 0 none."""
+
+    def links(rows: _Rows, fresh: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+        """Pairs of a held or earlier member with one from ``fresh`` on."""
+        n = len(rows.key)
+        place = np.arange(n)
+        new = np.ones(n, bool)
+        new[1:] = rows.key[1:] != rows.key[:-1]
+        start = np.maximum.accumulate(np.where(new, place, 0))
+        judge = None
+        _, name = np.unique(rows.node, return_inverse=True)
+        parent = np.arange(name.max() + 1)
+        root = parent[name]
+        found: tuple[list, list, list] = ([], [], [])
+        left, right = rows.prints[:, :COLLECTIONS], rows.prints[:, COLLECTIONS:]
+        open_ = np.flatnonzero((place >= fresh) & (place > start))
+        for c in range(CENTERS):
+            open_ = open_[start[open_] + c < open_]
+            if not len(open_):
+                break
+            i, j = start[open_] + c, open_
+            ok = (root[i] != root[j]) & (rows.comp[i] != rows.comp[j])
+            ok &= 100 * np.minimum(rows.size[i], rows.size[j]) >= SIMILARITY * np.maximum(rows.size[i], rows.size[j])
+            i, j = i[ok], j[ok]
+            ok = (right[i] == right[j]).any(1)
+            i, j = i[ok], j[ok]
+            ok = (left[i] == left[j]).argmax(1) == rows.collection[j]
+            i, j = i[ok], j[ok]
+            if not len(i):
+                continue
+            judge = judge or _Judge(rows)
+            value, exact = judge(i, j)
+            link = np.where(exact, 100 * value >= SIMILARITY - 1e-6, value >= LEAST)
+            sure = ((exact & (trust > 0)) | ((value >= SURE) & (trust > 1)))[link]
+            i, j = i[link], j[link]
+            found[0].append(rows.node[i])
+            found[1].append(rows.node[j])
+            found[2].append(sure)
+            for a, b in zip(name[i[sure]].tolist(), name[j[sure]].tolist()):
+                while parent[a] != a:
+                    a = parent[a]
+                while parent[b] != b:
+                    b = parent[b]
+                parent[max(a, b)] = min(a, b)
+            if sure.any():
+                while (up := parent[parent]).tobytes() != parent.tobytes():
+                    parent = up
+                root = parent[name]
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None  # the first members of the last key
+        held: _Rows | None = None  # the first members of the last key
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, node, rank, size, comp = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3, 5))
-            sketch = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, _HASHES)
-            cols = [key, node, rank, size, comp, sketch]
-            first = 0
-            if held is not None and held[0][0] == key[0]:
-                first = len(held[0])
-                cols = [np.concatenate([x, y]) for x, y in zip(held, cols)]
-            key, node, rank, size, comp, sketch = cols
-            n = len(key)
-            new = np.ones(n, bool)
-            new[1:] = key[1:] != key[:-1]
-            start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-            found = []
-            for c in range(centers):
-                i = np.flatnonzero((start + c < np.arange(n)) & (np.arange(n) >= first))
-                if not len(i):
-                    break
-                j = start[i] + c
-                ok = (comp[i] != comp[j]) & (100 * np.minimum(size[i], size[j]) >= SIMILARITY * np.maximum(size[i], size[j]))
-                i, j = i[ok], j[ok]
-                ok = np.zeros(len(i), bool)
-                for a in range(0, len(i), 50_000):
-                    ok[a:a + 50_000] = (sketch[i[a:a + 50_000]] == sketch[j[a:a + 50_000]]).sum(1) >= MIN_AGREE
-                found.append(np.stack([node[i[ok]], node[j[ok]]]))
-            if found:
-                pair = np.concatenate(found, axis=1)
-                pair = np.unique(np.sort(pair, axis=0), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["u", "v"])
-            tail = int(start[-1])
-            held = [x[tail:tail + centers].copy() for x in cols]
+            rows, fresh = _Rows.of(batch), 0
+            if held is not None and held.key[0] == rows.key[0]:
+                fresh = len(held.key)
+                rows = rows.after(held)
+            u, v, sure = links(rows, fresh)
+            if u:
+                pair = np.sort(np.stack([np.concatenate(u), np.concatenate(v)]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1]), pa.array(np.concatenate(sure))], ["u", "v", "sure"])
+            tail = int(np.flatnonzero(rows.key == rows.key[-1])[0])
+            held = rows.take(tail, tail + CENTERS)
 
     return run
 
@@ -181,19 +289,14 @@ def _bucket_pairs(centers: int):
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sides = []
-        for text, key in ((2, 3), (4, 5)):
-            data, off = B.buffers(batch.column(text))
-            sets = [s for a, b in B.slices(off) for s in shingle_sets(data[off[a]:off[b]], off[a:b + 1] - off[a])]
-            named = batch.column(key).to_pylist()
-            sides.append([s if set_key(s) == k else None for s, k in zip(sets, named)])
-        keep = []
+        for column in (3, 4):
+            data, off = B.buffers(batch.column(column))
+            sides.append([s for a, b in B.slices(off) for s in shingle_sets(data[off[a]:off[b]], off[a:b + 1] - off[a])])
+        holds = []
         for x, y in zip(*sides):
-            if x is None or y is None:
-                keep.append(False)
-                continue
             both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
-        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            holds.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(holds, pa.bool_())], ["u", "v", "sure", "holds"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -203,36 +306,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialize(docs.mapInArrow(_sign, _SIG_SCHEMA), "signatures")
     sets = materialize(
-        signed.filter("n_shingles > 0").groupBy("set_key").agg(
-            F.min("doc_id").alias("low"), F.first("n_shingles").alias("n_shingles"),
-            F.first("halves").alias("halves"), F.first("sketch").alias("sketch"))
+        signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("low"), F.first("halves").alias("halves"))
         .withColumn("node", F.monotonically_increasing_id()), "sets")
-    keys = sets.select("node", "halves").mapInArrow(_table_keys, "key long, node long")
     by_key = Window.partitionBy("key")
-    shared = (keys.withColumn("n", F.count(F.lit(1)).over(by_key)).filter("n > 1")
-              .withColumn("rank", F.row_number().over(by_key.orderBy("node")) - 1))
-    members = materialize(shared.select("key", "node", "n", "rank").join(
-        sets.select("node", "n_shingles", "sketch"), "node").withColumn("comp", F.col("node")), "members")
-    links, labels, width, done = None, None, CENTERS, 0
+    buckets = materialize(
+        sets.select("node", "halves").mapInArrow(_half_keys, "key long, collection byte, node long")
+        .withColumn("n", F.count(F.lit(1)).over(by_key)).filter("n > 1")
+        .withColumn("rank", F.row_number().over(by_key.orderBy("node")) - 1), "buckets")
+    members = buckets.select("node").distinct().join(sets, "node")
+    members = materialize(docs.join(members, docs["doc_id"].eqNullSafe(members["low"]))
+                          .select("node", "halves", "set_key", "text").mapInArrow(_describe, _MEMBER), "members")
+    links, labels, trust = None, None, 2
     while True:
-        pairs = (members.select("key", "node", "rank", "n_shingles", "sketch", "comp")
-                 .repartition("key").sortWithinPartitions("key", "rank")
-                 .mapInArrow(_bucket_pairs(width), "u long, v long").distinct())
-        pairs = materialize(pairs, "pairs")
-        found = materialize(_confirmed(docs, sets, pairs), "confirmed")
+        known = buckets if labels is None else buckets.join(labels, "node", "left")
+        known = known.withColumn("comp", F.col("node") if labels is None else F.coalesce("root", "node"))
+        rows = (known.join(members.select("node", "size", "prints", "bottom"), "node")
+                .select("key", "collection", "node", "size", "comp", "prints", "bottom", "rank")
+                .repartition("key").sortWithinPartitions("key", "rank").drop("rank"))
+        pairs = materialize(rows.mapInArrow(_bucket_links(trust), "u long, v long, sure boolean")
+                            .groupBy("u", "v").agg(F.max("sure").alias("sure")), "pairs")
+        one = members.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
+        two = members.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
+        judged = materialize(pairs.join(one, "u").join(two, "v").select("u", "v", "sure", "text_u", "text_v")
+                             .mapInArrow(_confirm, "u long, v long, sure boolean, holds boolean"), "confirmed")
+        found = judged.filter("holds").select("u", "v").distinct()
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-        done += width
+        if not judged.filter("sure and not holds").isEmpty():
+            trust -= 1  # pairs may have been passed over for a link that does not hold: once more, trusting less
+            continue
         # buckets with members that no center has met, and more than one component
-        rest = members.filter(F.col("n") > width).drop("comp").join(labels, "node", "left").select(
-            "key", "node", "n", "rank", "n_shingles", "sketch", F.coalesce("root", "node").alias("comp"))
-        rest = (rest.filter(F.col("rank") >= width).withColumn("rank", F.col("rank") - width)
-                .withColumn("n", F.col("n") - width))
-        mixed = rest.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a != b")
-        members = materialize(rest.join(mixed.select("key"), "key", "left_semi"), "members")
-        if members.isEmpty():
+        rest = (buckets.filter(F.col("n") > CENTERS).filter(F.col("rank") >= CENTERS)
+                .withColumn("rank", F.col("rank") - CENTERS).withColumn("n", F.col("n") - CENTERS))
+        mixed = (rest.join(labels, "node", "left").groupBy("key")
+                 .agg(F.min(F.coalesce("root", "node")).alias("a"), F.max(F.coalesce("root", "node")).alias("b")).filter("a != b"))
+        buckets = materialize(rest.join(mixed.select("key"), "key", "left_semi"), "buckets")
+        if buckets.isEmpty():
             break
-        width *= 8
     classes = sets.select("set_key", "node", "low").join(labels, "node", "left").select(
         "set_key", "low", F.coalesce("root", "node").alias("root"))
     lows = classes.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -241,17 +351,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"),
                       F.col("doc_id").eqNullSafe(own).alias("kept"))
-
-
-def _confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Candidate pairs whose full sets are similar enough. A set's text is that
-    of its smallest doc_id; where a doc_id has several texts, the text whose
-    set is named is the one used."""
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    named = nodes.join(sets.select("node", "low", "set_key"), "node")
-    texts = materialize(docs.join(named, docs["doc_id"].eqNullSafe(named["low"]))
-                        .select("node", "text", "set_key").distinct(), "texts")
-    one = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"), F.col("set_key").alias("key_u"))
-    two = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"), F.col("set_key").alias("key_v"))
-    both = pairs.join(one, "u").join(two, "v").select("u", "v", "text_u", "key_u", "text_v", "key_v")
-    return both.mapInArrow(_confirm, "u long, v long")
