@@ -47,7 +47,7 @@ def test_search_skips_most_of_clustered_vectors():
             Counted.rows += len(self)
             return np.asarray(self) @ other
 
-    tree.rows = x.view(Counted)
+    tree.rows = tree.rows.view(Counted)
     for q in range(0, 4000, 400):
         got = tree.search(x[q], q, 5)
         s = x @ x[q]
