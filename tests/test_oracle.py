@@ -1,17 +1,15 @@
 """Every registered query against its DuckDB oracle (sf0.001; the driver's
-gate runs the same comparison at sf0.01). Queries without an oracle are
-iterative or streaming: they are checked against the uncapped/capped model
-elsewhere and here only for a stable, non-empty result."""
+gate runs the same comparison at sf0.01)."""
 
 import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tidemark.plans import catalog, oracle
 from tidemark.plans.compare import compare, duckdb_conn
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-NO_ORACLE = sorted(set(QUERIES) - set(ORACLES))
+QUERIES = catalog.QUERIES
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +18,8 @@ def con():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(NO_ORACLE) == {"paced_replay", "stream_ordered_release", "stream_replay_until_live"}
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -45,22 +43,3 @@ def test_capped_replay_consistent_with_counts(spark):
     per = {r.release_epoch: r["count"] for r in rel.groupBy("release_epoch").count().collect()}
     counts = {r.epoch: r.released for r in QUERIES["paced_counts"](spark, SF_SMALL).collect()}
     assert {k: v for k, v in counts.items() if v} == per
-
-
-def test_stream_equals_batch_capped(spark):
-    a = {(r.topic, r.partition, r.offset, r.release_epoch, r.release_position)
-         for r in QUERIES["stream_ordered_release"](spark, SF_SMALL).collect()}
-    b = {(r.topic, r.partition, r.offset, r.release_epoch, r.release_position)
-         for r in QUERIES["paced_replay"](spark, SF_SMALL).collect()}
-    assert a == b and len(a) > 0
-
-
-def test_stream_until_live_state(spark):
-    st = QUERIES["stream_replay_until_live"](spark, SF_SMALL).collect()
-    batch = {(r.topic, r.partition): r for r in QUERIES["partition_state"].__globals__["earliest_replay"](
-        spark, SF_SMALL).partition_state(None, as_timestamp=False).collect()}
-    assert len(st) == len(batch) > 0
-    for r in st:
-        b = batch[(r.topic, r.partition)]
-        assert (r.consumed_offset, r.released_offset, r.is_live) == (b.consumed_offset, b.released_offset, b.is_live)
-        assert r.is_live

@@ -46,14 +46,8 @@ def spark_release(rows):
             if r["release_epoch"] is not None}
 
 
-@pytest.fixture(params=["blocks", "asof"])
-def strategy(request, monkeypatch):
-    monkeypatch.setattr(R, "ASOF_MIN_EPOCHS", 4096 if request.param == "blocks" else 0)
-    return request.param
-
-
 @pytest.mark.parametrize("seed", [1, 2, 3, 4])
-def test_uncapped_release_and_state(spark, seed, strategy):
+def test_uncapped_release_and_state(spark, seed):
     ranges, polls = random_log(seed)
     rp = replay_of(spark, ranges, polls)
     got = spark_release(rp.released.collect())
@@ -84,7 +78,7 @@ def test_uncapped_release_and_state(spark, seed, strategy):
         assert prog[e].pending == pending
 
 
-def test_release_blocks_many_polls(spark, strategy):
+def test_release_blocks_many_polls(spark):
     """Many polls: the block search crosses block boundaries."""
     rnd = random.Random(7)
     ranges = {("a", 0): (0, 400), ("a", 1): (0, 400)}
@@ -121,6 +115,31 @@ def test_capped_counts(spark):
         assert counts.get(e, 0) == len(rel), f"poll {e}"
 
 
+@pytest.mark.parametrize("seed", [41, 42])
+def test_capped_counts_with_falling_limits(spark, seed):
+    """R6 where the limit falls: the counts of the exact rows."""
+    ranges, polls = random_log(seed, out_of_order=0.4, max_msgs=20)
+    rp = replay_of(spark, ranges, polls, batch_size=3)
+    counts = {r.epoch: r.released for r in rp.paced_counts().collect()}
+    for e, (rel, _, _) in enumerate(run(ranges, polls, 3, drain=True)):
+        assert counts.get(e, 0) == len(rel), f"poll {e}"
+
+
+@pytest.mark.parametrize("seed", [51, 52])
+def test_flow_decisions_are_taken_before_release(spark, seed):
+    """On the buffer with the poll's arrivals, as the poll loop has it."""
+    ranges, polls = random_log(seed, max_msgs=30)
+    rp = replay_of(spark, ranges, polls, batch_size=2)
+    flow = {r.epoch: r for r in rp.flow().collect()}
+    before = 0
+    for e, (rel, _, state) in enumerate(run(ranges, polls)):
+        buffer = before + sum(1 for m in polls[e] if m["ts"] is not None)
+        caught = all(v["caught"] for v in state.values())
+        assert flow[e].over_buffer == (buffer > 10), f"poll {e}"
+        assert flow[e].should_resume == (buffer < 2 or caught), f"poll {e}"
+        before = buffer - len(rel)
+
+
 @pytest.mark.parametrize("seed", [31, 32])
 def test_mark_and_ahead_with_tree_blocks(spark, seed, monkeypatch):
     """Force the segment-tree path for every interval; mark and partitions

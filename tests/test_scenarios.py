@@ -6,7 +6,7 @@ from helpers import msg, released_by_poll, replay_of, states_by_poll
 
 E = "events"
 
-# Fixture data: topic data files (partition -> (offset, timestamp_ms, value)).
+# Golden rows and expectations, partition -> (offset, timestamp_ms, value).
 TWO_PARTITION_ORDERING = {0: [(0, 1000, "p0-msg0"), (1, 1500, "p0-msg1")],
                           1: [(0, 500, "p1-msg0"), (1, 800, "p1-msg1")]}
 LIVE_DETECTION_EVENTS = {0: [(0, 500, None), (1, 600, None)],
@@ -45,14 +45,14 @@ def _check(spark, ranges, polls, expected_released, expected_states, batch_size=
                 assert actual[k] == v, f"poll {e} partition {p} {k}: {actual[k]} != {v}"
 
 
-def test_basic_ordering(spark):
+def test_mark_of_the_slower_partition_holds_back(spark):
     ranges, polls = _resolve(TWO_PARTITION_ORDERING, {0: 100, 1: 100}, [{0: [0, 1], 1: [0, 1]}])
     _check(spark, ranges, polls, [[(1, 0), (1, 1)]],
            [{0: dict(consumed_offset=1, released_offset=0, is_live=False),
              1: dict(consumed_offset=1, released_offset=1, is_live=False)}])
 
 
-def test_live_detection(spark):
+def test_partitions_become_live_one_by_one(spark):
     ranges, polls = _resolve(LIVE_DETECTION_EVENTS, {}, [{0: [0, 1], 1: [0]}, {1: [1]}, {1: [2]}])
     _check(spark, ranges, polls,
            [[(1, 0)], [(0, 0), (0, 1), (1, 1)], [(1, 2)]],
@@ -64,25 +64,25 @@ def test_live_detection(spark):
              1: dict(consumed_offset=2, released_offset=2, is_live=True)}])
 
 
-def test_single_partition_live(spark):
+def test_one_message_to_its_end(spark):
     ranges, polls = _resolve(SINGLE_PARTITION, {}, [{0: [0]}])
     _check(spark, ranges, polls, [[(0, 0)]], [{0: dict(consumed_offset=0, is_live=True)}])
 
 
-def test_single_partition_delayed_live(spark):
+def test_one_message_after_an_empty_poll(spark):
     ranges, polls = _resolve(SINGLE_PARTITION, {}, [{}, {0: [0]}])
     _check(spark, ranges, polls, [[], [(0, 0)]],
            [{0: dict(is_live=False)}, {0: dict(consumed_offset=0, is_live=True)}])
 
 
-def test_simple_single_message(spark):
+def test_one_message_before_its_end(spark):
     ranges = {(E, 0): (0, 100)}
     polls = [[msg(E, 0, 0, 1000)]]
     _check(spark, ranges, polls, [[(0, 0)]],
            [{0: dict(consumed_offset=0, released_offset=0, is_live=False)}])
 
 
-def test_two_partition_ordering_four_polls(spark):
+def test_late_polls_release_earlier_arrivals(spark):
     ranges = {(E, 0): (0, 100), (E, 1): (0, 100)}
     polls = [[msg(E, 0, 0, 1000), msg(E, 1, 0, 500), msg(E, 0, 1, 1500), msg(E, 1, 1, 800)],
              [msg(E, 1, 2, 1600)], [msg(E, 0, 2, 1700)], [msg(E, 1, 3, 1800)]]
@@ -98,11 +98,11 @@ def test_two_partition_ordering_four_polls(spark):
              1: dict(consumed_offset=3, released_offset=2, is_live=False)}])
 
 
-def test_end_offset_makes_live(spark):
+def test_end_offset_reached(spark):
     _check(spark, {(E, 0): (0, 1)}, [[msg(E, 0, 0, 500)]], [[(0, 0)]], [{0: dict(is_live=True)}])
 
 
-def test_empty_partition_is_live(spark):
+def test_nothing_to_replay(spark):
     _check(spark, {(E, 0): (0, 0)}, [[]], [[]], [{0: dict(is_live=True)}])
 
 

@@ -12,6 +12,7 @@ def st(spark, rows):
     return spark.createDataFrame([("t1", p, ts, c, z) for p, ts, c, z in rows], SCHEMA)
 
 
+# Golden state rows (partition, timestamp, caught up, paused) and decisions.
 @pytest.mark.parametrize("rows,expected", [
     ([(0, 100, False, False), (1, 200, False, False), (2, 300, False, False)], 100),
     ([(0, 100, True, False), (1, 200, False, False), (2, 300, False, False)], 200),

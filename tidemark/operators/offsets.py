@@ -107,10 +107,11 @@ def missing_topics(log: DataFrame, topics: Iterable[Any]) -> DataFrame:
 
 
 def assert_topics_present(log: DataFrame, topics: Iterable[Any]) -> None:
-    """Raise like the reference when a topic is missing (bounded collect)."""
-    missing = [r.topic for r in missing_topics(log, topics).limit(20).collect()]
+    """Raise when a requested topic has no partition in the log (at most 20
+    names are read back)."""
+    missing = sorted(r.topic for r in missing_topics(log, topics).limit(20).collect())
     if missing:
-        raise ValueError(f"topic '{missing[0]}' not found")
+        raise ValueError("no partitions in the log for topics: " + ", ".join(missing))
 
 
 def replay_slice(log: DataFrame, ranges: DataFrame, bounded: bool = True) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import TP, ms_to_timestamp
+from .prefix import running
 from .release import RELEASE_KEY
 from .watermark import consumption_state, state_intervals
 from .release import released_state
@@ -37,10 +38,8 @@ def _epochs(spark, e_end: int) -> DataFrame:
 
 
 def _running(df: DataFrame, cols: list[str]) -> DataFrame:
-    w = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
-    for c in cols:
-        df = df.withColumn(c, F.sum(c).over(w))
-    return df
+    out = running(df, "epoch", {f"_sum_{c}": ("sum", c) for c in cols})
+    return out.select("epoch", *[F.col(f"_sum_{c}").alias(c) for c in cols])
 
 
 def replay_progress(spark, msgs_rel: DataFrame, events: DataFrame, ranges: DataFrame,
@@ -92,10 +91,10 @@ def epoch_metrics(spark, msgs_rel: DataFrame, e_end: int) -> DataFrame:
     r = msgs_rel.filter(F.col("release_epoch").isNotNull()).groupBy(
         F.col("release_epoch").alias("epoch")).agg(F.count(F.lit(1)).alias("released"))
     out = _epochs(spark, e_end).join(c, "epoch", "left").join(r, "epoch", "left").fillna(0, ["consumed", "released"])
-    w = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
+    out = running(out, "epoch", {"_in": ("sum", "consumed"), "_out": ("sum", "released")})
     return out.select(
         "epoch", F.col("consumed").cast("long"), F.col("released").cast("long"),
-        (F.sum("consumed").over(w) - F.sum("released").over(w)).cast("long").alias("held"),
+        (F.col("_in") - F.col("_out")).cast("long").alias("held"),
         F.lit(0).cast("long").alias("partitions_paused"),
         F.lit(0).cast("long").alias("partitions_resumed"),
     )
@@ -105,7 +104,9 @@ def flow_report(spark, events: DataFrame, limits: DataFrame, metrics: DataFrame,
                 partitions: int, batch_size: int, e_end: int) -> DataFrame:
     """B1-B3 + A8 per poll: partitions ahead of the mark (timestamp above it,
     caught-up ones included), whether paused partitions would resume, whether
-    the buffer is over its 5 x batch bound, and the paused count."""
+    the buffer is over its 5 x batch bound, and the paused count. The last two
+    decisions are taken before the poll releases, on the buffer with its
+    arrivals (held afterwards plus released)."""
     lwm = limits.select("epoch", "low_water_mark")
     # partitions still behind: all of them are at or above the mark, so those
     # ahead are the ones behind minus the ones at the mark; the count behind
@@ -130,14 +131,14 @@ def flow_report(spark, events: DataFrame, limits: DataFrame, metrics: DataFrame,
     ahead = done.join(behind, "epoch", "left").select(
         "epoch", (F.col("_done") + F.coalesce(F.col("_behind"), F.lit(0))).alias("ahead"))
     out = (limits.select("epoch", "all_caught_up")
-           .join(metrics.select("epoch", "held"), "epoch")
+           .join(metrics.select("epoch", "held", (F.col("held") + F.col("released")).alias("_buffer")), "epoch")
            .join(ahead, "epoch", "left").fillna(0, ["ahead"]))
     b = F.lit(batch_size)
     return out.select(
         "epoch", "held",
         F.col("ahead").cast("long").alias("partitions_ahead"),
-        ((F.col("held") < b) | F.lit(partitions == 0) | F.col("all_caught_up")).alias("should_resume"),
-        (F.col("held") > b * 5).alias("over_buffer"),
+        ((F.col("_buffer") < b) | F.lit(partitions == 0) | F.col("all_caught_up")).alias("should_resume"),
+        (F.col("_buffer") > b * 5).alias("over_buffer"),
         F.lit(0).cast("long").alias("paused_partitions"),
     )
 

@@ -12,18 +12,15 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import MAX_LIMIT, TP
+from ..schema import MAX_LIMIT, TP, int_div
+from ..session import materialize
+from .prefix import running
 from .sequence import sequence_number
 
 ORDER_KEY = ["timestamp_ms", "topic", "partition", "offset"]
 BUFFER_KEY = ["timestamp_ms", "arrival_epoch", "topic", "partition", "offset"]
 RELEASE_KEY = ["release_epoch"] + BUFFER_KEY
-
-# Limit tables up to this many polls are broadcast whole (16 bytes a poll).
-BROADCAST_EPOCHS = 2_000_000
-# Up to this many polls the block search costs at most ~64 array entries per
-# message and is used alone; above it the as-of path of release_epochs runs.
-ASOF_MIN_EPOCHS = 4096
+SPREAD = 4096  # keys of rows that a join has nothing for
 
 
 def ordered_replay(slice_df: DataFrame, out_col: str = "position") -> DataFrame:
@@ -35,7 +32,7 @@ def ordered_replay(slice_df: DataFrame, out_col: str = "position") -> DataFrame:
 def replay_batches(slice_df: DataFrame, batch_size: int) -> DataFrame:
     """Cut the ordered replay into batches of ``batch_size`` messages."""
     ranked = ordered_replay(slice_df)
-    return ranked.withColumn("batch_id", F.floor(F.col("position") / F.lit(batch_size)).cast("long"))
+    return ranked.withColumn("batch_id", int_div(F.col("position"), batch_size))
 
 
 def release_epochs(msgs: DataFrame, limits: DataFrame, e_end: int) -> DataFrame:
@@ -45,95 +42,64 @@ def release_epochs(msgs: DataFrame, limits: DataFrame, e_end: int) -> DataFrame:
 
     With ``M`` the running maximum of the limit (non-decreasing):
 
-    * ``limit(a) >= t``: released at ``a`` (equi-join on the arrival poll);
-    * ``t > M(a)``: released at the first poll where ``M`` reaches ``t``. That
-      poll is after ``a`` by construction; it is an as-of lookup on the
-      increasing steps of ``M``, done as an equi-join on a value bucket;
-    * otherwise (the limit dipped below an earlier high, rare): the block
-      search of :func:`release_epochs_blocks`.
-
-    Replays of at most ``ASOF_MIN_EPOCHS`` polls use the block search alone.
+    * ``limit(a) >= t``: released at ``a``;
+    * ``t > M(a)``: released at the first poll where ``M`` reaches ``t``, which
+      is after ``a`` by construction: an as-of lookup on the rises of ``M``,
+      by equi-join on a value bucket that lists the rises in it;
+    * otherwise (the limit dipped below an earlier high): the limits in blocks
+      of ``K ~ sqrt(polls)`` polls, one array row each. The message searches its
+      own block from its arrival on, else the one-row summary (largest limit
+      per block) for the first later block that can release it, then that.
+
+    One pass over the messages with four equi-joins to tables of at most one
+    row per poll. A message that does not need a join has a key that occurs
+    nowhere, spread over ``SPREAD`` values, so no key gathers them.
     """
-    if e_end + 1 <= ASOF_MIN_EPOCHS:
-        return release_epochs_blocks(msgs, limits, e_end)
-    small = e_end + 1 <= BROADCAST_EPOCHS
-    bc = F.broadcast if small else (lambda df: df)
-    w = Window.orderBy("e")
     lim = limits.select(F.col("epoch").cast("long").alias("e"), F.col("release_limit").alias("l"))
-    lim = lim.withColumn("m", F.max("l").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    steps = (lim.withColumn("mp", F.lag("m").over(w))
-             .filter(F.col("mp").isNull() | (F.col("m") > F.col("mp")))
+    lim = running(lim, "e", {"mp": ("max", "l")}, exclusive=True).withColumn("m", F.greatest("mp", "l"))
+    lim = materialize(lim, "limits")
+    steps = (lim.filter(F.col("mp").isNull() | (F.col("m") > F.col("mp")))
              .select(F.col("e").alias("se"), F.col("mp").alias("lo"), F.col("m").alias("hi")))
-    steps = steps.persist()  # one row per rise of the limit (at most one per poll)
-    st = steps.agg(F.count(F.lit(1)).alias("n"),
-                   F.min(F.when(F.col("hi") < MAX_LIMIT, F.col("hi"))).alias("base"),
-                   F.max(F.when(F.col("hi") < MAX_LIMIT, F.col("hi"))).alias("top"),
+    finite = F.col("hi") < MAX_LIMIT
+    st = steps.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(finite, F.col("hi"))).alias("base"),
+                   F.max(F.when(finite, F.col("hi"))).alias("top"),
                    F.min(F.when(F.col("lo").isNull(), F.col("se"))).alias("first_e"),
-                   F.min(F.when(F.col("hi") == MAX_LIMIT, F.col("se"))).alias("max_e")).first()
+                   F.min(F.when(~finite, F.col("se"))).alias("max_e")).first()
+    base, top = (int(st["base"]), int(st["top"])) if st["base"] is not None else (0, -1)
+    width = max(1, -(-(top - base) // max(int(st["n"]), 1)))
+    first_e, max_e = (F.lit(st[c]).cast("long") for c in ("first_e", "max_e"))
+    no_finite = F.lit(st["base"] is None)
+
+    def bucket(c):
+        return int_div(c - F.lit(base), width)
+
+    rises = steps.filter(finite & F.col("lo").isNotNull()).select(
+        F.explode(F.sequence(bucket(F.col("lo") + 1), bucket(F.col("hi")))).alias("_b"), F.struct("lo", "hi", "se").alias("x"))
+    rises = rises.groupBy("_b").agg(F.collect_list("x").alias("_rises"))
+    k = max(16, int(math.ceil(math.sqrt(max(e_end + 1, 1)))))
+    blocks = lim.groupBy(int_div(F.col("e"), k).alias("_blk")).agg(
+        F.array_sort(F.collect_list(F.struct("e", "l"))).alias("_own"), F.max("l").alias("_top"))
+    summary = blocks.agg(F.array_sort(F.collect_list(F.struct(F.col("_blk").alias("b"), F.col("_top").alias("m")))).alias("_sum"))
+    later = blocks.select(F.col("_blk").alias("_nb"), F.col("_own").alias("_later"))
 
     a, t = F.col("arrival_epoch"), F.col("timestamp_ms")
-    m = msgs.join(bc(lim.select(F.col("e").alias("arrival_epoch"), F.col("l").alias("_la"),
-                                F.col("m").alias("_ma"))), "arrival_epoch", "left")
-    case_a = m.filter(F.col("_la") >= t).withColumn("release_epoch", a)
-    case_b = m.filter(F.col("_ma") < t)
-    case_c = m.filter(~(F.col("_la") >= t) & ~(F.col("_ma") < t))
-    drop = ["_la", "_ma"]
-
-    if st["base"] is None:  # no finite step: only an unlimited one, or none
-        b_out = case_b.withColumn("release_epoch", F.lit(st["max_e"]).cast("long"))
-    else:
-        base, top, n = int(st["base"]), int(st["top"]), int(st["n"])
-        width = max(1, -(-(top - base) // max(n, 1)))
-        bucket = lambda c: F.floor((c - F.lit(base)) / F.lit(width)).cast("long")
-        fin = steps.filter((F.col("hi") < MAX_LIMIT) & F.col("lo").isNotNull())
-        iv = fin.select("se", "lo", "hi", F.explode(F.sequence(bucket(F.col("lo") + 1), bucket(F.col("hi")))).alias("_b"))
-        mid = case_b.filter((t > F.lit(base)) & (t <= F.lit(top))).withColumn("_b", bucket(t))
-        mid = mid.join(bc(iv), "_b").filter((t > F.col("lo")) & (t <= F.col("hi")))             .withColumn("release_epoch", F.col("se")).drop("_b", "se", "lo", "hi")
-        low = case_b.filter(t <= F.lit(base)).withColumn("release_epoch", F.lit(st["first_e"]).cast("long"))
-        high = case_b.filter(t > F.lit(top)).withColumn("release_epoch", F.lit(st["max_e"]).cast("long"))
-        b_out = mid.unionByName(low).unionByName(high)
-    c_out = release_epochs_blocks(case_c.drop(*drop), limits, e_end)
-    return (case_a.drop(*drop).unionByName(b_out.drop(*drop)).unionByName(c_out)
-            .withColumn("release_epoch", F.col("release_epoch").cast("long")))
-
-
-def release_epochs_blocks(msgs: DataFrame, limits: DataFrame, e_end: int) -> DataFrame:
-    """R5 by block search: the first poll
-    at or after its arrival whose limit is at or above its timestamp; null
-    when it is held for ever.
-
-    The limit table is split into blocks of ``K ~ sqrt(polls)`` polls, each
-    one array row. A message first searches its own block (from its arrival
-    on), then the one-row block summary (largest limit per block) for the
-    first later block that can release it, and then that block. Both lookups
-    are equi-joins on a block id; no inequality join and no row explosion.
-    """
-    n = e_end + 1
-    k = max(16, int(math.ceil(math.sqrt(max(n, 1)))))
-    lim = limits.select(F.col("epoch").cast("long").alias("e"), F.col("release_limit").alias("l"))
-    blocks = lim.groupBy(F.floor(F.col("e") / k).cast("long").alias("_blk")).agg(
-        F.array_sort(F.collect_list(F.struct("e", "l"))).alias("_arr"),
-        F.max("l").alias("_bmax"))
-    summary = blocks.agg(F.array_sort(F.collect_list(F.struct(
-        F.col("_blk").alias("b"), F.col("_bmax").alias("m")))).alias("_sum"))
-    small = n <= BROADCAST_EPOCHS
-    blk_side = blocks.select("_blk", "_arr")
-    blk_side = F.broadcast(blk_side) if small else blk_side
-
-    m = msgs.withColumn("_blk", F.floor(F.col("arrival_epoch") / k).cast("long"))
-    m = m.join(blk_side, "_blk", "left")
-    a, t = F.col("arrival_epoch"), F.col("timestamp_ms")
-    own = F.try_element_at(F.filter("_arr", lambda x: (x["e"] >= a) & (x["l"] >= t)), F.lit(1))["e"]
-    m = m.withColumn("_own", own).drop("_arr")
-    m = m.crossJoin(F.broadcast(summary))  # one row of ~sqrt(polls) entries
+    nowhere = -1 - F.pmod(F.col("offset"), F.lit(SPREAD))
+    m = msgs.join(lim.select(F.col("e").alias("arrival_epoch"), F.col("l").alias("_la"), F.col("m").alias("_ma")),
+                  "arrival_epoch", "left")
+    m = m.withColumn("_case", F.when(F.col("_la") >= t, "now").when(F.col("_ma") < t, "rise").otherwise("dip"))
+    rise, dip = F.col("_case") == "rise", F.col("_case") == "dip"
+    m = m.withColumn("_b", F.when(rise & (t > base) & (t <= top), bucket(t)).otherwise(nowhere)).join(rises, "_b", "left")
+    m = m.withColumn("_blk", F.when(dip, int_div(a, k)).otherwise(nowhere)).join(blocks.select("_blk", "_own"), "_blk", "left")
+    own = F.try_element_at(F.filter("_own", lambda x: (x["e"] >= a) & (x["l"] >= t)), F.lit(1))["e"]
+    m = m.withColumn("_here", own).crossJoin(F.broadcast(summary))  # one row
     nb = F.try_element_at(F.filter("_sum", lambda x: (x["b"] > F.col("_blk")) & (x["m"] >= t)), F.lit(1))["b"]
-    m = m.withColumn("_nb", F.when(F.col("_own").isNull(), nb)).drop("_sum")
-    later = blocks.select(F.col("_blk").alias("_nb"), F.col("_arr").alias("_arr2"))
-    later = F.broadcast(later) if small else later
-    m = m.join(later, "_nb", "left")
-    other = F.try_element_at(F.filter("_arr2", lambda x: x["l"] >= t), F.lit(1))["e"]
-    return m.withColumn("release_epoch", F.coalesce(F.col("_own"), other).cast("long")) \
-        .drop("_blk", "_own", "_nb", "_arr2")
+    m = m.withColumn("_nb", F.coalesce(F.when(dip & F.col("_here").isNull(), nb), nowhere)).join(later, "_nb", "left")
+    there = F.try_element_at(F.filter("_later", lambda x: x["l"] >= t), F.lit(1))["e"]
+    risen = F.try_element_at(F.filter("_rises", lambda x: (x["lo"] < t) & (t <= x["hi"])), F.lit(1))["se"]
+    risen = F.when(no_finite | (t > top), max_e).when(t <= base, first_e).otherwise(risen)
+    out = F.when(F.col("_case") == "now", a).when(rise, risen).otherwise(F.coalesce("_here", there))
+    return m.withColumn("release_epoch", out.cast("long")).drop(
+        "_la", "_ma", "_case", "_b", "_rises", "_blk", "_own", "_here", "_sum", "_nb", "_later")
 
 
 def release_order(released: DataFrame, out_col: str = "release_position") -> DataFrame:
@@ -160,8 +126,15 @@ def release_batch(held: DataFrame, limit: int, batch_size: int) -> DataFrame:
 
 
 def held_after(held: DataFrame, released: DataFrame) -> DataFrame:
-    """What stays in the buffer."""
-    return held.join(released.select(*TP, "offset"), [*TP, "offset"], "left_anti")
+    """What stays in the buffer: rows whose buffer key is above that of
+    the last released one (a filter; the buffer is neither joined nor moved),
+    all of them when nothing was released."""
+    last = released.agg(F.max(F.struct(*BUFFER_KEY)).alias("k")).first()["k"]
+    if last is None:
+        return held
+    types = {f.name: f.dataType for f in held.schema.fields}
+    key = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in BUFFER_KEY])
+    return held.filter(F.struct(*BUFFER_KEY) > key)
 
 
 def eligible_counts(msgs_rel: DataFrame, spark, e_end: int) -> DataFrame:
@@ -172,31 +145,40 @@ def eligible_counts(msgs_rel: DataFrame, spark, e_end: int) -> DataFrame:
     return epochs.join(per, "epoch", "left").fillna(0, ["_new"])
 
 
-def paced_counts(msgs_rel: DataFrame, limits: DataFrame, batch_size: int, spark,
-                 e_end: int, total: int) -> DataFrame:
+def paced_counts(msgs_rel: DataFrame, limits: DataFrame, batch_size: int, spark, e_end: int) -> DataFrame:
     """Messages released per poll under a cap of ``batch_size``.
 
     With non-decreasing limits, R(e) = min(R(e-1) + B, E(e)) where E(e) is
     the number of messages releasable by poll e, i.e.
-    R(e) = B*(e+1) + min(0, min_{k<=e} (E(k) - B*(k+1))). Polls continue
-    after the last arrival until the backlog is drained (T6).
+    R(e) = B*(e+1) + min(0, min_{k<=e} (E(k) - B*(k+1))). After the last arrival
+    (T6) the backlog leaves in full batches, so those polls are listed in closed
+    form. Where a limit falls, the counts are those of the exact rows (R7).
     """
-    dec = limits.select(
-        (F.col("release_limit") < F.lag("release_limit").over(Window.orderBy("epoch"))).alias("d"))
-    if dec.filter("d").limit(1).count():
-        raise ValueError("release limits decrease; use paced_replay for exact capped release")
-    drain_end = e_end + int(math.ceil(total / batch_size)) + 1
-    counts = eligible_counts(msgs_rel, spark, drain_end)
-    w = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
+    falls = running(limits.select("epoch", "release_limit"), "epoch", {"_high": ("max", "release_limit")}, exclusive=True)
+    counts = running(eligible_counts(msgs_rel, spark, e_end), "epoch", {"eligible_total": ("sum", "_new")})
     b = F.lit(batch_size)
-    cum = counts.withColumn("eligible_total", F.sum("_new").over(w))
-    cum = cum.withColumn("_slack", F.col("eligible_total") - b * (F.col("epoch") + 1))
-    cum = cum.withColumn("released_total", b * (F.col("epoch") + 1) + F.least(F.lit(0), F.min("_slack").over(w)))
-    w1 = Window.orderBy("epoch")
-    cum = cum.withColumn("released", F.col("released_total") - F.coalesce(F.lag("released_total").over(w1), F.lit(0)))
-    return cum.filter((F.col("epoch") <= e_end) | (F.col("released") > 0)).select(
-        "epoch", F.col("eligible_total").cast("long"), F.col("released").cast("long"),
-        F.col("released_total").cast("long"))
+    if not falls.filter("release_limit < _high").isEmpty():
+        exact = paced_replay(msgs_rel.drop("release_epoch"), limits, batch_size, e_end).filter("release_epoch IS NOT NULL")
+        per = exact.groupBy(F.col("release_epoch").alias("epoch")).agg(F.count(F.lit(1)).alias("released"))
+        out = counts.select("epoch", "eligible_total").join(per, "epoch", "full_outer").fillna(0, ["released"])
+        out = running(out.withColumn("_e", F.coalesce("eligible_total", F.lit(0))), "epoch",
+                      {"_total": ("max", "_e"), "released_total": ("sum", "released")})
+        return out.select("epoch", F.col("_total").cast("long").alias("eligible_total"),
+                          F.col("released").cast("long"), F.col("released_total").cast("long"))
+    cum = counts.withColumn("_slack", F.col("eligible_total") - b * (F.col("epoch") + 1))
+    cum = running(cum, "epoch", {"_low": ("min", "_slack")}, exclusive=True)
+    before = b * F.col("epoch") + F.least(F.lit(0), F.col("_low"))
+    total = b * (F.col("epoch") + 1) + F.least(F.lit(0), F.col("_low"), F.col("_slack"))
+    cum = materialize(cum.select("epoch", F.col("eligible_total").cast("long"), (total - before).cast("long").alias("released"),
+                                 total.cast("long").alias("released_total")), "paced")
+    end = cum.filter(F.col("epoch") == e_end).first()
+    left = 0 if end is None else int(end["eligible_total"] - end["released_total"])
+    k = F.col("id")
+    tail = spark.range(0, -(-left // batch_size)).select(
+        (k + e_end + 1).alias("epoch"), F.lit(int(end["eligible_total"]) if end else 0).cast("long").alias("eligible_total"),
+        F.least(b, F.lit(left) - k * b).cast("long").alias("released"),
+        (F.lit(int(end["released_total"]) if end else 0) + F.least((k + 1) * b, F.lit(left))).cast("long").alias("released_total"))
+    return cum.unionByName(tail)
 
 
 def released_state(msgs_rel: DataFrame, ranges: DataFrame, upto_epoch: int | None = None) -> DataFrame:
@@ -222,9 +204,8 @@ def late_messages(msgs_rel: DataFrame) -> DataFrame:
     timestamp released in earlier polls (one row per poll, running max)."""
     per = msgs_rel.filter(F.col("release_epoch").isNotNull()).groupBy("release_epoch").agg(
         F.max("timestamp_ms").alias("_mx"))
-    w = Window.orderBy("release_epoch").rowsBetween(Window.unboundedPreceding, -1)
-    prior = per.select("release_epoch", F.max("_mx").over(w).alias("prior_max_ts"))
-    return (msgs_rel.join(prior, "release_epoch")
+    prior = running(per, "release_epoch", {"prior_max_ts": ("max", "_mx")}, exclusive=True)
+    return (msgs_rel.join(prior.select("release_epoch", "prior_max_ts"), "release_epoch")
             .filter(F.col("timestamp_ms") < F.col("prior_max_ts")))
 
 
@@ -234,7 +215,7 @@ def drain_tail(held: DataFrame, limit: int, batch_size: int, first_epoch: int) -
     poll, from ``first_epoch`` on. Rows above the limit stay held (null)."""
     ok = held.filter(F.col("timestamp_ms") <= F.lit(limit))
     ranked = sequence_number(ok, BUFFER_KEY, "_pos")
-    tail = ranked.withColumn("release_epoch", (F.lit(first_epoch) + F.floor(F.col("_pos") / batch_size)).cast("long")) \
+    tail = ranked.withColumn("release_epoch", F.lit(first_epoch) + int_div(F.col("_pos"), batch_size)) \
         .drop("_pos")
     never = held.filter(~(F.col("timestamp_ms") <= F.lit(limit))).withColumn(
         "release_epoch", F.lit(None).cast("long"))
@@ -246,7 +227,6 @@ def by_poll(msgs: DataFrame) -> DataFrame:
     key, so one huge poll is still split over tasks): a later
     ``arrival_epoch == e`` filter is pushed to the parquet scan and skips the
     row groups of other polls instead of reading the whole table per poll."""
-    from ..session import materialize
     key = ["arrival_epoch", "topic", "partition", "offset"]
     return materialize(msgs.repartitionByRange(*key).sortWithinPartitions(*key), "by-poll")
 

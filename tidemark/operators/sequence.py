@@ -49,6 +49,8 @@ def sequence_number(df: DataFrame, order_cols: Sequence[str], out_col: str,
                            F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
     if not group_cols:
         # One row per task: bounded by the partition count, safe to broadcast.
+        # With groups there are at most tasks + groups rows; Spark decides by
+        # their measured size.
         counts = F.broadcast(counts)
     out = ranged.join(counts, ["_pid", *group_cols])
     return out.withColumn(

@@ -40,12 +40,6 @@ def consumption_events(msgs: DataFrame, ranges: DataFrame) -> DataFrame:
             .withColumnRenamed("arrival_epoch", "epoch"))
 
 
-def last_epoch(msgs: DataFrame) -> int:
-    """Largest arrival poll (a scalar; -1 for an empty log)."""
-    v = msgs.agg(F.max("arrival_epoch").alias("m")).first()["m"]
-    return -1 if v is None else int(v)
-
-
 def state_intervals(events: DataFrame, e_end: int) -> DataFrame:
     """Each partition state with the polls it stays valid: [epoch, until]."""
     w = Window.partitionBy(*TP).orderBy("epoch")

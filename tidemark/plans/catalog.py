@@ -1,7 +1,8 @@
 """The registered queries: the reference's operators run over the driver's
 ``events`` table seen as a message log (see ``sources.log.log_from_events``).
 
-Every query reads the whole table. Fixed parameters are below.
+Every query reads the whole table; topics are those that the table has. Fixed
+parameters are below.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from ..operators import checks as C
 from ..operators import offsets as O
 from ..operators import release as R
 from ..operators import watermark as W
-from ..schema import TP, decode_value, timestamp_to_ms, to_messages
+from ..schema import LOG_COLUMNS, TP, decode_value, timestamp_to_ms, to_messages
 from ..session import ensure_utc
 from ..sources.log import log_from_events
 from ..sources.topics import SourceTopic
@@ -25,8 +26,7 @@ from .replay import Replay
 # Fixed parameters of the registered queries.
 AS_OF_MS = 1706659200000            # 2024-01-31T00:00:00Z, never the clock
 BATCH_SIZE = 100
-MID_EPOCH = 25                      # the poll inspected by point-in-time reports
-TOPICS = ["click", "error", "purchase", "signup", "view"]
+FINE_SCALE = 100                    # polls per poll in the many-polls variant
 ABSOLUTE_MS = 1704844800000         # 2024-01-10T00:00:00Z
 RELATIVE_MS = 20 * 86_400_000       # 20 days before AS_OF_MS
 DAY_TIME_MS = 34_200_000            # 09:30 local time
@@ -44,8 +44,18 @@ END_OVERRIDES = [("click", 0, 100_000)]
 FIXTURE_PARTITIONS = 5              # one more than the log has: reported missing
 
 
-def all_topics(policy: str, time_ms: int | None = None, tz: str | None = None):
-    return [SourceTopic(t, policy, time_ms, tz) for t in TOPICS]
+SLIM = ["topic", "partition", "offset", "timestamp_ms"]
+
+
+def all_topics(spark: SparkSession, sf_dir: str, policy: str, time_ms: int | None = None, tz: str | None = None):
+    """A spec for every topic of the table (topics are few: names only)."""
+    names = events(spark, sf_dir).select("event_type").distinct().filter("event_type IS NOT NULL").collect()
+    return [SourceTopic(r["event_type"], policy, time_ms, tz) for r in sorted(names)]
+
+
+def mid_epoch(rp: Replay) -> int:
+    """The poll inspected by point-in-time reports: half-way."""
+    return rp.last_epoch // 2
 
 
 # --- inputs -------------------------------------------------------------------
@@ -55,16 +65,21 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
 
-def base_log(spark, sf_dir, topics=None):
-    return log_from_events(events(spark, sf_dir), topics=topics)
+def base_log(spark, sf_dir, topics=None, columns=LOG_COLUMNS):
+    return log_from_events(events(spark, sf_dir), topics=topics, columns=columns)
 
 
 def jitter_log(spark, sf_dir):
-    return log_from_events(events(spark, sf_dir), jitter_ms_when=(F.col("value") >= 100, JITTER_MS))
+    return log_from_events(events(spark, sf_dir), jitter_ms_when=(F.col("value") >= 100, JITTER_MS), columns=SLIM)
 
 
-def untimestamped_log(spark, sf_dir):
-    return log_from_events(events(spark, sf_dir), null_timestamp_when=F.col("value") < 1.0)
+def fine_log(spark, sf_dir):
+    return log_from_events(events(spark, sf_dir), jitter_ms_when=(F.col("value") >= 100, JITTER_MS), columns=SLIM,
+                           epoch_scale=FINE_SCALE)
+
+
+def untimestamped_log(spark, sf_dir, columns=LOG_COLUMNS):
+    return log_from_events(events(spark, sf_dir), null_timestamp_when=F.col("value") < 1.0, columns=columns)
 
 
 def tombstone_log(spark, sf_dir):
@@ -72,12 +87,12 @@ def tombstone_log(spark, sf_dir):
 
 
 def earliest_replay(spark, sf_dir, log=None) -> Replay:
-    return Replay(log if log is not None else base_log(spark, sf_dir, TOPICS),
-                  all_topics("earliest"), AS_OF_MS, BATCH_SIZE)
+    return Replay(log if log is not None else base_log(spark, sf_dir, columns=SLIM),
+                  all_topics(spark, sf_dir, "earliest"), AS_OF_MS, BATCH_SIZE)
 
 
-def mixed_replay(spark, sf_dir) -> Replay:
-    return Replay(base_log(spark, sf_dir, [t.name for t in MIXED]), MIXED, AS_OF_MS, BATCH_SIZE)
+def mixed_replay(spark, sf_dir, columns=SLIM) -> Replay:
+    return Replay(base_log(spark, sf_dir, [t.name for t in MIXED], columns), MIXED, AS_OF_MS, BATCH_SIZE)
 
 
 SLICE_COLS = ["topic", "partition", "offset", "timestamp_ms"]
@@ -89,22 +104,26 @@ def q_message_log(spark, d):
     return base_log(spark, d)
 
 
-def _offsets(topics):
+def _offsets(policy, time_ms=None, tz=None):
     def q(spark, d):
-        return O.resolve_offsets(base_log(spark, d, [t.name for t in topics]), topics, AS_OF_MS)
+        return O.resolve_offsets(base_log(spark, d, columns=SLIM), all_topics(spark, d, policy, time_ms, tz), AS_OF_MS)
     return q
 
 
+def q_offsets_mixed(spark, d):
+    return O.resolve_offsets(base_log(spark, d, [t.name for t in MIXED], SLIM), MIXED, AS_OF_MS)
+
+
 def q_partition_watermarks(spark, d):
-    return O.partition_watermarks(base_log(spark, d))
+    return O.partition_watermarks(base_log(spark, d, columns=()))
 
 
 def q_replay_slice(spark, d):
-    return mixed_replay(spark, d).slice
+    return mixed_replay(spark, d, LOG_COLUMNS).slice
 
 
 def q_missing_topics(spark, d):
-    return O.missing_topics(base_log(spark, d), MIXED + ABSENT)
+    return O.missing_topics(base_log(spark, d, columns=()), MIXED + ABSENT)
 
 
 def _message_view(msgs: DataFrame) -> DataFrame:
@@ -135,7 +154,7 @@ def q_decode_value(spark, d):
 
 def q_consumption_state(spark, d):
     rp = earliest_replay(spark, d)
-    return W.consumption_state(rp.messages, rp.ranges, MID_EPOCH)
+    return W.consumption_state(rp.messages, rp.ranges, mid_epoch(rp))
 
 
 def q_low_water_mark(spark, d):
@@ -163,11 +182,15 @@ def q_flow_report(spark, d):
 
 
 def q_ordered_replay(spark, d):
-    return R.ordered_replay(earliest_replay(spark, d).slice.select(*SLICE_COLS))
+    return R.ordered_replay(earliest_replay(spark, d).messages.select(*SLICE_COLS))
+
+
+def q_ordered_replay_untimestamped(spark, d):
+    return R.ordered_replay(earliest_replay(spark, d, untimestamped_log(spark, d, SLIM)).messages.select(*SLICE_COLS))
 
 
 def q_replay_batches(spark, d):
-    return R.replay_batches(mixed_replay(spark, d).slice.select(*SLICE_COLS), BATCH_SIZE)
+    return R.replay_batches(mixed_replay(spark, d).messages.select(*SLICE_COLS), BATCH_SIZE)
 
 
 def _release_view(rp: Replay) -> DataFrame:
@@ -187,10 +210,15 @@ def q_release_epochs_jitter(spark, d):
     return _release_view(earliest_replay(spark, d, jitter_log(spark, d)))
 
 
+def q_release_epochs_fine(spark, d):
+    return _release_view(earliest_replay(spark, d, fine_log(spark, d)))
+
+
 def _mid_batch(rp: Replay):
-    held = R.held_at(rp.released.select(*SLICE_COLS, "arrival_epoch", "release_epoch"), MID_EPOCH)
-    lim = rp.limits.filter(F.col("epoch") == MID_EPOCH).select("release_limit").first()
-    limit = lim[0] if lim is not None else -1
+    mid = mid_epoch(rp)
+    held = R.held_at(rp.released.select(*SLICE_COLS, "arrival_epoch", "release_epoch"), mid)
+    lim = rp.limits.filter(F.col("epoch") == mid).select("release_limit").first()
+    limit = lim[0] if lim is not None else -1  # no poll: nothing is held either
     return held, R.release_batch(held, limit, BATCH_SIZE)
 
 
@@ -208,13 +236,18 @@ def q_paced_counts(spark, d):
     return earliest_replay(spark, d).paced_counts()
 
 
+def q_paced_counts_jitter(spark, d):
+    return earliest_replay(spark, d, jitter_log(spark, d)).paced_counts()
+
+
 def q_released_state(spark, d):
     rp = earliest_replay(spark, d, jitter_log(spark, d))
     return R.released_state(rp.released, rp.ranges)
 
 
 def q_partition_state(spark, d):
-    return mixed_replay(spark, d).partition_state(MID_EPOCH, as_timestamp=False)
+    rp = mixed_replay(spark, d)
+    return rp.partition_state(mid_epoch(rp), as_timestamp=False)
 
 
 def q_order_violations(spark, d):
@@ -240,14 +273,14 @@ def _fixture_partitions(log: DataFrame) -> DataFrame:
 
 
 def q_derived_ranges(spark, d):
-    log = base_log(spark, d)
+    log = base_log(spark, d, columns=())
     ovr = spark.createDataFrame(END_OVERRIDES, "topic string, partition int, end_offset long")
     return O.derive_ranges(log, _fixture_partitions(log), ovr)
 
 
 def q_poll_plan_missing(spark, d):
     from .fixtures import poll_plan_missing
-    log = base_log(spark, d)
+    log = base_log(spark, d, columns=())
     wm = O.partition_watermarks(log)
     plan = wm.select(*TP, F.lit(0).cast("long").alias("poll"),
                      F.sequence(F.lit(0).cast("long"), F.col("high_watermark") + 1).alias("offsets"))
@@ -256,12 +289,12 @@ def q_poll_plan_missing(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "message_log": q_message_log,
-    "offsets_earliest": _offsets(all_topics("earliest")),
-    "offsets_latest": _offsets(all_topics("latest")),
-    "offsets_relative_time": _offsets(all_topics("relative_time", RELATIVE_MS)),
-    "offsets_absolute_time": _offsets(all_topics("absolute_time", ABSOLUTE_MS)),
-    "offsets_start_of_day": _offsets(all_topics("start_of_day", DAY_TIME_MS, DAY_TZ)),
-    "offsets_mixed": _offsets(MIXED),
+    "offsets_earliest": _offsets("earliest"),
+    "offsets_latest": _offsets("latest"),
+    "offsets_relative_time": _offsets("relative_time", RELATIVE_MS),
+    "offsets_absolute_time": _offsets("absolute_time", ABSOLUTE_MS),
+    "offsets_start_of_day": _offsets("start_of_day", DAY_TIME_MS, DAY_TZ),
+    "offsets_mixed": q_offsets_mixed,
     "partition_watermarks": q_partition_watermarks,
     "replay_slice": q_replay_slice,
     "missing_topics": q_missing_topics,
@@ -277,13 +310,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "epoch_metrics": q_epoch_metrics,
     "flow_report": q_flow_report,
     "ordered_replay": q_ordered_replay,
+    "ordered_replay_untimestamped": q_ordered_replay_untimestamped,
     "replay_batches": q_replay_batches,
     "release_epochs": q_release_epochs,
     "release_epochs_mixed": q_release_epochs_mixed,
     "release_epochs_jitter": q_release_epochs_jitter,
+    "release_epochs_fine": q_release_epochs_fine,
     "release_batch": q_release_batch,
     "held_messages": q_held_messages,
     "paced_counts": q_paced_counts,
+    "paced_counts_jitter": q_paced_counts_jitter,
     "released_state": q_released_state,
     "partition_state": q_partition_state,
     "order_violations": q_order_violations,
@@ -294,7 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-# --- iterative and streaming queries (rows-only checks) -------------------------
+# --- iterative and streaming queries -------------------------
 
 def q_paced_replay(spark, d):
     rp = earliest_replay(spark, d)
@@ -305,7 +341,7 @@ def q_paced_replay(spark, d):
 def _stream(spark, d, batch_size):
     from ..session import scratch_path
     from ..streaming.stream import run_ordered_release, write_polls
-    rp = earliest_replay(spark, d)
+    rp = earliest_replay(spark, d, base_log(spark, d))
     root = scratch_path(spark, "stream-replay")
     msgs = rp.messages.select(*SLICE_COLS, "key", "value", "arrival_epoch")
     glob = write_polls(msgs, f"{root}/source", rp.last_epoch)

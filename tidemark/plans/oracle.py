@@ -7,6 +7,7 @@ release polls, a recursive CTE for capped release counts.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
 
@@ -15,6 +16,15 @@ from . import catalog as K
 MAXL = (1 << 63) - 1
 
 
+@dataclass(frozen=True)
+class AllTopics:
+    """One policy for every topic that the table has."""
+
+    policy: str
+    time_ms: int | None = None
+    timezone: str | None = None
+
+
 def _start_of_day_ms(as_of_ms: int, time_ms: int, tz: str) -> int:
     local = datetime.fromtimestamp(as_of_ms / 1000, tz=timezone.utc).astimezone(ZoneInfo(tz))
     midnight = local.replace(hour=0, minute=0, second=0, microsecond=0)
@@ -34,7 +44,8 @@ def _target(t) -> str | None:
 def log_ctes(variant: str = "base") -> str:
     ts = "epoch_us(events.ts) // 1000"
     val = "events.props"
-    if variant == "jitter":
+    scale = K.FINE_SCALE if variant == "fine" else 1
+    if variant in ("jitter", "fine"):
         ts = f"CASE WHEN events.value >= 100 THEN {ts} - {K.JITTER_MS} ELSE {ts} END"
     elif variant == "untimestamped":
         ts = f"CASE WHEN events.value < 1.0 THEN NULL ELSE {ts} END"
@@ -51,22 +62,28 @@ log AS (
          timestamp_ms, key, value
   FROM base),
 log_e AS (
-  SELECT *, CAST("offset" // (10 * ("partition" + 1)) AS BIGINT) AS arrival_epoch FROM log)"""
+  SELECT *, CAST("offset" * {scale} // (10 * ("partition" + 1)) AS BIGINT) AS arrival_epoch FROM log)"""
 
 
 def ranges_cte(topics) -> str:
+    if isinstance(topics, AllTopics):
+        return _ranges_sql("topic IS NOT NULL", _target(topics) or "NULL", f"'{topics.policy}'")
     names = ", ".join(f"'{t.name}'" for t in topics)
     tgt = " ".join(f"WHEN '{t.name}' THEN {_target(t)}" for t in topics if _target(t) is not None)
     tgt = f"CASE topic {tgt} END" if tgt else "NULL"
     pol = " ".join(f"WHEN '{t.name}' THEN '{t.policy}'" for t in topics)
+    return _ranges_sql(f"topic IN ({names})", tgt, f"CASE topic {pol} END")
+
+
+def _ranges_sql(wanted: str, tgt: str, pol: str) -> str:
     return f"""
 wm AS (
   SELECT topic, "partition", min("offset") AS lo, max("offset") + 1 AS hi,
          min("offset") FILTER (WHERE timestamp_ms >= {tgt}) AS at_time
-  FROM log WHERE topic IN ({names}) GROUP BY topic, "partition"),
+  FROM log WHERE {wanted} GROUP BY topic, "partition"),
 ranges AS (
   SELECT topic, "partition",
-         CAST(CASE CASE topic {pol} END WHEN 'earliest' THEN lo WHEN 'latest' THEN hi
+         CAST(CASE {pol} WHEN 'earliest' THEN lo WHEN 'latest' THEN hi
               ELSE coalesce(at_time, hi) END AS BIGINT) AS replay_start_offset,
          CAST(hi AS BIGINT) AS replay_end_offset
   FROM wm)"""
@@ -153,8 +170,8 @@ def _with(variant: str, topics, body: str, replay: bool = True, recursive: bool
     return f"{head} {','.join(parts)}\n{body}"
 
 
-EARLIEST = K.all_topics("earliest")
-MID = K.MID_EPOCH
+EARLIEST = AllTopics("earliest")
+MID = "(SELECT max(epoch) // 2 FROM epochs)"
 B = K.BATCH_SIZE
 SLICE = 'topic, "partition", "offset", timestamp_ms'
 
@@ -172,6 +189,25 @@ SELECT {SLICE}, arrival_epoch, release_epoch,
 FROM rel WHERE release_epoch IS NOT NULL""")
 
 
+_PACED = f""",
+m AS (
+  SELECT *, row_number() OVER (ORDER BY timestamp_ms, arrival_epoch, topic, "partition", "offset") AS id FROM msgs),
+stop AS (SELECT max(arrival_epoch) AS e_end, max(arrival_epoch) + CAST(ceil(count(*) / {B}.0) AS BIGINT) AS last FROM msgs),
+run(id, e) USING KEY (id) AS (
+  SELECT CAST(0 AS BIGINT), CAST(-1 AS BIGINT)  -- id 0 is the clock
+  UNION
+  SELECT id, e FROM (
+    SELECT id, e FROM (
+      SELECT m.id, t.p AS e, row_number() OVER (ORDER BY m.id) AS place
+      FROM (SELECT run.e + 1 AS p FROM run, stop WHERE run.id = 0 AND run.e < stop.last) t CROSS JOIN stop
+      JOIN limits2 l ON l.epoch = least(t.p, stop.e_end)
+      JOIN m ON m.arrival_epoch <= t.p AND m.timestamp_ms <= l.release_limit
+      WHERE NOT EXISTS (SELECT 1 FROM recurring.run r WHERE r.id = m.id))
+    WHERE place <= {B}
+    UNION ALL
+    SELECT run.id, run.e + 1 FROM run, stop WHERE run.id = 0 AND run.e < stop.last)),
+paced AS (SELECT m.*, run.e AS release_epoch FROM m JOIN run ON run.id = m.id)"""
+
 _HELD = f"""
 held AS (SELECT * FROM rel WHERE arrival_epoch <= {MID} AND (release_epoch IS NULL OR release_epoch >= {MID})),
 lim AS (SELECT coalesce((SELECT release_limit FROM limits2 WHERE epoch = {MID}), -1) AS l),
@@ -186,10 +222,10 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["message_log"] = _with("base", None, f"SELECT {SLICE}, key, value, arrival_epoch FROM log_e")
     q["offsets_earliest"] = _offsets(EARLIEST)
-    q["offsets_latest"] = _offsets(K.all_topics("latest"))
-    q["offsets_relative_time"] = _offsets(K.all_topics("relative_time", K.RELATIVE_MS))
-    q["offsets_absolute_time"] = _offsets(K.all_topics("absolute_time", K.ABSOLUTE_MS))
-    q["offsets_start_of_day"] = _offsets(K.all_topics("start_of_day", K.DAY_TIME_MS, K.DAY_TZ))
+    q["offsets_latest"] = _offsets(AllTopics("latest"))
+    q["offsets_relative_time"] = _offsets(AllTopics("relative_time", K.RELATIVE_MS))
+    q["offsets_absolute_time"] = _offsets(AllTopics("absolute_time", K.ABSOLUTE_MS))
+    q["offsets_start_of_day"] = _offsets(AllTopics("start_of_day", K.DAY_TIME_MS, K.DAY_TZ))
     q["offsets_mixed"] = _offsets(K.MIXED)
     q["partition_watermarks"] = _with("base", None, """
 SELECT topic, "partition", min("offset") AS low_watermark, max("offset") + 1 AS high_watermark,
@@ -233,20 +269,25 @@ FROM met""")
 SELECT l.epoch, CAST(m.held AS BIGINT) AS held,
        CAST((SELECT count(*) FROM grid g WHERE g.epoch = l.epoch AND g.last_ts > l.low_water_mark) AS BIGINT)
          AS partitions_ahead,
-       (m.held < {B} OR np.partitions = 0 OR l.all_caught_up) AS should_resume,
-       m.held > {5 * B} AS over_buffer, CAST(0 AS BIGINT) AS paused_partitions
+       (m.held + m.released < {B} OR np.partitions = 0 OR l.all_caught_up) AS should_resume,
+       m.held + m.released > {5 * B} AS over_buffer, CAST(0 AS BIGINT) AS paused_partitions
 FROM limits2 l JOIN met m USING (epoch) CROSS JOIN np""")
     q["ordered_replay"] = _with("base", EARLIEST, f"""
 SELECT {SLICE}, CAST(row_number() OVER (ORDER BY timestamp_ms, topic, "partition", "offset") - 1 AS BIGINT)
        AS position
-FROM sl""", replay=True)
+FROM msgs""", replay=True)
+    q["ordered_replay_untimestamped"] = _with("untimestamped", EARLIEST, f"""
+SELECT {SLICE}, CAST(row_number() OVER (ORDER BY timestamp_ms, topic, "partition", "offset") - 1 AS BIGINT)
+       AS position
+FROM msgs""", replay=True)
     q["replay_batches"] = _with("base", K.MIXED, f"""
 SELECT {SLICE}, position, CAST(position // {B} AS BIGINT) AS batch_id FROM (
   SELECT *, CAST(row_number() OVER (ORDER BY timestamp_ms, topic, "partition", "offset") - 1 AS BIGINT) AS position
-  FROM sl)""")
+  FROM msgs)""")
     q["release_epochs"] = _release_view("base", EARLIEST)
     q["release_epochs_mixed"] = _release_view("base", K.MIXED)
     q["release_epochs_jitter"] = _release_view("jitter", EARLIEST)
+    q["release_epochs_fine"] = _release_view("fine", EARLIEST)
     q["release_batch"] = _with("base", EARLIEST, f""",{_HELD}
 SELECT {SLICE}, arrival_epoch, batch_position FROM batch""")
     q["held_messages"] = _with("base", EARLIEST, f""",{_HELD}
@@ -269,6 +310,27 @@ SELECT epoch, eligible_total, released, released_total FROM (
          pc.released_total
   FROM pc JOIN cnt c USING (epoch))
 WHERE epoch <= (SELECT e_end FROM tot) OR released > 0""", recursive=True)
+    q["paced_replay"] = q["stream_ordered_release"] = _with("base", EARLIEST, f"""{_PACED}
+SELECT {SLICE}, arrival_epoch, release_epoch,
+       CAST(row_number() OVER (ORDER BY release_epoch, timestamp_ms, arrival_epoch, topic, "partition", "offset") - 1
+            AS BIGINT) AS release_position
+FROM paced""", recursive=True)
+    q["paced_counts_jitter"] = _with("jitter", EARLIEST, f"""{_PACED},
+dep AS (
+  SELECT epoch FROM epochs UNION SELECT DISTINCT release_epoch FROM paced),
+cnt AS (
+  SELECT d.epoch, (SELECT count(*) FROM rel WHERE release_epoch <= d.epoch) AS eligible_total,
+         (SELECT count(*) FROM paced WHERE release_epoch = d.epoch) AS released FROM dep d)
+SELECT epoch, CAST(eligible_total AS BIGINT) AS eligible_total, CAST(released AS BIGINT) AS released,
+       CAST(sum(released) OVER (ORDER BY epoch) AS BIGINT) AS released_total
+FROM cnt""", recursive=True)
+    q["stream_replay_until_live"] = _with("base", EARLIEST, """
+SELECT s.topic, s."partition", s.replay_start_offset, s.replay_end_offset, s.consumed_offset, s.released_offset,
+       g.last_ts AS timestamp_ms, s.consumed_offset + 1 >= s.replay_end_offset AND g.last_ts IS NOT NULL
+         OR s.replay_start_offset >= s.replay_end_offset AS is_caught_up,
+       s.is_live, false AS is_paused
+FROM st s LEFT JOIN grid g USING (epoch, topic, "partition")
+WHERE s.epoch = (SELECT max(epoch) FROM epochs)""")
     q["released_state"] = _with("jitter", EARLIEST, """
 SELECT r.topic, r."partition", coalesce(x.ro, r.replay_start_offset) AS released_offset,
        CASE WHEN x.ro IS NULL THEN r.replay_start_offset >= r.replay_end_offset
@@ -295,11 +357,12 @@ LEFT JOIN (SELECT topic, "partition", "offset" AS ro FROM rel WHERE release_epoc
   USING (topic, "partition")""")
     q["order_violations"] = _with("jitter", EARLIEST, """
 SELECT release_epoch, min_ts, max_ts, prev_max_ts FROM (
-  SELECT b.*, lag(max_ts) OVER (ORDER BY release_epoch) AS prev_max_ts, p.is_live
+  SELECT b.*, lag(max_ts) OVER (ORDER BY release_epoch) AS prev_max_ts
   FROM (SELECT release_epoch, min(timestamp_ms) AS min_ts, max(timestamp_ms) AS max_ts
         FROM rel WHERE release_epoch IS NOT NULL GROUP BY release_epoch) b
-  LEFT JOIN prog p ON p.epoch = b.release_epoch)
-WHERE NOT coalesce(is_live, false) AND min_ts < prev_max_ts""")
+  LEFT JOIN prog p ON p.epoch = b.release_epoch
+  WHERE NOT coalesce(p.is_live, false))
+WHERE min_ts < prev_max_ts""")
     q["batch_size_violations"] = _with("base", EARLIEST, f"""
 SELECT release_epoch, count(*) AS messages FROM rel WHERE release_epoch IS NOT NULL
 GROUP BY release_epoch HAVING count(*) > {B}""")

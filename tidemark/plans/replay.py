@@ -1,9 +1,11 @@
-"""A replay over a message log, built lazily from DataFrame operators.
+"""A replay over a message log, built from DataFrame operators.
 
 ``Replay`` is the batch counterpart of a consumer: it resolves ranges once,
 slices the log, and exposes poll-by-poll limits, release polls, and the
-reports. Each property is a DataFrame; only a few scalars (the last poll,
-the message count) are ever brought to the driver.
+reports. Each property is a DataFrame; only a few scalars (the last poll, the
+bounds of the limit) are brought to the driver. Tables that several plans read
+are written when first asked for; ``close`` (or a ``with`` block) gives them
+back.
 """
 
 from __future__ import annotations
@@ -18,8 +20,9 @@ from ..operators import offsets as O
 from ..operators import progress as P
 from ..operators import release as R
 from ..operators import watermark as W
-from ..session import materialize
+from ..session import drop_written, materialize, written
 from ..sources.log import DEFAULT_BATCH_SIZE
+from ..sources.topics import validate_topics
 
 
 class Replay:
@@ -40,17 +43,42 @@ class Replay:
         # folder; small per-partition / per-poll tables are only persisted
         # (no extra job; a lost block is recomputed from lineage)
         self._keep = materialize if materialized else (lambda df: df)
-        self._small = (lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if materialized else (lambda df: df)
+        self._persisted: list[DataFrame] = []
+        self._mark = written()
+        self._small = self._hold if materialized else (lambda df: df)
         # the log is expected to be a table (an archive, or the written output
         # of log_from_events); then the consumed slice is a scan plus a
         # broadcast-join filter and is not written again unless asked
         self._keep_messages = self._keep if keep_messages else (lambda df: df)
 
+    def _hold(self, df: DataFrame) -> DataFrame:
+        self._persisted.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    def close(self) -> None:
+        """Give back what this replay keeps: cached tables, and the tables
+        written since it was made. Its frames cannot be read afterwards."""
+        while self._persisted:
+            self._persisted.pop().unpersist()
+        drop_written(self.spark, self._mark)
+
+    def __enter__(self) -> "Replay":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
     @cached_property
     def ranges(self) -> DataFrame:
+        """One range per partition; raises where a requested topic has none."""
         if self._ranges is not None:
             return self._ranges
-        return self._small(O.resolve_offsets(self.log, self.topics, self.as_of_ms))
+        out = self._small(O.resolve_offsets(self.log, self.topics, self.as_of_ms))
+        present = {r["topic"] for r in out.select("topic").distinct().collect()}  # at most the requested topics
+        missing = sorted(t.name for t in validate_topics(self.topics) if t.name not in present)
+        if missing:
+            raise ValueError("no partitions in the log for topics: " + ", ".join(missing))
+        return out
 
     @cached_property
     def slice(self) -> DataFrame:
@@ -76,8 +104,10 @@ class Replay:
 
     @cached_property
     def released(self) -> DataFrame:
-        """Every consumed message with its (uncapped) release poll."""
-        return self._keep(R.release_epochs(self.messages, self.limits, self.last_epoch))
+        """Every consumed message with its (uncapped) release poll; the payload
+        is left behind (``poll`` joins it back)."""
+        slim = self.messages.select("topic", "partition", "offset", "timestamp_ms", "arrival_epoch")
+        return self._keep(R.release_epochs(slim, self.limits, self.last_epoch))
 
     def partition_state(self, upto_epoch: int | None = None, as_timestamp: bool = True) -> DataFrame:
         return P.partition_state(self.released, self.ranges, upto_epoch, as_timestamp)
@@ -95,9 +125,7 @@ class Replay:
                              partitions, self.batch_size, self.last_epoch)
 
     def paced_counts(self) -> DataFrame:
-        total = self.messages.count()
-        return R.paced_counts(self.released, self.limits, self.batch_size, self.spark,
-                              self.last_epoch, total)
+        return R.paced_counts(self.released, self.limits, self.batch_size, self.spark, self.last_epoch)
 
     # --- consumer-style accessors (T1, A5-A8) -----------------------------------
 
@@ -107,7 +135,8 @@ class Replay:
         from pyspark.sql import functions as F
         from ..schema import to_messages
         rel = R.release_order(self.released.filter(F.col("release_epoch") == epoch))
-        return to_messages(rel, extra=["release_position"])
+        payload = self.messages.filter(F.col("arrival_epoch") <= epoch).select("topic", "partition", "offset", "key", "value")
+        return to_messages(rel.join(payload, ["topic", "partition", "offset"]), extra=["release_position"])
 
     def _progress_row(self, epoch: int):
         from pyspark.sql import functions as F
@@ -133,6 +162,7 @@ class Replay:
         row = self.metrics().filter(F.col("epoch") == epoch).first()
         return 0 if row is None else int(row["held"])
 
-    def paused_partition_count(self) -> int:
-        """Admission control replaces pausing, so always 0."""
-        return 0
+    def paused_partition_count(self, state: DataFrame | None = None) -> int:
+        """Paused partitions of a state table; of the replay itself always
+        0, since admission control replaces pausing."""
+        return 0 if state is None else state.filter("is_paused").count()

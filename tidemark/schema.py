@@ -34,6 +34,12 @@ TP = ["topic", "partition"]
 MAX_LIMIT = (1 << 63) - 1  # "no limit" for the release gate
 
 
+def int_div(value: Column, by: Column | int) -> Column:
+    """Whole quotient of two longs, exact (no detour through doubles)."""
+    by = F.lit(by) if isinstance(by, int) else by
+    return F.call_function("div", value.cast("long"), by.cast("long"))
+
+
 def get_message_schema() -> T.StructType:
     return MESSAGE_SCHEMA
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,8 +42,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and state tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared folder). Only when
-    it is unset (local tests) is a scratch folder created and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared folder). Where it
+    is unset, a scratch folder is made for a local master; on a cluster that is
+    an error, since executors would not see each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,16 +52,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    import uuid
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    """A fresh path for a written table under the shared checkpoint folder;
+    ``drop_written`` deletes it."""
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.append(path)
+    return path
 
 
 def ensure_utc(spark: SparkSession) -> None:
@@ -74,19 +79,23 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
 _WRITTEN: list[str] = []
 
 
-def drop_written(spark: SparkSession) -> int:
-    """Delete the tables written by ``materialize`` in this process."""
+def written() -> int:
+    """How many written tables exist; a mark for ``drop_written``."""
+    return len(_WRITTEN)
+
+
+def drop_written(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables written in this process, those after a mark only."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    while _WRITTEN:
+    while len(_WRITTEN) > since:
         p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         if p.getFileSystem(conf).delete(p, True):
             n += 1

@@ -11,7 +11,9 @@ tables under one folder, each keyed by the micro-batch id:
 * ``state/epoch=N``    partition state after poll N (the progress report)
 
 Poll N reads N-1 and overwrites N, so a retried micro-batch gives the same
-tables (idempotent). Only the state table (one row per partition) is read by
+tables (idempotent); without the tables of N-1 it fails rather than start from
+an empty buffer. What polls before the last ``KEEP`` left behind is deleted
+(their output stays). Only the state table (one row per partition) is read by
 the driver, to get the limit.
 
 No ``withWatermark`` is used: a late row is never dropped (T5); it leaves in
@@ -26,10 +28,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.release import BUFFER_KEY, drain_tail
+from ..operators.release import drain_tail
 from ..operators.watermark import release_limit_of
 from .step import advance_state, apply_release, initial_state, release_flag
 
+KEEP = 3  # polls whose state and buffer stay on disk
 LOG_COLS = ["topic", "partition", "offset", "timestamp_ms", "key", "value"]
 
 
@@ -49,12 +52,31 @@ class OrderedRelease:
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return fs.exists(jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS")))
 
+    def _epochs(self, spark: SparkSession, table: str) -> list[int]:
+        """Epochs of a table's folders, by one listing."""
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, table))
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return sorted(int(n.partition("=")[2]) for n in names if n.startswith("epoch="))
+
+    def _purge(self, spark: SparkSession, epoch: int) -> None:
+        jvm = spark.sparkContext._jvm
+        for table in ("consumed", "held", "state"):
+            for e in self._epochs(spark, table):
+                if e <= epoch - KEEP:
+                    p = jvm.org.apache.hadoop.fs.Path(self._path(table, e))
+                    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
     def _read_prev(self, spark, epoch: int):
-        if epoch > 0 and self._exists(spark, self._path("state", epoch - 1)):
-            state = spark.read.parquet(self._path("state", epoch - 1))
-            held = spark.read.parquet(self._path("held", epoch - 1))
-            return state, held
-        return initial_state(self.ranges), None
+        if epoch == 0:
+            return initial_state(self.ranges), None
+        for table in ("state", "held"):
+            if not self._exists(spark, self._path(table, epoch - 1)):
+                raise RuntimeError(f"poll {epoch}: no complete {table} table of poll {epoch - 1} under {self.root}")
+        return spark.read.parquet(self._path("state", epoch - 1)), spark.read.parquet(self._path("held", epoch - 1))
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
@@ -78,14 +100,14 @@ class OrderedRelease:
         pool.filter(~flag).write.mode("overwrite").parquet(self._path("held", epoch_id))
         out = spark.read.parquet(self._path("out", epoch_id))
         apply_release(state, out).coalesce(1).write.mode("overwrite").parquet(self._path("state", epoch_id))
+        self._purge(spark, epoch_id)
 
     # --- after the stream -----------------------------------------------------
 
     def last_epoch(self, spark) -> int:
-        e = -1
-        while self._exists(spark, self._path("state", e + 1)):
-            e += 1
-        return e
+        """The last poll whose tables are complete; -1 before the first."""
+        done = [e for e in self._epochs(spark, "state")[-KEEP:] if self._exists(spark, self._path("state", e))]
+        return max(done, default=-1)
 
     def drain(self, spark) -> DataFrame | None:
         """Empty polls after the last micro-batch keep releasing the
@@ -102,8 +124,13 @@ class OrderedRelease:
         return held.filter(F.col("timestamp_ms") <= F.lit(limit)).withColumn("release_epoch", F.lit(e + 1).cast("long"))
 
     def released(self, spark) -> DataFrame:
-        """Everything released so far, plus the drain."""
-        out = spark.read.parquet(os.path.join(self.root, "out")).drop("epoch")
+        """Everything released by complete polls, plus the drain. Output of a
+        poll that was cut short is not counted; its retry replaces it."""
+        last = self.last_epoch(spark)
+        paths = [self._path("out", e) for e in self._epochs(spark, "out") if e <= last]
+        if not paths:
+            raise RuntimeError(f"no complete poll under {self.root}")
+        out = spark.read.parquet(*paths)
         tail = self.drain(spark)
         if tail is not None:
             out = out.unionByName(tail.select(*out.columns))
