@@ -90,6 +90,33 @@ def written() -> int:
     return len(_WRITTEN)
 
 
+def written_since(mark: int) -> list[str]:
+    """Paths of the tables written after a mark."""
+    return _WRITTEN[mark:]
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> int:
+    """Delete written tables that nothing will read again."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    for path in paths:
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
+
+
+def settle(df, mark: int, name: str = "table"):
+    """``materialize`` a result, and delete the tables written since ``mark``
+    that led to it."""
+    used = written_since(mark)
+    out = materialize(df, name)
+    drop_tables(df.sparkSession, used)
+    return out
+
+
 def drop_written(spark: SparkSession, since: int = 0) -> int:
     """Delete the tables written in this process, those after a mark only."""
     jvm = spark.sparkContext._jvm
