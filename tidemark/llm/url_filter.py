@@ -8,7 +8,8 @@ sample of them (``TRAIN_ROWS``, chosen by hash) over length, depth, digit and
 letter ratios, character entropy, parameter counts, label and hyphen counts,
 and the smoothed share of blocked urls among the labelled ones with the same
 last two host labels, last label and first path segment. Those shares are
-counted over all labelled urls. Where no rule fits, the trees decide.
+counted over all labelled urls, and hidden in some training rows, as for a
+suffix not met before. Where no rule fits, the trees decide.
 
 Defined cases: a null url, or one without "://", has an empty host and path,
 fits no rule and is judged by the trees like any other. Repeated rows and null
@@ -34,6 +35,7 @@ TRAIN_ROWS = 20_000
 TREES = 15
 DEPTH = 4
 SMOOTHING = 20.0
+UNSEEN = 3  # in one of so many training rows a share is hidden, so that the trees learn to do without it
 SEED = 11
 _COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789-._~%/?=&#:+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -100,16 +102,19 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
         stats = known.groupBy(name).agg(F.sum("blocked").alias("_b"), F.count(F.lit(1)).alias("_n"))
         stats = stats.select(name, ((F.col("_b") + SMOOTHING * prior) / (F.col("_n") + SMOOTHING)).alias(share))
         rows = rows.join(stats, name, "left").withColumn(share, F.coalesce(share, F.lit(prior)))
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     sample = rows.filter(F.col("hit").isNotNull())
     if n > TRAIN_ROWS:
         cut = int(TRAIN_ROWS / n * 1_000_000)
         sample = sample.filter(F.pmod(F.xxhash64("url", F.col("page_id").cast("string")), F.lit(1_000_000)) < cut)
+    for share in ("suffix_share", "last_share", "segment_share"):  # as if not met before, in some of the rows
+        unseen = F.pmod(F.xxhash64("url", F.lit(share)), F.lit(UNSEEN)) == 0
+        sample = sample.withColumn(share, F.when(unseen, F.lit(prior)).otherwise(F.col(share)))
     trees = GBTClassifier(featuresCol="features", labelCol="blocked", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
                           featureSubsetStrategy="onethird", subsamplingRate=0.8)
-    model = trees.fit(sample.select("features", "blocked"))
+    model = trees.fit(assembler.transform(sample).select("features", "blocked"))
     chance = vector_to_array(F.col("probability"))[1]
-    judged = model.transform(rows)
+    judged = model.transform(assembler.transform(rows))
     other = F.when(chance >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", F.col("hit.rule").alias("rule"),
                          F.coalesce("hit.verdict", other).alias("verdict"))
