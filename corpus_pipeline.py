@@ -2,14 +2,16 @@
 ``tidemark.llm``; its result is written as Parquet in the shared checkpoint
 folder and read again as the next stage's documents.
 
-All stages but the last return the columns of ``documents``; rows keep every
-other column they came with. A document whose text is null or empty passes the
+A stage's own intermediate tables are deleted when the next stage begins, since
+its result has been written by then. All stages but the last return the columns
+of ``documents``; rows keep every other column they came with. A document whose text is null or empty passes the
 filters (its toxicity score permitting) and is packed as the end token alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +21,32 @@ from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.toxicity import without_toxic
-from tidemark.session import materialize
+from tidemark.session import drop_tables, materialize, written, written_since
 
 
+_left: dict[str, list[str]] = {}  # by application: tables the stage before has left
+
+
+def _stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        drop_tables(spark, _left.pop(app, []))
+        mark = written()
+        out = f(spark, docs, sf_dir)
+        _left[app] = written_since(mark)
+        return out
+
+    return run_stage
+
+
+@_stage
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the operator predicts to be toxic go."""
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: its smallest doc_id."""
     kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -36,6 +56,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.dropDuplicates(["doc_id"]) if repeated else out
 
 
+@_stage
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut out of the texts; n_chars follows the text.
     Bytes of a character that a cut has split are dropped with it."""
@@ -51,11 +72,13 @@ def _column(docs: DataFrame, name: str) -> Column:
     return F.col(f"c{docs.columns.index(name)}")
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark text go."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left is packed into training sequences."""
     return pack(docs)

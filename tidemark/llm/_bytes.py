@@ -1,6 +1,6 @@
 """Vectorised text primitives on UTF-8 buffers, used inside Spark tasks.
 
-Everything works on slices of a few megabytes: an Arrow batch is cut into runs
+Everything works on slices of a megabyte: an Arrow batch is cut into runs
 of whole texts (``slices``), so a task's memory does not depend on the batch.
 Hashes are 64-bit polynomials over random odd tables; all tables come from one
 fixed seed, so every task of every run computes the same values.
@@ -13,7 +13,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _RNG = np.random.default_rng(20260601)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)

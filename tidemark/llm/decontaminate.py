@@ -1,6 +1,6 @@
 """Benchmark decontamination over training suffix arrays (operator 1).
 
-Method. Each shard of the training text (a few megabytes of whole documents)
+Method. Each shard of the training text (a megabyte of whole documents)
 gets a suffix array over its words; every benchmark suffix is looked up in it
 by binary search, which gives the places where its first 13 words (all of them
 in a shorter item) occur. Places on one diagonal are joined to the longest
@@ -41,7 +41,7 @@ HEAD = 4  # words that a suffix must share with a benchmark suffix to enter the
 SEGMENT = 4096
 BLOCK = 512
 PASSES = 4
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 _MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("words", pa.int64())]))
 _STATE = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("hits", pa.binary()), ("items", pa.list_(pa.int64())), ("matches", _MATCH)]

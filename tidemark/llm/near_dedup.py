@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, settle, written
 from . import _bytes as B
 from ._graph import components
 from ._ship import ready
@@ -303,6 +303,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, text) rows -> (doc_id, n_shingles, component_id, kept), one row
     per input row. component_id is the smallest doc_id of the class."""
     ready(docs.sparkSession)
+    mark = written()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialize(docs.mapInArrow(_sign, _SIG_SCHEMA), "signatures")
     sets = materialize(
@@ -349,5 +350,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = classes.select("set_key", "root").join(lows, "root").select("set_key", "component_id")
     out = signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return settle(out.select("doc_id", "n_shingles", own.alias("component_id"),
+                             F.col("doc_id").eqNullSafe(own).alias("kept")), mark, "classes")

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import drop_tables, scratch_path
 from . import _bytes as B
 from ._ship import ready
 
@@ -53,8 +53,8 @@ WINDOW = 100
 GRAM = 20
 SIDE = 40  # bytes left of the anchor that decide which side of it is hashed
 CHUNK_BYTES = 4 << 20
-SEGMENT = 1 << 20  # window starts worked on at a time
-BLOCK_WINDOWS = 1 << 20
+SEGMENT = 1 << 19  # window starts worked on at a time
+BLOCK_WINDOWS = 1 << 19
 SPLITTER_SAMPLE = 1 << 16
 PARTS_PER_PARTITION = 4
 
@@ -450,9 +450,9 @@ def remove_repeats(docs: DataFrame, kept: str | None = None) -> tuple[DataFrame,
     size = chunks.agg(F.sum(F.length("rows"))).first()[0] or 0
     rate = min(1.0, SPLITTER_SAMPLE / max(size / 41, 1))
     sides = chunks.mapInArrow(_send_sides(parts, id_at, text_at, rate), _SIDES)
-    path = scratch_path(spark, "sides")
-    sides.write.parquet(path)
-    sides = spark.read.parquet(path)
+    sides_path = scratch_path(spark, "sides")
+    sides.write.parquet(sides_path)
+    sides = spark.read.parquet(sides_path)
     sample = [np.frombuffer(r["payload"], np.uint64) for r in sides.filter("part = -1").select("payload").toLocalIterator()]
     sample = np.sort(np.concatenate(sample)) if sample else np.zeros(0, np.uint64)
     splitters = np.unique(sample[np.arange(1, parts) * len(sample) // parts]) if len(sample) else sample
@@ -460,6 +460,7 @@ def remove_repeats(docs: DataFrame, kept: str | None = None) -> tuple[DataFrame,
     (sides.filter("part >= 0").groupBy("part").applyInArrow(_match_sides, "chunk long, part int, bits binary")
      .groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias("answers")).write.parquet(path))
     seen = spark.read.parquet(path)
+    drop_tables(spark, [sides_path])
     known = chunks.join(seen, "chunk", "left")
     entries = known.mapInArrow(_send_entries(parts, splitters, id_at, text_at), _ENTRIES)
     path = scratch_path(spark, "verdicts")
