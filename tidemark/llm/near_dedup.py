@@ -50,6 +50,7 @@ BOTTOM = 512
 LEAST = 0.78  # estimated Jaccard of sets over BOTTOM that is looked at further
 SURE = 0.93  # estimate from which a pair counts as joined while its link is unconfirmed
 SIMILARITY = 85  # per cent
+MAX_BROADCAST = 200_000  # rows (about 50 MB at most); a larger side is joined by a shuffle
 
 _HASHES = 2 * COLLECTIONS * HALF
 _RNG = np.random.default_rng(97)
@@ -299,6 +300,12 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(holds, pa.bool_())], ["u", "v", "sure", "holds"])
 
 
+def if_small(side: DataFrame) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast up to MAX_BROADCAST
+    rows: the documents it is joined to then stay where they are."""
+    return F.broadcast(side) if side.count() <= MAX_BROADCAST else side
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, text) rows -> (doc_id, n_shingles, component_id, kept), one row
     per input row. component_id is the smallest doc_id of the class."""
@@ -314,8 +321,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         sets.select("node", "halves").mapInArrow(_half_keys, "key long, collection byte, node long")
         .withColumn("n", F.count(F.lit(1)).over(by_key)).filter("n > 1")
         .withColumn("rank", F.row_number().over(by_key.orderBy("node")) - 1), "buckets")
-    members = buckets.select("node").distinct().join(sets, "node")
-    members = materialize(docs.join(members, docs["doc_id"].eqNullSafe(members["low"]))
+    members = materialize(buckets.select("node").distinct().join(sets, "node"), "members")
+    members = materialize(docs.join(if_small(members), docs["doc_id"].eqNullSafe(members["low"]))
                           .select("node", "halves", "set_key", "text").mapInArrow(_describe, _MEMBER), "members")
     links, labels, trust = None, None, 2
     while True:

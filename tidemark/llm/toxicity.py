@@ -8,9 +8,10 @@ expression that neither class has seen says nothing for either. The log ratio
 of the two models at each character gives a document's length-normalised
 difference of log-likelihoods, and that of each word; a logistic regression on
 the first, the largest of the second and their number above ``CLEAR`` turns
-these into a score. It is fitted by cross-fitting: the labelled rows fall into ``FOLDS`` parts, and a part's rows
-get their features from counts without that part (of each part a bounded
-sample, at most ``MAX_CALIBRATION`` rows in all). Scores use all counts.
+these into a score. It is fitted by cross-fitting: the labelled rows fall into
+``FOLDS`` parts, and a part's rows get their features from counts without that
+part (of each part a bounded sample, at most ``MAX_CALIBRATION`` rows in all).
+Scores use all counts.
 
 Counts are summed within tasks before they are exchanged, and grow with the
 text up to the 32 ** ORDER expressions there are. The scoring table is that
