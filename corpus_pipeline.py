@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
-from tidemark.llm.near_dedup import if_small, near_duplicates
+from tidemark.llm.near_dedup import one_of_each
 from tidemark.llm.packing import pack
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.toxicity import without_toxic
@@ -48,13 +48,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays: its smallest doc_id."""
-    ids = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
-    ids = materialize(ids, "ids")
-    gone = ids.filter("NOT stays").select(F.col("doc_id").alias("_gone"))
-    out = docs.join(if_small(gone), docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
-    repeated = not ids.filter("stays AND rows > 1").isEmpty()
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    """One row of each near-duplicate class stays: that of its smallest doc_id."""
+    return one_of_each(docs)
 
 
 @_stage

@@ -46,3 +46,21 @@ def test_cut_texts_have_their_length(spark):
     out = {r.doc_id: r for r in P.suffix_dedup(spark, docs, "").collect()}
     assert all(r.n_chars == len(r.text) for r in out.values()) and out[1].n_chars < 201
     assert os.path.basename(SF_SMALL) == "sf0.001"
+
+
+def test_near_dedup_keeps_one_row_of_each_class(spark):
+    """Null and repeated doc_ids with texts of their own: no class is lost."""
+    texts = [" ".join(f"t{k}w{j}" for j in range(40)) for k in range(8)]
+    near = texts[0].replace("t0w39", "changed")
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]),  # one class twice, two alone
+            (5, texts[0]), (6, near),  # the class of the null rows: 5 stays
+            (7, texts[3]), (7, texts[4]), (7, texts[3]),  # two classes under one id, one twice
+            (8, texts[5]), (8, texts[5] + " more"),  # one class under one id
+            (9, ""), (9, ""), (None, None), (None, " ")]  # empty sets: classes of their own
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, row int")
+    out = P.near_dedup(spark, docs, "").collect()
+    got = sorted([(r.doc_id, r.text) for r in out if r.doc_id != 8], key=str)
+    assert got == sorted([(None, texts[1]), (None, texts[2]), (5, texts[0]), (7, texts[3]), (7, texts[4]),
+                          (9, ""), (9, ""), (None, None), (None, " ")], key=str)
+    assert sum(r.doc_id == 8 for r in out) == 1 and len({r.row for r in out}) == len(out)
+    assert all(rows[r.row] == (r.doc_id, r.text) for r in out)

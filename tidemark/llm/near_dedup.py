@@ -26,6 +26,8 @@ Defined cases: null or empty text, or text without words: empty set, a class
 of its own. Null doc_id: takes part; its component_id is the smallest non-null
 doc_id of its class, or null. Repeated rows: one class, each row returned.
 Extra columns are ignored by ``near_duplicates``. An empty table gives no rows.
+doc_id need not name a row: ``one_of_each`` goes by class, and knows a row by
+its doc_id and a 128-bit digest of its text.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, settle, written
@@ -101,12 +103,12 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-_SIG_SCHEMA = "doc_id long, n_shingles long, set_key binary, halves binary"
+_SIG_SCHEMA = "doc_id long, digest binary, n_shingles long, set_key binary, halves binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, off = B.buffers(batch.column(1))
+        data, off = B.buffers(batch.column(2))
         for a, b in B.slices(off):
             sets = shingle_sets(data[off[a]:off[b]], off[a:b + 1] - off[a])
             full = [i for i, s in enumerate(sets) if len(s)]
@@ -119,10 +121,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for row, i in zip(B.mix(h), full):
                     halves[i] = row.tobytes()
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(a, b - a),
+                batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_key(s) for s in sets], pa.binary()), pa.array(halves, pa.binary()),
-            ], ["doc_id", "n_shingles", "set_key", "halves"])
+            ], ["doc_id", "digest", "n_shingles", "set_key", "halves"])
 
 
 def _half_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,15 +308,27 @@ def if_small(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if side.count() <= MAX_BROADCAST else side
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) rows -> (doc_id, n_shingles, component_id, kept), one row
-    per input row. component_id is the smallest doc_id of the class."""
+def _digest(text: Column) -> Column:
+    """128 bits that, with its doc_id, name a row's text."""
+    return F.unhex(F.md5(text.cast("string").cast("binary")))
+
+
+def _order() -> Column:
+    """Rows by doc_id, nulls last, then by digest."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("digest"))
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) rows -> (doc_id, digest, n_shingles, component_id, root),
+    one row per input row; root names the row's class and is null for the empty
+    set."""
     ready(docs.sparkSession)
-    mark = written()
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest(F.col("text")).alias("digest"),
+                       F.col("text").cast("string").alias("text"))
     signed = materialize(docs.mapInArrow(_sign, _SIG_SCHEMA), "signatures")
     sets = materialize(
-        signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("low"), F.first("halves").alias("halves"))
+        signed.filter("n_shingles > 0").groupBy("set_key").agg(F.min(_order()).alias("first"), F.first("halves").alias("halves"))
+        .select("set_key", "halves", F.col("first.doc_id").alias("low"), F.col("first.digest").alias("low_digest"))
         .withColumn("node", F.monotonically_increasing_id()), "sets")
     by_key = Window.partitionBy("key")
     buckets = materialize(
@@ -322,7 +336,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("n", F.count(F.lit(1)).over(by_key)).filter("n > 1")
         .withColumn("rank", F.row_number().over(by_key.orderBy("node")) - 1), "buckets")
     members = materialize(buckets.select("node").distinct().join(sets, "node"), "members")
-    members = materialize(docs.join(if_small(members), docs["doc_id"].eqNullSafe(members["low"]))
+    members = materialize(docs.join(if_small(members), docs["doc_id"].eqNullSafe(members["low"]) & (docs["digest"] == members["low_digest"]))
                           .select("node", "halves", "set_key", "text").mapInArrow(_describe, _MEMBER), "members")
     links, labels, trust = None, None, 2
     while True:
@@ -354,8 +368,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = sets.select("set_key", "node", "low").join(labels, "node", "left").select(
         "set_key", "low", F.coalesce("root", "node").alias("root"))
     lows = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = classes.select("set_key", "root").join(lows, "root").select("set_key", "component_id")
-    out = signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
+    classes = classes.select("set_key", "root").join(lows, "root").select("set_key", "component_id", "root")
+    out = signed.select("doc_id", "digest", "n_shingles", "set_key").join(classes, "set_key", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return settle(out.select("doc_id", "n_shingles", own.alias("component_id"),
-                             F.col("doc_id").eqNullSafe(own).alias("kept")), mark, "classes")
+    return out.select("doc_id", "digest", "n_shingles", own.alias("component_id"), "root")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) rows -> (doc_id, n_shingles, component_id, kept), one row
+    per input row. component_id is the smallest doc_id of the class."""
+    mark = written()
+    out = _classes(docs)
+    return settle(out.select("doc_id", "n_shingles", "component_id",
+                             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), mark, "classes")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each class, columns unchanged: that of the
+    smallest doc_id (nulls last), then of the smallest digest. Rows equal in
+    both have one text; one of them stays. Rows of the empty set all stay."""
+    mark = written()
+    keys = settle(_classes(docs).filter("root IS NOT NULL").groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows")), mark, "keys")
+    first = keys.groupBy("root").agg(F.min(_order()).alias("first"), F.sum("rows").alias("rows")).filter("rows > 1").drop("rows")
+    shared = keys.join(first, "root").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "rows", (_order() == F.col("first")).alias("stays"))
+    shared = materialize(shared, "shared")
+    text, number = _digest(docs["text"]), docs["doc_id"].cast("long")
+
+    def at(side: DataFrame) -> Column:
+        return number.eqNullSafe(side["_id"]) & text.eqNullSafe(side["_digest"])
+
+    # rows that go, and those of which several equal ones are there
+    aside = shared.filter("NOT stays OR rows > 1").select("_id", "_digest")
+    out = docs.join(if_small(aside), at(aside), "left_anti")
+    equal = shared.filter("stays AND rows > 1").select("_id", "_digest")
+    if equal.isEmpty():
+        return out
+    return out.unionByName(docs.join(if_small(equal), at(equal)).dropDuplicates(["_id", "_digest"]).select(*[docs[c] for c in docs.columns]))
