@@ -84,3 +84,10 @@ def test_ids_equal_the_library():
     v = vocabulary(default_path())
     for text in ["", " ", "a  b\n\n c", "it's we'll they've I'D", "日本語　ñandú 12345", "<|endoftext|>x<|endoftext|>", "!" * 300, "é" * 50]:
         assert v.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_white_space_of_a_million_characters():
+    """More than the fast matcher can hold: the library's own ids all the same."""
+    t = Tokenizer.from_file(default_path())
+    text = "a" + " " * 1_200_000 + "b<|endoftext|> c"
+    assert vocabulary(default_path()).encode(text).tolist() == t.encode(text, add_special_tokens=False).ids

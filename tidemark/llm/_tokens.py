@@ -2,8 +2,10 @@
 
 The ids are those of the ``tokenizers`` library for the same file (tests
 compare them); the merging is done by ``tiktoken`` with the file's own
-vocabulary, which is several times faster. Special strings inside a text become
-their special ids, as that library does by default.
+vocabulary, which is several times faster. Its pattern matcher gives up on very
+long runs of white space; such a text goes to the ``tokenizers`` library itself.
+Special strings inside a text become their special ids, as that library does by
+default.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import re
 
 import numpy as np
 import tiktoken
+from tokenizers import Tokenizer
 
 #: fixed value: the word pattern of byte-level BPE vocabularies of this kind
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -36,6 +39,8 @@ class Vocabulary:
     """Token bytes, ids, merges and special strings of a byte-level BPE file."""
 
     def __init__(self, path: str):
+        self.path = path
+        self.library: Tokenizer | None = None  # loaded for the first text that needs it
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = _letters()
@@ -51,7 +56,11 @@ class Vocabulary:
         self.split_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
 
     def encode(self, text: str) -> np.ndarray:
-        return self.encoding.encode_to_numpy(text, allowed_special="all")
+        try:
+            return self.encoding.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # the matcher's stack is too small for this text
+            self.library = self.library or Tokenizer.from_file(self.path)
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 _loaded: dict[str, Vocabulary] = {}
