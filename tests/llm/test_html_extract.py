@@ -30,7 +30,32 @@ def test_cut_off_page_and_references(trees):
     assert text(trees, source[: source.index("</article>")] + "<p cla").endswith("More é &am & bits of it here.")
 
 
-@pytest.mark.parametrize("source", ["", "<", "<p", "<!--", "<script>x", "</p></div>", "<a href='", "&", "<![CDATA[", "<div " * 50, "<p>" * 3000,
+LONG = "Words of the article are told at length here, and then some more of them."
+
+
+@pytest.mark.parametrize("icon", ['<svg class="i" viewBox="0 0 1 1"/>', "<math/>", '<svg><path d="M0"/><g><use href="#x"/></g></svg>', "<svg><path d='M0'>"])
+def test_an_icon_does_not_hide_the_article(trees, icon):
+    source = PAGE.format(f"<p>{LONG}</p><p>{LONG} Twice.</p>")
+    want = f"The title\n{LONG}\n{LONG} Twice."
+    assert text(trees, source) == want
+    assert text(trees, source.replace("<nav>", f"<header>{icon}<p>Site</p></header><nav>")) == want
+
+
+def test_formulas_and_literal_text_are_kept(trees):
+    formula = "<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>"
+    body = f"<p>{LONG} So {formula} holds <svg><path d='M0'/></svg>always.</p><xmp><b>{LONG}</b> &amp;</xmp><p>{LONG} Last.</p>"
+    assert text(trees, PAGE.format(body)) == f"The title\n{LONG} So E=mc2 holds always.\n<b>{LONG}</b> &amp;\n{LONG} Last."
+
+
+def test_svg_text_becomes_nodes():
+    page = H.Page(f"<article><p>Before <svg><title>Chart</title><text x='1'>Label <tspan>one</tspan></text><text><![CDATA[a < b]]></text>"
+                  "<style>p{}</style><foreignObject><div>Inside</div></foreignObject></svg> after</p></article>")
+    assert [t for t in page.text if t] == ["Before", "Chart", "Label one", "a < b", "Inside", "after"]
+    assert page.tag[page.parent[page.text.index("Label one")]] == "text"
+
+
+@pytest.mark.parametrize("source", ["<svg", "<svg><math><svg/>", "</svg><math>x", "<xmp>", "<svg>" * 5000 + "x", "<svg><title>" * 3000, "<math><mi><p>" * 2000,
+                                    "", "<", "<p", "<!--", "<script>x", "</p></div>", "<a href='", "&", "<![CDATA[", "<div " * 50, "<p>" * 3000,
                                     "<div>" * 5000 + "x", "<table><td>1<td>2<tr>3", "a" * 100_000, "<b>" * 2000 + "y" + "</b>" * 10])
 def test_broken_pages_do_not_fail(trees, source):
     assert isinstance(text(trees, source), str)

@@ -12,7 +12,8 @@ leaf is kept inside a rejected container.
 
 A block's character references are decoded, its white space becomes single
 spaces, and the kept blocks are joined in page order by line ends. <br> is
-white space. Scripts, styles, comments and markup have no text.
+white space. Scripts, styles, comments and markup have no text. MathML is part
+of the text it stands in; a label in an svg is a block, judged as any other.
 
 Defined cases: null or empty html, or a page without main text, gives an empty
 string. Unclosed and stray tags are repaired as browsers do for paragraphs,
@@ -49,9 +50,14 @@ _WORD = re.compile(r"[a-z]+")
 
 # fixed values: HTML element names
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
+_RAW = frozenset("script style textarea title iframe noembed noframes noscript template".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
                     "strong sub sup time tt u var wbr br img".split())
+_FOREIGN = frozenset(("svg", "math"))
+_LABELS = frozenset("text title desc foreignobject".split())  # svg elements whose text is a block of its own
+_HTML_INSIDE = frozenset("title desc foreignobject mi mn mo ms mtext".split())  # elements of svg and math that may hold HTML
+_BREAKS = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+                    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split())  # HTML elements that end an open svg or math
 _CLOSES = {  # an opening tag ends these open elements, within the given bounds
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -102,6 +108,7 @@ class Page:
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("body", 0)]  # open elements and their block node
         run: list[str] = []
+        foreign: list[tuple[str, int]] = []  # open svg and math, and what may hold HTML in them: name, place in the stack
         linked, in_link, at = 0, 0, 0
         size = len(source)
 
@@ -121,9 +128,11 @@ class Page:
                 name, _ = stack[-1]
                 if name == "a":
                     in_link = max(in_link - 1, 0)
-                elif name not in _INLINE:
+                elif len(stack) == 1 or stack[-2][1] != stack[-1][1]:
                     flush()
                 stack.pop()
+            while foreign and foreign[-1][1] >= depth:
+                foreign.pop()
 
         def text_until(end: int) -> None:
             nonlocal linked
@@ -143,6 +152,8 @@ class Page:
             at = m.end()
             name = m[2] or m[5]
             if name is None:
+                if foreign and foreign[-1][0] in _FOREIGN and m.group().startswith("<![CDATA["):
+                    run.append(m.group()[9:].removesuffix("]]>"))
                 continue
             name = name.lower()
             if not (m.group().endswith(">")):
@@ -153,6 +164,25 @@ class Page:
                         close(k)
                         break
                 continue
+            if name in _BREAKS:
+                while foreign and foreign[-1][0] in _FOREIGN:
+                    close(foreign[-1][1])
+            around = foreign[-1][0] if foreign and foreign[-1][0] in _FOREIGN else ""
+            if around and name in ("script", "style") and m.group().endswith("/>"):
+                continue
+            if (around or name in _FOREIGN) and name not in ("script", "style"):
+                self.tags[stack[-1][1]] += not around
+                if m.group().endswith("/>") or len(stack) >= MAX_DEPTH:
+                    continue
+                if name in _FOREIGN or name in _HTML_INSIDE:
+                    foreign.append((name, len(stack)))
+                if around == "svg" and name in _LABELS:
+                    flush()
+                    stack.append((name, self._node(name, stack[-1][1], 0)))
+                else:
+                    stack.append((name, stack[-1][1]))
+                    in_link += name == "a"
+                continue
             if name in _RAW:
                 end = re.compile(rf"</{re.escape(name)}[^>]*(?:>|\Z)", re.I).search(source, at)
                 at = end.end() if end else size
@@ -175,6 +205,13 @@ class Page:
                     close(k)
                 elif stack[k][0] in bounds:
                     break
+            if name == "xmp":  # its markup is text
+                end = re.compile(r"</xmp[^>]*(?:>|\Z)", re.I).search(source, at)
+                stack.append((name, self._node(name, stack[-1][1], 0)))
+                run.append(source[at:end.start() if end else size])
+                at = end.end() if end else size
+                close(len(stack) - 1)
+                continue
             if len(stack) >= MAX_DEPTH:
                 continue
             attrs = 0
