@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_toxicity": {"doc_id", "held_out", "score", "predicted"},
     "op9_near_duplicates": {"doc_id", "n_shingles", "component_id", "kept"},
     "op10_url_filter": {"page_id", "host", "path", "rule", "verdict"},
+    "op11_token_alignment": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
 }
 
 

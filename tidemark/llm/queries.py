@@ -15,6 +15,7 @@ from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import quality
 from .suffix_dedup import remove_repeats
+from .token_align import align
 from .topk import top_k
 from .toxicity import toxicity
 from .url_filter import judge
@@ -71,6 +72,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_quality, op3_best_fit_packing, op4_html_extract, op5_token_counts, op6_suffix_dedup, op7_top_k, op8_toxicity, op9_near_duplicates, op10_url_filter)
+    f.__name__: f for f in (op1_decontaminate, op2_quality, op3_best_fit_packing, op4_html_extract, op5_token_counts, op6_suffix_dedup, op7_top_k, op8_toxicity, op9_near_duplicates, op10_url_filter,
+                            op11_token_alignment)
 }

@@ -115,25 +115,26 @@ class Aligner:
         """Number the pieces not known. Each stands for itself after a space."""
         if len(self.number) > CACHE or self.letters > 16 * SLICE:
             self.forget()
-        new = [t for t in pieces if t not in self.number]
-        spelt = [t for t in new if _SPACE not in t]
+        new = list(pieces - self.number.keys())
+        lost = {t for t in new if _SPACE in t}
         # a piece that ends in no white space can be followed by any other
-        tied = [t for t in spelt if not t or t[-1].isspace() or len(t) > SLICE // 16]
-        free = [t for t in spelt if t and not t[-1].isspace() and len(t) <= SLICE // 16]
+        tied = [t for t in new if (not t or t[-1].isspace() or len(t) > SLICE // 16) and t not in lost]
+        free = list(set(new) - set(tied) - lost) if tied or lost else new
         a, b = self._encode(free, True)
         if not self._spell(free, a, b):
             a, b, tied, free = [], [], free + tied, []
-        some = []
+        good = list(free)
         for t in tied:
             x, y = self._encode([t], False)
             if self._spell([t], x, y):
-                some.append(t)
-                a, b = [*a, *x], [*b, *y]
-        good = free + some
-        self._align(good, np.array(a, np.int64), np.array(b, np.int64))
-        known = set(good)
-        lost = [t for t in new if t not in known]
-        self._add(lost, [""] * len(lost), np.zeros((len(lost), 2), np.int64), True, *[(np.zeros(0, np.int64), np.zeros(len(lost), np.int64))] * 2)
+                good.append(t)
+                a += x
+                b += y
+            else:
+                lost.add(t)
+        if good:
+            self._align(good, np.array(a, np.int64), np.array(b, np.int64))
+        self._add(list(lost), [""] * len(lost), np.zeros((len(lost), 2), np.int64), True, *[(np.zeros(0, np.int64), np.zeros(len(lost), np.int64))] * 2)
 
     def _encode(self, pieces: list[str], at_once: bool) -> tuple[list[int], list[int]]:
         if not at_once:
