@@ -19,6 +19,8 @@ COLUMNS = {
     "op9_near_duplicates": {"doc_id", "n_shingles", "component_id", "kept"},
     "op10_url_filter": {"page_id", "host", "path", "rule", "verdict"},
     "op11_token_alignment": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
+    "op12_merkle_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
+    "op13_passage_dedup": {"doc_id", "n_words", "n_removed", "kept_sha256"},
 }
 
 

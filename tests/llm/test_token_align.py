@@ -4,7 +4,6 @@ from collections import Counter
 
 import cases
 import public_tokenizers
-import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -78,13 +77,24 @@ def answer(frame):
     return sorted((tuple(r[n] for n in names) for r in frame.collect()), key=str)
 
 
-@pytest.mark.parametrize("slice_, cache", [(A.SLICE, A.CACHE), (300, 5)])
-def test_against_the_libraries(spark, monkeypatch, slice_, cache):
-    """Whole, and in small parts with a cache that keeps running over."""
-    monkeypatch.setattr(A, "SLICE", slice_)
-    monkeypatch.setattr(A, "CACHE", cache)
+def test_small_parts_and_cache(monkeypatch):
+    """Texts in parts of some 300 characters, a cache that keeps running over."""
+    monkeypatch.setattr(A, "SLICE", 300)
+    monkeypatch.setattr(A, "CACHE", 5)
+    monkeypatch.setattr(A, "_aligners", {})
+    with_ = A.aligner(A.default_path(), A.default_piece_path())
+    texts = [t for _, t in rows() if t]
+    for text, want in zip(texts, brute(texts)[0]):
+        found = A._join([A._look([p], with_) for p in A._parts(text)])
+        got = (*found.counts[:, 0], hashlib.sha256(found.groups[0].encode()).hexdigest()) if found.whole[0] else (0, 0, 0, "")
+        assert got == (want[0], want[1], want[3], want[6]), text
+        if found.whole[0]:
+            assert found.exact[2].sum() + found.other[2].sum() == want[3]
+
+
+def test_against_the_libraries(spark):
     data = rows()
-    want, total = brute([t for _, t in data])
+    want, _ = brute([t for _, t in data])
     docs = cases.frame(spark, data).repartition(3)
     assert answer(A.align(docs)) == sorted(((i, *w) for (i, _), w in zip(data, want)), key=str)
 

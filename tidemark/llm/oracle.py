@@ -59,4 +59,60 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 5
 """
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op7_top_k": OP7, "op9_near_duplicates": OP9}
+OP13 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents
+), s AS (
+  SELECT doc_id, i, md5(array_to_string(a[i:i + 34], ' ')) AS g
+  FROM (SELECT doc_id, a, unnest(range(1, len(a) - 33)) AS i FROM w WHERE len(a) >= 35)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM s JOIN (SELECT g FROM s GROUP BY g HAVING count(*) > 1) USING (g)
+), k AS (
+  SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t
+  FROM (SELECT doc_id, unnest(a) AS x, unnest(range(1, len(a) + 1)) AS p FROM w) ANTI JOIN gone USING (doc_id, p) GROUP BY 1
+)
+SELECT w.doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(len(a) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+
+def _manifest_sql(levels: int = 6, source_levels: int = 4) -> str:
+    """The tree level by level; sources of up to 16^levels documents."""
+    field = "coalesce(CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+    leaf = "sha256(" + " || ".join(field.format(x=c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {t})"
+    text = leaf.format(t=field.format(x="text"))
+    low = leaf.format(t=field.format(x=_LOW.format(t="text")))
+    bit = "list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    crc = f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+           lambda d: CAST(ascii(d) AS BIGINT))), lambda h, d: {bit.replace("[c,", "[xor(h, d),")}))"""
+    parts = [f"""d AS (SELECT doc_id, coalesce('s' || source, '') AS tree, {text} AS leaf,
+  CASE WHEN {crc} % 5 = 0 THEN {low} ELSE {text} END AS other FROM documents)""",
+             "n0 AS (SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM (SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos, leaf AS h FROM d))",
+             "f0 AS (SELECT doc_id, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos, leaf, other AS cur, '' AS proof FROM d)"]
+
+    def up(n: str, to: str) -> str:
+        return f"""{to} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM (
+  SELECT tree, pos // 16 AS pos, CASE WHEN max(c) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM {n} GROUP BY 1, pos // 16))"""
+
+    def fold(n: str, f: str, to: str) -> str:
+        return f"""{to} AS (SELECT {f}.doc_id, {f}.tree, {f}.pos // 16 AS pos, leaf,
+  CASE WHEN max(c) = 1 THEN max(cur) ELSE sha256(string_agg(CASE WHEN {n}.pos = {f}.pos THEN cur ELSE h END, '' ORDER BY {n}.pos)) END AS cur,
+  max(proof) || coalesce(string_agg(h, '' ORDER BY {n}.pos) FILTER ({n}.pos <> {f}.pos), '') AS proof
+  FROM {f} JOIN {n} ON {n}.tree = {f}.tree AND {n}.pos // 16 = {f}.pos // 16 GROUP BY {f}.doc_id, {f}.tree, {f}.pos, leaf)"""
+
+    for k in range(levels):
+        parts += [up(f"n{k}", f"n{k + 1}"), fold(f"n{k}", f"f{k}", f"f{k + 1}")]
+    parts += [f"m0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, h, tree AS t, count(*) OVER () AS c FROM n{levels})",
+              f"g0 AS (SELECT doc_id, '' AS tree, m0.pos, leaf, cur, proof FROM f{levels} f JOIN m0 ON m0.t = f.tree)"]
+    for k in range(source_levels):
+        parts += [up(f"m{k}", f"m{k + 1}"), fold(f"m{k}", f"g{k}", f"g{k + 1}")]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT d.doc_id, d.leaf, m0.h AS subroot, r.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = r.h AS verified
+FROM g{source_levels} JOIN d USING (doc_id) JOIN m0 ON m0.t = d.tree, m{source_levels} r"""
+
+
+OP12 = _manifest_sql()
+
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op7_top_k": OP7, "op9_near_duplicates": OP9, "op12_merkle_manifest": OP12,
+                           "op13_passage_dedup": OP13}

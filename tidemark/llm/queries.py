@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from . import decontaminate as D
 from . import token_counts as K
 from .html_extract import extract
+from .manifest import manifest
 from .near_dedup import near_duplicates
 from .packing import pack
+from .passage_dedup import remove_passages
 from .quality import quality
 from .suffix_dedup import remove_repeats
 from .token_align import align
@@ -76,7 +78,17 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return manifest(_table(spark, sf_dir, "documents"), {"text": lower}, F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
+def op13_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame, c = remove_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return frame.select(F.col("c0").alias("doc_id"), *[c[n].alias(n) for n in ("n_words", "n_removed", "kept_sha256")])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_quality, op3_best_fit_packing, op4_html_extract, op5_token_counts, op6_suffix_dedup, op7_top_k, op8_toxicity, op9_near_duplicates, op10_url_filter,
-                            op11_token_alignment)
+                            op11_token_alignment, op12_merkle_manifest, op13_passage_dedup)
 }
