@@ -339,14 +339,18 @@ def q_paced_replay(spark, d):
 
 
 def _stream(spark, d, batch_size):
+    """The log as a stream: a poll takes 10 * (partition + 1) messages of each
+    partition, as the batch queries' arrival polls do."""
     from ..session import scratch_path
-    from ..streaming.stream import run_ordered_release, write_polls
+    from ..sources.archive import read_log_stream, write_archive
+    from ..streaming.stream import run_ordered_release
     rp = earliest_replay(spark, d, base_log(spark, d))
     root = scratch_path(spark, "stream-replay")
-    msgs = rp.messages.select(*SLICE_COLS, "key", "value", "arrival_epoch")
-    glob = write_polls(msgs, f"{root}/source", rp.last_epoch)
-    schema = msgs.drop("arrival_epoch").schema
-    return run_ordered_release(spark, glob, schema, rp.ranges, root, batch_size)
+    msgs = rp.messages.select(*SLICE_COLS, "key", "value")
+    archive = write_archive(msgs, f"{root}/archive")
+    ranges = rp.ranges.withColumn("rows_per_poll", 10 * (F.col("partition") + 1))
+    source = read_log_stream(spark, archive, msgs.schema, ranges, f"{root}/progress")
+    return run_ordered_release(source, rp.ranges, root, batch_size)
 
 
 def q_stream_ordered_release(spark, d):

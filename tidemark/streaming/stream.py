@@ -1,39 +1,82 @@
-"""Ordered release in Structured Streaming.
-
-A micro-batch is a poll. ``OrderedRelease`` is a ``foreachBatch`` handler:
-it merges the batch into the partition-state table, computes the limit from
-that state, marks the released rows with ``release_flag`` and writes its
-tables under one folder, each keyed by the micro-batch id:
-
-* ``consumed/epoch=N`` partition state after the arrivals of poll N
-* ``out/epoch=N``      rows released by poll N
-* ``held/epoch=N``     the buffer carried to poll N+1
-* ``state/epoch=N``    partition state after poll N (the progress report)
-
-Poll N reads N-1 and overwrites N, so a retried micro-batch gives the same
-tables (idempotent); without the tables of N-1 it fails rather than start from
-an empty buffer. What polls before the last ``KEEP`` left behind is deleted
-(their output stays). Only the state table (one row per partition) is read by
-the driver, to get the limit.
-
-No ``withWatermark`` is used: a late row is never dropped (T5); it leaves in
-the next batch. Once every partition is caught up the limit is unlimited and
-everything held is released (T4).
+"""Ordered release in Structured Streaming.
+
+A micro-batch is a poll. ``OrderedRelease`` is a ``foreachBatch`` handler. Poll N
+writes, under one folder,
+
+* ``runs/arrived-N`` its arrivals, a sorted run of the buffer (``buffer.py``)
+* ``consumed/N``     partition state after the arrivals
+* ``out/N``          the rows it releases
+* ``state/N``        partition state after the release (the progress report)
+* ``runs/merged-N``  what is left of some runs, where they are merged
+
+and then ``polls/N.json``: the runs with their cursors, the paths and the counts.
+That file appears by one rename, so a reader sees a poll whole or not at all. A poll
+reads the manifest of N-1 and overwrites what a cut-short attempt has left; once its
+manifest is there, a repeat does nothing. Without the manifest of N-1 it fails rather
+than start from an empty buffer. Folders that no manifest of the last ``KEEP`` polls
+names are deleted (output and manifests stay). The driver reads the state's summary,
+one index for each run and the last released key.
+
+No ``withWatermark`` is used: a late row is never dropped (T5); it leaves in the
+next batch. Once every partition is caught up the limit is unlimited and everything
+held is released (T4).
 """
 
 from __future__ import annotations
 
+import json
 import os
+import time
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.release import drain_tail
-from ..operators.watermark import release_limit_of
-from .step import advance_state, apply_release, initial_state, release_flag
+from ..operators.release import BUFFER_KEY, drain_tail
+from ..operators.watermark import low_water_mark_of, release_limit_of
+from . import buffer as U
+from .step import advance_state, apply_release, initial_state
 
 KEEP = 3  # polls whose state and buffer stay on disk
 LOG_COLS = ["topic", "partition", "offset", "timestamp_ms", "key", "value"]
+STATE_COLS = ["topic", "partition", "timestamp_ms", "is_caught_up", "is_paused"]
+
+
+class _Files:
+    """Small files in the shared folder, through Hadoop's file systems."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, path: str) -> Any:
+        return self._jvm.org.apache.hadoop.fs.Path(path)
+
+    def read(self, path: str) -> dict | None:
+        if not self._fs.exists(self._path(path)):
+            return None
+        stream = self._fs.open(self._path(path))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def publish(self, path: str, value: dict) -> None:
+        """The file is there whole, by a rename, or not at all."""
+        draft = self._path(path + ".draft")
+        stream = self._fs.create(draft, True)
+        stream.write(json.dumps(value).encode())
+        stream.close()
+        if not self._fs.rename(draft, self._path(path)):
+            raise RuntimeError(f"could not publish {path}")
+
+    def names(self, folder: str) -> list[str]:
+        if not self._fs.exists(self._path(folder)):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path(folder))]
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
 
 
 class OrderedRelease:
@@ -42,130 +85,177 @@ class OrderedRelease:
         self.root = root
         self.batch_size = batch_size
         self.query = None  # the StreamingQuery, once started
+        self._flushed = -1  # polls whose metrics have been taken
 
-    def _path(self, table: str, epoch: int) -> str:
-        return os.path.join(self.root, table, f"epoch={epoch}")
-
-    def _exists(self, spark: SparkSession, path: str) -> bool:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS")))
-
-    def _epochs(self, spark: SparkSession, table: str) -> list[int]:
-        """Epochs of a table's folders, by one listing."""
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, table))
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(int(n.partition("=")[2]) for n in names if n.startswith("epoch="))
-
-    def _purge(self, spark: SparkSession, epoch: int) -> None:
-        jvm = spark.sparkContext._jvm
-        for table in ("consumed", "held", "state"):
-            for e in self._epochs(spark, table):
-                if e <= epoch - KEEP:
-                    p = jvm.org.apache.hadoop.fs.Path(self._path(table, e))
-                    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-    def _read_prev(self, spark, epoch: int):
-        if epoch == 0:
-            return initial_state(self.ranges), None
-        for table in ("state", "held"):
-            if not self._exists(spark, self._path(table, epoch - 1)):
-                raise RuntimeError(f"poll {epoch}: no complete {table} table of poll {epoch - 1} under {self.root}")
-        return spark.read.parquet(self._path("state", epoch - 1)), spark.read.parquet(self._path("held", epoch - 1))
+    def _path(self, *parts: Any) -> str:
+        return os.path.join(self.root, *map(str, parts))
+
+    def _files(self, spark: SparkSession) -> _Files:
+        return _Files(spark, self.root)
+
+    def manifest(self, spark: SparkSession, epoch: int) -> dict | None:
+        """What poll ``epoch`` has published; None before."""
+        return self._files(spark).read(self._path("polls", f"{epoch}.json"))
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        rows.write.mode("overwrite").parquet(path)
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        new = (batch.select(*LOG_COLS).filter(F.col("timestamp_ms").isNotNull())
-               .withColumn("arrival_epoch", F.lit(epoch_id).cast("long")))
-        state, held = self._read_prev(spark, epoch_id)
+        if self.manifest(spark, epoch_id):
+            return  # published before; the stream repeats it after a restart
+        if epoch_id == 0:
+            state, runs = initial_state(self.ranges), []
+        else:
+            before = self.manifest(spark, epoch_id - 1)
+            if before is None:
+                raise RuntimeError(f"poll {epoch_id}: poll {epoch_id - 1} has published nothing under {self.root}")
+            state, runs = spark.read.parquet(before["state"]), [U.Run.load(r) for r in before["runs"]]
+        arrived = self._path("runs", f"arrived-{epoch_id}")
         # only partitions inside the resolved ranges are tracked; rows past
         # the end offset still flow (a live replay, Q14)
         r = F.broadcast(self.ranges.select("topic", "partition", "replay_start_offset"))
-        new = new.join(r, ["topic", "partition"]).filter(
-            F.col("offset") >= F.col("replay_start_offset")).drop("replay_start_offset")
-        # the state table has one row per partition: written as one file
-        advance_state(state, new).coalesce(1).write.mode("overwrite").parquet(self._path("consumed", epoch_id))
-        state = spark.read.parquet(self._path("consumed", epoch_id))
-        limit = release_limit_of(state.select(
-            "topic", "partition", "timestamp_ms", "is_caught_up", "is_paused")).first()["release_limit"]
-        pool = new if held is None else held.unionByName(new)
-        flag = release_flag(pool, limit, self.batch_size)
-        (pool.filter(flag).withColumn("release_epoch", F.lit(epoch_id).cast("long"))
-         .write.mode("overwrite").parquet(self._path("out", epoch_id)))
-        pool.filter(~flag).write.mode("overwrite").parquet(self._path("held", epoch_id))
-        out = spark.read.parquet(self._path("out", epoch_id))
-        apply_release(state, out).coalesce(1).write.mode("overwrite").parquet(self._path("state", epoch_id))
-        self._purge(spark, epoch_id)
-
-    # --- after the stream -----------------------------------------------------
-
-    def last_epoch(self, spark) -> int:
-        """The last poll whose tables are complete; -1 before the first."""
-        done = [e for e in self._epochs(spark, "state")[-KEEP:] if self._exists(spark, self._path("state", e))]
-        return max(done, default=-1)
-
-    def drain(self, spark) -> DataFrame | None:
+        new = (batch.select(*LOG_COLS).filter(F.col("timestamp_ms").isNotNull())
+               .join(r, ["topic", "partition"]).filter(F.col("offset") >= F.col("replay_start_offset"))
+               .drop("replay_start_offset").withColumn("arrival_epoch", F.lit(epoch_id).cast("long")))
+        self._write(U.in_order(new), arrived)
+        run = U.describe(spark, arrived, epoch_id)
+        if run:
+            runs = [*runs, run]
+            # the state table has one row per partition: written as one file
+            self._write(advance_state(state, spark.read.parquet(arrived)).coalesce(1), self._path("consumed", epoch_id))
+            state = spark.read.parquet(self._path("consumed", epoch_id))
+        limit = release_limit_of(state.select(*STATE_COLS)).first()["release_limit"]
+        out = self._path("out", epoch_id)
+        bound = self._bound(spark, runs, limit)
+        pool = U.rows_of(spark, runs, bound[0]) if bound else None
+        released = pool.filter(U.up_to(bound)) if bound and pool is not None else spark.createDataFrame([], new.schema)
+        self._write(released.withColumn("release_epoch", F.lit(epoch_id).cast("long")), out)
+        taken = spark.read.parquet(out)
+        self._write(apply_release(state, taken).coalesce(1), self._path("state", epoch_id))
+        gone: dict[str, int] = {}
+        if runs and bound:
+            counts = taken.agg(*[F.count_if(F.col("arrival_epoch").between(x.first, x.last)).alias(f"n{k}") for k, x in enumerate(runs)]).first()
+            gone = {x.path: counts[f"n{k}"] for k, x in enumerate(runs)}
+            runs = [x.after(bound, gone[x.path]) for x in runs]
+        left = [x for x in runs if x.rows]
+        rewritten, n = 0, U.to_merge(left)
+        if n:
+            whole = U.merged(left[-n:], self._path("runs", f"merged-{epoch_id}"))
+            self._write(U.in_order(U.rows_of(spark, left[-n:])), whole.path)
+            left, rewritten = [*left[:-n], whole], whole.rows
+        files = self._files(spark)
+        files.publish(self._path("polls", f"{epoch_id}.json"), {
+            "epoch": epoch_id, "limit": limit, "runs": [x.dump() for x in left], "state": self._path("state", epoch_id), "out": out,
+            "consumed": run.rows if run else 0, "released": sum(gone.values()), "held": sum(x.rows for x in left),
+            "rewritten": rewritten, "published_ms": int(time.time() * 1000)})
+        self._purge(spark, files, epoch_id, arrived, {x.path for x in left})
+
+    def _bound(self, spark: SparkSession, runs: list[U.Run], limit: int) -> U.Key | None:
+        """The largest buffer key that this poll releases; None releases nothing."""
+        runs = [r for r in runs if r.floor <= limit]
+        if not runs:
+            return None
+        if not self.batch_size:
+            return limit, U.FOREVER, "", 0, 0
+        for upto in U.reach(runs, limit, self.batch_size):
+            top = U.rows_of(spark, runs, upto).orderBy(*BUFFER_KEY).limit(self.batch_size)
+            r = top.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*BUFFER_KEY)).alias("k")).first()
+            if r["n"] == self.batch_size:
+                return tuple(r["k"])
+        return (limit, U.FOREVER, "", 0, 0) if r["n"] else None
+
+    def _purge(self, spark: SparkSession, files: _Files, epoch: int, arrived: str, held: set[str]) -> None:
+        if arrived not in held:
+            files.delete(arrived)
+        old = self.manifest(spark, epoch - KEEP)
+        if old:
+            after = {r["path"] for r in (self.manifest(spark, epoch - KEEP + 1) or {"runs": []})["runs"]}
+            for path in [r["path"] for r in old["runs"] if r["path"] not in after]:
+                files.delete(path)
+            files.delete(old["state"])
+            files.delete(self._path("consumed", epoch - KEEP))
+
+    # --- reports ------------------------------------------------------------
+
+    def last_epoch(self, spark: SparkSession) -> int:
+        """The last published poll; -1 before the first."""
+        names = self._files(spark).names(self._path("polls"))
+        return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json")), default=-1)
+
+    def _last(self, spark: SparkSession) -> dict | None:
+        return self.manifest(spark, self.last_epoch(spark))
+
+    def held(self, spark: SparkSession) -> DataFrame | None:
+        """The buffer after the last poll; None if it is empty."""
+        last = self._last(spark)
+        return U.rows_of(spark, [U.Run.load(r) for r in last["runs"]]) if last else None
+
+    def drain(self, spark: SparkSession) -> DataFrame | None:
         """Empty polls after the last micro-batch keep releasing the
         buffer, batch by batch; returns those rows (set-based)."""
-        e = self.last_epoch(spark)
-        if e < 0:
+        last, held = self._last(spark), self.held(spark)
+        if held is None:
             return None
-        state = spark.read.parquet(self._path("state", e))
-        held = spark.read.parquet(self._path("held", e))
-        limit = release_limit_of(state.select(
-            "topic", "partition", "timestamp_ms", "is_caught_up", "is_paused")).first()["release_limit"]
+        first = last["epoch"] + 1
         if self.batch_size:
-            return drain_tail(held, limit, self.batch_size, e + 1).filter(F.col("release_epoch").isNotNull())
-        return held.filter(F.col("timestamp_ms") <= F.lit(limit)).withColumn("release_epoch", F.lit(e + 1).cast("long"))
+            return drain_tail(held, last["limit"], self.batch_size, first).filter(F.col("release_epoch").isNotNull())
+        return held.filter(F.col("timestamp_ms") <= F.lit(last["limit"])).withColumn("release_epoch", F.lit(first).cast("long"))
 
-    def released(self, spark) -> DataFrame:
-        """Everything released by complete polls, plus the drain. Output of a
+    def released(self, spark: SparkSession) -> DataFrame:
+        """Everything released by published polls, plus the drain. Output of a
         poll that was cut short is not counted; its retry replaces it."""
         last = self.last_epoch(spark)
-        paths = [self._path("out", e) for e in self._epochs(spark, "out") if e <= last]
-        if not paths:
-            raise RuntimeError(f"no complete poll under {self.root}")
-        out = spark.read.parquet(*paths)
+        if last < 0:
+            raise RuntimeError(f"no poll published under {self.root}")
+        out = spark.read.parquet(*[self._path("out", e) for e in range(last + 1)])
         tail = self.drain(spark)
         if tail is not None:
             out = out.unionByName(tail.select(*out.columns))
         return out
 
-    def partition_state(self, spark) -> DataFrame:
-        return spark.read.parquet(self._path("state", self.last_epoch(spark))).orderBy("topic", "partition")
+    def partition_state(self, spark: SparkSession) -> DataFrame:
+        last = self._last(spark)
+        state = spark.read.parquet(last["state"]) if last else initial_state(self.ranges)
+        return state.orderBy("topic", "partition")
 
+    def is_live(self, spark: SparkSession) -> bool:
+        """A5: there are partitions, and each has released up to its end."""
+        return bool(self.partition_state(spark).agg(F.bool_and("is_live")).first()[0])
 
-def write_polls(msgs: DataFrame, root: str, e_end: int) -> str:
-    """Lay a log out as one parquet folder per poll, written in poll order
-    (increasing modification time), so a file stream with
-    ``maxFilesPerTrigger=1`` sees one poll per micro-batch."""
-    from ..operators.release import by_poll
-    msgs = by_poll(msgs)
-    for e in range(e_end + 1):
-        (msgs.filter(F.col("arrival_epoch") == e).select(*LOG_COLS)
-         .coalesce(1).write.mode("overwrite").parquet(os.path.join(root, f"poll-{e:09d}")))
-    return os.path.join(root, "poll-*")
+    def get_priming_watermark(self, spark: SparkSession) -> int | None:
+        """The low-water mark while any partition is not live, else None."""
+        if self.is_live(spark):
+            return None
+        return low_water_mark_of(self.partition_state(spark).select(*STATE_COLS)).first()["low_water_mark"]
+
+    def held_message_count(self, spark: SparkSession) -> int:
+        """Consumed, not yet released."""
+        last = self._last(spark)
+        return last["held"] if last else 0
+
+    def flush_metrics(self, spark: SparkSession) -> dict[str, int]:
+        """What the polls published since the last call have consumed and
+        released, and what they hold; nothing is paused (admission control
+        replaces pausing). Safe while the stream runs."""
+        last = self.last_epoch(spark)
+        polls = [self.manifest(spark, e) for e in range(self._flushed + 1, last + 1)]
+        self._flushed = last
+        return {"polls": len(polls), "consumed": sum(p["consumed"] for p in polls), "released": sum(p["released"] for p in polls),
+                "held": self.held_message_count(spark), "paused": 0, "resumed": 0}
 
 
-def run_ordered_release(spark: SparkSession, source_glob: str, schema, ranges: DataFrame,
-                        root: str, batch_size: int | None = None, available_now: bool = True,
-                        processing_time: str | None = None) -> OrderedRelease:
-    """T2 + T3: stream the polls through ``OrderedRelease``. With
-    ``available_now`` the end is fixed at start, everything up to it is
-    consumed, and the query stops (replay until live)."""
+def run_ordered_release(source: DataFrame, ranges: DataFrame, root: str, batch_size: int | None = None,
+                        until_live: bool = True, processing_time: str = "0 seconds") -> OrderedRelease:
+    """A stream of messages (``LOG_COLS``) through ``OrderedRelease``. With
+    ``until_live`` it reads what the source has and stops; else it keeps running."""
     handler = OrderedRelease(ranges, os.path.join(root, "tables"), batch_size)
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_glob))
-    writer = stream.writeStream.foreachBatch(handler).option(
-        "checkpointLocation", os.path.join(root, "stream-checkpoint"))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime=processing_time or "1 second")
-    q = writer.start()
-    handler.query = q
-    if available_now:
-        q.awaitTermination()
+    query = (source.writeStream.foreachBatch(handler).option("checkpointLocation", os.path.join(root, "stream-checkpoint"))
+             .trigger(processingTime=processing_time).start())
+    handler.query = query
+    if until_live:
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
     return handler
