@@ -7,6 +7,7 @@ import pytest
 from helpers import make_log, make_ranges, msg, replay_of
 from model import MAX, run
 from tidemark.operators import release as R
+from tidemark.operators.paced import paced_replay
 
 
 def random_log(seed, topics=2, max_parts=3, max_msgs=25, out_of_order=0.2, null_ts=0.05,
@@ -98,8 +99,11 @@ def test_capped_exact_replay(spark, seed):
     ranges, polls = random_log(seed, max_msgs=20)
     cap = 3
     rp = replay_of(spark, ranges, polls, batch_size=cap)
-    got = R.paced_replay(rp.messages, rp.limits, cap, rp.last_epoch)
     expected = model_release(ranges, polls, cap, drain=True)
+    got = paced_replay(rp.messages, rp.limits, cap, rp.last_epoch)
+    assert spark_release(got.collect()) == expected
+    # periods split into leaves of four rows, halves of halves
+    got = paced_replay(rp.released, rp.limits, cap, rp.last_epoch, leaf=4)
     assert spark_release(got.collect()) == expected
 
 

@@ -158,7 +158,8 @@ def paced_counts(msgs_rel: DataFrame, limits: DataFrame, batch_size: int, spark,
     counts = running(eligible_counts(msgs_rel, spark, e_end), "epoch", {"eligible_total": ("sum", "_new")})
     b = F.lit(batch_size)
     if not falls.filter("release_limit < _high").isEmpty():
-        exact = paced_replay(msgs_rel.drop("release_epoch"), limits, batch_size, e_end).filter("release_epoch IS NOT NULL")
+        from .paced import paced_replay
+        exact = paced_replay(msgs_rel, limits, batch_size, e_end).filter("release_epoch IS NOT NULL")
         per = exact.groupBy(F.col("release_epoch").alias("epoch")).agg(F.count(F.lit(1)).alias("released"))
         out = counts.select("epoch", "eligible_total").join(per, "epoch", "full_outer").fillna(0, ["released"])
         out = running(out.withColumn("_e", F.coalesce("eligible_total", F.lit(0))), "epoch",
@@ -220,46 +221,3 @@ def drain_tail(held: DataFrame, limit: int, batch_size: int, first_epoch: int) -
     never = held.filter(~(F.col("timestamp_ms") <= F.lit(limit))).withColumn(
         "release_epoch", F.lit(None).cast("long"))
     return tail.unionByName(never)
-
-
-def by_poll(msgs: DataFrame) -> DataFrame:
-    """The messages written once, range-sorted by poll (with the full unique
-    key, so one huge poll is still split over tasks): a later
-    ``arrival_epoch == e`` filter is pushed to the parquet scan and skips the
-    row groups of other polls instead of reading the whole table per poll."""
-    key = ["arrival_epoch", "topic", "partition", "offset"]
-    return materialize(msgs.repartitionByRange(*key).sortWithinPartitions(*key), "by-poll")
-
-
-def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int) -> DataFrame:
-    """Exact rows of a capped release, poll by poll.
-
-    Limits do not depend on what was released, so they are computed once
-    (W1). Each poll is one small job: the buffer (held + arrivals) gives at
-    most ``batch_size`` rows (``TakeOrderedAndProject``), written to the
-    shared checkpoint folder; the rest is the next buffer, checkpointed to
-    cut lineage. After the last arrival the backlog drains set-based.
-    """
-    from ..session import scratch_path
-    from ..streaming.step import release_flag
-
-    spark = msgs.sparkSession
-    msgs = by_poll(msgs)
-    lim = {r["epoch"]: r["release_limit"] for r in limits.select("epoch", "release_limit").collect()}
-    cols = msgs.columns
-    root = scratch_path(spark, "paced-release")
-    held = None
-    for e in range(e_end + 1):
-        new = msgs.filter(F.col("arrival_epoch") == e)
-        pool = new if held is None else held.unionByName(new)
-        flag = release_flag(pool, lim[e], batch_size)
-        (pool.filter(flag).withColumn("release_epoch", F.lit(e).cast("long"))
-         .write.mode("overwrite").parquet(f"{root}/out/epoch={e}"))
-        # the next buffer, written to the shared folder: cuts lineage
-        pool.filter(~flag).write.mode("overwrite").parquet(f"{root}/held/epoch={e}")
-        held = spark.read.parquet(f"{root}/held/epoch={e}")
-    if held is None:
-        return msgs.withColumn("release_epoch", F.lit(None).cast("long"))
-    released = spark.read.parquet(f"{root}/out").drop("epoch").select(*cols, "release_epoch")
-    tail = drain_tail(held, lim[e_end], batch_size, e_end + 1).select(*cols, "release_epoch")
-    return released.unionByName(tail)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import checks as C
 from ..operators import offsets as O
+from ..operators.paced import paced_replay
 from ..operators import release as R
 from ..operators import watermark as W
 from ..schema import LOG_COLUMNS, TP, decode_value, timestamp_to_ms, to_messages
@@ -332,12 +333,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # --- iterative and streaming queries -------------------------
 
-def q_paced_replay(spark, d):
-    rp = earliest_replay(spark, d)
-    rel = R.paced_replay(rp.messages.select(*SLICE_COLS, "arrival_epoch"), rp.limits, BATCH_SIZE, rp.last_epoch)
+def _paced_view(rp: Replay) -> DataFrame:
+    rel = paced_replay(rp.released.select(*SLICE_COLS, "arrival_epoch", "release_epoch"), rp.limits, BATCH_SIZE, rp.last_epoch)
     return R.release_order(rel)
 
 
+def q_paced_replay(spark, d):
+    return _paced_view(earliest_replay(spark, d))
+
+
+def q_paced_replay_jitter(spark, d):
+    return _paced_view(earliest_replay(spark, d, jitter_log(spark, d)))
+
+
+def q_paced_replay_fine(spark, d):
+    return _paced_view(earliest_replay(spark, d, fine_log(spark, d)))
+
+
 def _stream(spark, d, batch_size):
     """The log as a stream: a poll takes 10 * (partition + 1) messages of each
     partition, as the batch queries' arrival polls do."""
@@ -365,6 +377,8 @@ def q_stream_replay_until_live(spark, d):
 
 QUERIES.update({
     "paced_replay": q_paced_replay,
+    "paced_replay_jitter": q_paced_replay_jitter,
+    "paced_replay_fine": q_paced_replay_fine,
     "stream_ordered_release": q_stream_ordered_release,
     "stream_replay_until_live": q_stream_replay_until_live,
 })

@@ -310,11 +310,14 @@ SELECT epoch, eligible_total, released, released_total FROM (
          pc.released_total
   FROM pc JOIN cnt c USING (epoch))
 WHERE epoch <= (SELECT e_end FROM tot) OR released > 0""", recursive=True)
-    q["paced_replay"] = q["stream_ordered_release"] = _with("base", EARLIEST, f"""{_PACED}
+    paced = f"""{_PACED}
 SELECT {SLICE}, arrival_epoch, release_epoch,
        CAST(row_number() OVER (ORDER BY release_epoch, timestamp_ms, arrival_epoch, topic, "partition", "offset") - 1
             AS BIGINT) AS release_position
-FROM paced""", recursive=True)
+FROM paced"""
+    q["paced_replay"] = q["stream_ordered_release"] = _with("base", EARLIEST, paced, recursive=True)
+    q["paced_replay_jitter"] = _with("jitter", EARLIEST, paced, recursive=True)
+    q["paced_replay_fine"] = _with("fine", EARLIEST, paced, recursive=True)
     q["paced_counts_jitter"] = _with("jitter", EARLIEST, f"""{_PACED},
 dep AS (
   SELECT epoch FROM epochs UNION SELECT DISTINCT release_epoch FROM paced),

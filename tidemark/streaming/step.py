@@ -1,42 +1,14 @@
-"""One poll as DataFrame operators.
-
-``release_flag`` marks which rows of the buffer (held rows plus this poll's
-arrivals) a poll releases under a limit and a cap; the state merges update the
-per-partition table. Batch replay (``paced_replay``) and the streaming
-``foreachBatch`` handler both use them, so capped release has a single
-definition.
-"""
+"""State merges of one poll (T1, T2): the partition table after its arrivals and
+after its release."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.release import BUFFER_KEY
 from ..schema import TP
 
 
-def release_flag(pool: DataFrame, limit: int, batch_size: int | None):
-    """Which buffer rows the poll releases, as a column expression.
-
-    Uncapped: ``timestamp <= limit``. Capped: one small job finds the buffer
-    key of the last row of the batch (top ``batch_size`` of the eligible rows,
-    ``TakeOrderedAndProject``, bounded); the flag is then
-    ``eligible AND key <= that key``, so the buffer is split with two plain
-    filters and never shuffled."""
-    eligible = F.col("timestamp_ms") <= F.lit(limit)
-    if not batch_size:
-        return eligible
-    key = F.struct(*[F.col(c) for c in BUFFER_KEY])
-    top = pool.filter(eligible).orderBy(*BUFFER_KEY).limit(batch_size)
-    last = top.agg(F.max(key).alias("k")).first()["k"]
-    if last is None:
-        return F.lit(False)
-    types = {f.name: f.dataType for f in pool.schema.fields}
-    lit = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in BUFFER_KEY])
-    return eligible & (key <= lit)
-
-
 def advance_state(state: DataFrame, new_rows: DataFrame) -> DataFrame:
     """A1 as a merge: the state table updated with one poll's arrivals.
 
