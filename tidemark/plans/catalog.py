@@ -79,6 +79,10 @@ def fine_log(spark, sf_dir):
                            epoch_scale=FINE_SCALE)
 
 
+def steady_log(spark, sf_dir):
+    return log_from_events(events(spark, sf_dir), columns=SLIM, epoch_scale=FINE_SCALE)
+
+
 def untimestamped_log(spark, sf_dir, columns=LOG_COLUMNS):
     return log_from_events(events(spark, sf_dir), null_timestamp_when=F.col("value") < 1.0, columns=columns)
 
@@ -342,12 +346,8 @@ def q_paced_replay(spark, d):
     return _paced_view(earliest_replay(spark, d))
 
 
-def q_paced_replay_jitter(spark, d):
-    return _paced_view(earliest_replay(spark, d, jitter_log(spark, d)))
-
-
 def q_paced_replay_fine(spark, d):
-    return _paced_view(earliest_replay(spark, d, fine_log(spark, d)))
+    return _paced_view(earliest_replay(spark, d, steady_log(spark, d)))
 
 
 def _stream(spark, d, batch_size):
@@ -377,7 +377,6 @@ def q_stream_replay_until_live(spark, d):
 
 QUERIES.update({
     "paced_replay": q_paced_replay,
-    "paced_replay_jitter": q_paced_replay_jitter,
     "paced_replay_fine": q_paced_replay_fine,
     "stream_ordered_release": q_stream_ordered_release,
     "stream_replay_until_live": q_stream_replay_until_live,

@@ -44,7 +44,7 @@ def _target(t) -> str | None:
 def log_ctes(variant: str = "base") -> str:
     ts = "epoch_us(events.ts) // 1000"
     val = "events.props"
-    scale = K.FINE_SCALE if variant == "fine" else 1
+    scale = K.FINE_SCALE if variant in ("fine", "steady") else 1
     if variant in ("jitter", "fine"):
         ts = f"CASE WHEN events.value >= 100 THEN {ts} - {K.JITTER_MS} ELSE {ts} END"
     elif variant == "untimestamped":
@@ -294,7 +294,7 @@ SELECT {SLICE}, arrival_epoch, batch_position FROM batch""")
 SELECT {SLICE}, arrival_epoch FROM held h
 WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.topic = h.topic AND b."partition" = h."partition"
                   AND b."offset" = h."offset")""")
-    q["paced_counts"] = _with("base", EARLIEST, f""",
+    totals = f""",
 tot AS (SELECT count(*) AS n, coalesce(max(arrival_epoch), -1) AS e_end FROM msgs),
 dep AS (SELECT CAST(unnest(generate_series(0, e_end + CAST(ceil(n / {B}.0) AS BIGINT) + 1)) AS BIGINT) AS epoch
         FROM tot),
@@ -303,7 +303,8 @@ pc(epoch, released_total) AS (
   SELECT CAST(0 AS BIGINT), CAST(least({B}, (SELECT eligible_total FROM cnt WHERE epoch = 0)) AS BIGINT)
   UNION ALL
   SELECT pc.epoch + 1, CAST(least(pc.released_total + {B}, c.eligible_total) AS BIGINT)
-  FROM pc JOIN cnt c ON c.epoch = pc.epoch + 1)
+  FROM pc JOIN cnt c ON c.epoch = pc.epoch + 1)"""
+    q["paced_counts"] = _with("base", EARLIEST, f"""{totals}
 SELECT epoch, eligible_total, released, released_total FROM (
   SELECT pc.epoch, CAST(c.eligible_total AS BIGINT) AS eligible_total,
          CAST(pc.released_total - coalesce(lag(pc.released_total) OVER (ORDER BY pc.epoch), 0) AS BIGINT) AS released,
@@ -316,8 +317,12 @@ SELECT {SLICE}, arrival_epoch, release_epoch,
             AS BIGINT) AS release_position
 FROM paced"""
     q["paced_replay"] = q["stream_ordered_release"] = _with("base", EARLIEST, paced, recursive=True)
-    q["paced_replay_jitter"] = _with("jitter", EARLIEST, paced, recursive=True)
-    q["paced_replay_fine"] = _with("fine", EARLIEST, paced, recursive=True)
+    # no row is late here, so rows leave in order of their key: by rank, as far as the totals go
+    q["paced_replay_fine"] = _with("steady", EARLIEST, f"""{totals},
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY timestamp_ms, arrival_epoch, topic, "partition", "offset") AS r FROM msgs)
+SELECT {SLICE}, arrival_epoch, p.epoch AS release_epoch, CAST(r - 1 AS BIGINT) AS release_position
+FROM ranked ASOF JOIN (SELECT released_total, min(epoch) AS epoch FROM pc GROUP BY 1) p ON r <= p.released_total""", recursive=True)
     q["paced_counts_jitter"] = _with("jitter", EARLIEST, f"""{_PACED},
 dep AS (
   SELECT epoch FROM epochs UNION SELECT DISTINCT release_epoch FROM paced),
