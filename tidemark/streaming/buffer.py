@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.release import BUFFER_KEY
 
@@ -81,11 +82,16 @@ def in_order(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance").sortWithinPartitions(*BUFFER_KEY)
 
 
-def describe(spark: SparkSession, path: str, epoch: int) -> Run | None:
+def read(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
+    """A written table; with its schema given no job looks for it."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+
+
+def describe(rows: DataFrame, path: str, epoch: int) -> Run | None:
     """The run that a poll's written arrivals are; None if there are none."""
     key = F.struct(*BUFFER_KEY)
     steps = [(k + 1) / MARKS for k in range(MARKS)]
-    r = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"),
+    r = rows.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"),
                                      F.percentile_approx("timestamp_ms", steps, 1000).alias("at")).first()
     if not r["n"]:
         return None
@@ -95,13 +101,13 @@ def describe(spark: SparkSession, path: str, epoch: int) -> Run | None:
     return Run(path, epoch, epoch, int(r["n"]), tuple(r["low"]), tuple(r["high"]), None, sorted(marks.items()))
 
 
-def rows_of(spark: SparkSession, runs: list[Run], limit: int | None = None) -> DataFrame | None:
+def rows_of(spark: SparkSession, runs: list[Run], limit: int | None = None, schema: StructType | None = None) -> DataFrame | None:
     """The rows left in these runs, up to a timestamp."""
     parts = []
     for r in runs:
         if limit is not None and r.floor > limit:
             continue
-        rows = spark.read.parquet(r.path)
+        rows = read(spark, r.path, schema)
         parts.append(rows.filter(above(r.cursor)) if r.cursor else rows)
     if not parts:
         return None

@@ -4,7 +4,6 @@ A micro-batch is a poll. ``OrderedRelease`` is a ``foreachBatch`` handler. Poll
 writes, under one folder,
 
 * ``runs/arrived-N`` its arrivals, a sorted run of the buffer (``buffer.py``)
-* ``consumed/N``     partition state after the arrivals
 * ``out/N``          the rows it releases
 * ``state/N``        partition state after the release (the progress report)
 * ``runs/merged-N``  what is left of some runs, where they are merged
@@ -31,6 +30,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.release import BUFFER_KEY, drain_tail
 from ..operators.watermark import low_water_mark_of, release_limit_of
@@ -110,7 +110,8 @@ class OrderedRelease:
             before = self.manifest(spark, epoch_id - 1)
             if before is None:
                 raise RuntimeError(f"poll {epoch_id}: poll {epoch_id - 1} has published nothing under {self.root}")
-            state, runs = spark.read.parquet(before["state"]), [U.Run.load(r) for r in before["runs"]]
+            state = U.read(spark, before["state"], initial_state(self.ranges).schema)
+            runs = [U.Run.load(r) for r in before["runs"]]
         arrived = self._path("runs", f"arrived-{epoch_id}")
         # only partitions inside the resolved ranges are tracked; rows past
         # the end offset still flow (a live replay, Q14)
@@ -119,19 +120,19 @@ class OrderedRelease:
                .join(r, ["topic", "partition"]).filter(F.col("offset") >= F.col("replay_start_offset"))
                .drop("replay_start_offset").withColumn("arrival_epoch", F.lit(epoch_id).cast("long")))
         self._write(U.in_order(new), arrived)
-        run = U.describe(spark, arrived, epoch_id)
+        arrivals = U.read(spark, arrived, new.schema)
+        run = U.describe(arrivals, arrived, epoch_id)
         if run:
-            runs = [*runs, run]
-            # the state table has one row per partition: written as one file
-            self._write(advance_state(state, spark.read.parquet(arrived)).coalesce(1), self._path("consumed", epoch_id))
-            state = spark.read.parquet(self._path("consumed", epoch_id))
+            runs, state = [*runs, run], advance_state(state, arrivals)
         limit = release_limit_of(state.select(*STATE_COLS)).first()["release_limit"]
         out = self._path("out", epoch_id)
-        bound = self._bound(spark, runs, limit)
-        pool = U.rows_of(spark, runs, bound[0]) if bound else None
+        bound = self._bound(spark, runs, limit, new.schema)
+        pool = U.rows_of(spark, runs, bound[0], new.schema) if bound else None
         released = pool.filter(U.up_to(bound)) if bound and pool is not None else spark.createDataFrame([], new.schema)
-        self._write(released.withColumn("release_epoch", F.lit(epoch_id).cast("long")), out)
-        taken = spark.read.parquet(out)
+        released = released.withColumn("release_epoch", F.lit(epoch_id).cast("long"))
+        self._write(released, out)
+        taken = U.read(spark, out, released.schema)
+        # the state table has one row per partition: written as one file
         self._write(apply_release(state, taken).coalesce(1), self._path("state", epoch_id))
         gone: dict[str, int] = {}
         if runs and bound:
@@ -142,7 +143,7 @@ class OrderedRelease:
         rewritten, n = 0, U.to_merge(left)
         if n:
             whole = U.merged(left[-n:], self._path("runs", f"merged-{epoch_id}"))
-            self._write(U.in_order(U.rows_of(spark, left[-n:])), whole.path)
+            self._write(U.in_order(U.rows_of(spark, left[-n:], None, new.schema)), whole.path)
             left, rewritten = [*left[:-n], whole], whole.rows
         files = self._files(spark)
         files.publish(self._path("polls", f"{epoch_id}.json"), {
@@ -151,7 +152,7 @@ class OrderedRelease:
             "rewritten": rewritten, "published_ms": int(time.time() * 1000)})
         self._purge(spark, files, epoch_id, arrived, {x.path for x in left})
 
-    def _bound(self, spark: SparkSession, runs: list[U.Run], limit: int) -> U.Key | None:
+    def _bound(self, spark: SparkSession, runs: list[U.Run], limit: int, schema: StructType) -> U.Key | None:
         """The largest buffer key that this poll releases; None releases nothing."""
         runs = [r for r in runs if r.floor <= limit]
         if not runs:
@@ -159,7 +160,7 @@ class OrderedRelease:
         if not self.batch_size:
             return limit, U.FOREVER, "", 0, 0
         for upto in U.reach(runs, limit, self.batch_size):
-            top = U.rows_of(spark, runs, upto).orderBy(*BUFFER_KEY).limit(self.batch_size)
+            top = U.rows_of(spark, runs, upto, schema).orderBy(*BUFFER_KEY).limit(self.batch_size)
             r = top.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*BUFFER_KEY)).alias("k")).first()
             if r["n"] == self.batch_size:
                 return tuple(r["k"])
@@ -174,7 +175,6 @@ class OrderedRelease:
             for path in [r["path"] for r in old["runs"] if r["path"] not in after]:
                 files.delete(path)
             files.delete(old["state"])
-            files.delete(self._path("consumed", epoch - KEEP))
 
     # --- reports ------------------------------------------------------------
 
