@@ -72,3 +72,28 @@ def test_components_of_a_chain_and_a_star(spark):
     want = {k: 0 for k in range(1, 41)} | {100 + k: 100 for k in range(1, 30)} | {201: 200, 202: 200}
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_repeated_rows_are_compared_once(spark, monkeypatch):
+    """200 rows of one text and 200 of a near copy: one pair of texts is confirmed."""
+    rng = random.Random(5)
+    words = cases.prose(rng, 300).split()
+    near = " ".join(words[:150] + ["changed"] + words[151:])
+    seen, write = {}, N.materialize
+
+    def watched(df, name="table"):
+        seen[name] = write(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(N, "materialize", watched)
+    docs = spark.createDataFrame([(1, " ".join(words))] * 200 + [(2, near)] * 200, "doc_id long, text string")
+    N._classes(docs).collect()
+    assert seen["members"].count() == 2 and seen["confirmed"].count() == 1
+
+
+def test_one_of_each_with_clashing_names(spark):
+    text = cases.prose(random.Random(6), 40)
+    docs = spark.createDataFrame([(1, text, "a", "x"), (1, text, "b", "y"), (2, "other words", "c", "z")],
+                                 "doc_id long, text string, _id string, _digest string")
+    out = N.one_of_each(docs)
+    assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 2]

@@ -32,6 +32,7 @@ its doc_id and a 128-bit digest of its text.
 
 from __future__ import annotations
 
+import uuid
 from typing import Iterator
 
 import numpy as np
@@ -337,7 +338,8 @@ def _classes(docs: DataFrame) -> DataFrame:
         .withColumn("rank", F.row_number().over(by_key.orderBy("node")) - 1), "buckets")
     members = materialize(buckets.select("node").distinct().join(sets, "node"), "members")
     members = materialize(docs.join(if_small(members), docs["doc_id"].eqNullSafe(members["low"]) & (docs["digest"] == members["low_digest"]))
-                          .select("node", "halves", "set_key", "text").mapInArrow(_describe, _MEMBER), "members")
+                          .select("node", "halves", "set_key", "text").dropDuplicates(["node"])  # rows that repeat: one each
+                          .mapInArrow(_describe, _MEMBER), "members")
     links, labels, trust = None, None, 2
     while True:
         known = buckets if labels is None else buckets.join(labels, "node", "left")
@@ -390,17 +392,18 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     mark = written()
     keys = settle(_classes(docs).filter("root IS NOT NULL").groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows")), mark, "keys")
     first = keys.groupBy("root").agg(F.min(_order()).alias("first"), F.sum("rows").alias("rows")).filter("rows > 1").drop("rows")
-    shared = keys.join(first, "root").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "rows", (_order() == F.col("first")).alias("stays"))
+    own_id, own_digest = (f"{c}_{uuid.uuid4().hex}" for c in ("id", "digest"))  # no column of the table has such a name
+    shared = keys.join(first, "root").select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest), "rows", (_order() == F.col("first")).alias("stays"))
     shared = materialize(shared, "shared")
     text, number = _digest(docs["text"]), docs["doc_id"].cast("long")
 
     def at(side: DataFrame) -> Column:
-        return number.eqNullSafe(side["_id"]) & text.eqNullSafe(side["_digest"])
+        return number.eqNullSafe(side[own_id]) & text.eqNullSafe(side[own_digest])
 
     # rows that go, and those of which several equal ones are there
-    aside = shared.filter("NOT stays OR rows > 1").select("_id", "_digest")
+    aside = shared.filter("NOT stays OR rows > 1").select(own_id, own_digest)
     out = docs.join(if_small(aside), at(aside), "left_anti")
-    equal = shared.filter("stays AND rows > 1").select("_id", "_digest")
+    equal = shared.filter("stays AND rows > 1").select(own_id, own_digest)
     if equal.isEmpty():
         return out
-    return out.unionByName(docs.join(if_small(equal), at(equal)).dropDuplicates(["_id", "_digest"]).select(*[docs[c] for c in docs.columns]))
+    return out.unionByName(docs.join(if_small(equal), at(equal)).dropDuplicates([own_id, own_digest]).select(*[docs[c] for c in docs.columns]))
