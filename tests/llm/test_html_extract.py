@@ -107,3 +107,12 @@ def test_rows_and_columns(spark):
     piece = "The title\nWords of the piece, and some more of them."
     assert got == sorted([(1, "u", piece, len(piece))] * 2 + [(2, None, "", 0), (None, "v", "", 0)], key=str)
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_large_pages_are_worked_on_apart(spark, monkeypatch):
+    """Slices are made by bytes: pages of over a slice alone, small ones together."""
+    big = PAGE.format("".join(f"<p>Paragraph {k} of a long piece with a few more words.</p>" for k in range(30_000)))
+    assert len(big) > H.SLICE_BYTES * 0.7
+    rows = [(k, "u", big if k % 2 else PAGE.format("<p>Short words of the piece here.</p>")) for k in range(6)]
+    out = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
+    assert all(out[k] == out[k % 2] for k in range(6)) and len(out[1]) > 30 * len(out[0])

@@ -34,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import _bytes as B
 from ._boost import Trees
 from ._ship import ready
 
 TEMPLATES = 350
 MAX_DEPTH = 400
+SLICE_BYTES = 2 << 20  # pages parsed together, or one page
 _SEED = 17
 
 _TOKEN = re.compile(
@@ -422,8 +424,9 @@ def _extract(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = model.value
         for batch in batches:
-            for a in range(0, batch.num_rows, 200):
-                part = batch.slice(a, 200)
+            _, off = B.buffers(batch.column(2))
+            for a, b in B.slices(off, SLICE_BYTES):
+                part = batch.slice(a, b - a)
                 texts = main_text([Page(x.as_py() or "") for x in part.column(2)], trees)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
