@@ -4,9 +4,9 @@ gate runs the same comparison at sf0.01)."""
 import pytest
 
 import __spark_entry__ as entry
+from compare import compare, duckdb_conn
 from conftest import SF_SMALL
 from tidemark.plans import catalog, oracle
-from tidemark.plans.compare import compare, duckdb_conn
 
 QUERIES = catalog.QUERIES
 ORACLES = oracle.oracle_sql()

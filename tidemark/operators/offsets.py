@@ -106,14 +106,6 @@ def missing_topics(log: DataFrame, topics: Iterable[Any]) -> DataFrame:
     return wanted.join(present, "topic", "left_anti")
 
 
-def assert_topics_present(log: DataFrame, topics: Iterable[Any]) -> None:
-    """Raise when a requested topic has no partition in the log (at most 20
-    names are read back)."""
-    missing = sorted(r.topic for r in missing_topics(log, topics).limit(20).collect())
-    if missing:
-        raise ValueError("no partitions in the log for topics: " + ", ".join(missing))
-
-
 def replay_slice(log: DataFrame, ranges: DataFrame, bounded: bool = True) -> DataFrame:
     """S10 + S11: the messages inside each partition's range.
 
