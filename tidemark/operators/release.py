@@ -148,30 +148,33 @@ def eligible_counts(msgs_rel: DataFrame, spark, e_end: int) -> DataFrame:
 def paced_counts(msgs_rel: DataFrame, limits: DataFrame, batch_size: int, spark, e_end: int) -> DataFrame:
     """Messages released per poll under a cap of ``batch_size``.
 
-    With non-decreasing limits, R(e) = min(R(e-1) + B, E(e)) where E(e) is
-    the number of messages releasable by poll e, i.e.
+    While rows that are ready stay ready, R(e) = min(R(e-1) + B, E(e)) where E(e)
+    is the number of messages releasable by poll e, i.e.
     R(e) = B*(e+1) + min(0, min_{k<=e} (E(k) - B*(k+1))). After the last arrival
     (T6) the backlog leaves in full batches, so those polls are listed in closed
-    form. Where a limit falls, the counts are those of the exact rows (R7).
+    form. Where a limit falls while rows wait, the counts are those of the exact
+    rows (R7).
     """
-    falls = running(limits.select("epoch", "release_limit"), "epoch", {"_high": ("max", "release_limit")}, exclusive=True)
     counts = running(eligible_counts(msgs_rel, spark, e_end), "epoch", {"eligible_total": ("sum", "_new")})
     b = F.lit(batch_size)
-    if not falls.filter("release_limit < _high").isEmpty():
+    cum = counts.withColumn("_slack", F.col("eligible_total") - b * (F.col("epoch") + 1))
+    cum = running(cum, "epoch", {"_low": ("min", "_slack")}, exclusive=True)
+    before = b * F.col("epoch") + F.least(F.lit(0), F.col("_low"))
+    total = b * (F.col("epoch") + 1) + F.least(F.lit(0), F.col("_low"), F.col("_slack"))
+    cum = materialize(cum.select("epoch", F.col("eligible_total").cast("long"), (total - before).cast("long").alias("released"),
+                                 total.cast("long").alias("released_total")), "paced")
+    waits = cum.filter("eligible_total > released_total").select((F.col("epoch") + 1).alias("epoch"))
+    earlier = limits.select((F.col("epoch") + 1).alias("epoch"), F.col("release_limit").alias("_before"))
+    falls = limits.select("epoch", "release_limit").join(earlier, "epoch").filter("release_limit < _before")
+    if not falls.join(waits, "epoch").isEmpty():
         from .paced import paced_replay
         exact = paced_replay(msgs_rel, limits, batch_size, e_end).filter("release_epoch IS NOT NULL")
         per = exact.groupBy(F.col("release_epoch").alias("epoch")).agg(F.count(F.lit(1)).alias("released"))
-        out = counts.select("epoch", "eligible_total").join(per, "epoch", "full_outer").fillna(0, ["released"])
+        out = cum.select("epoch", "eligible_total").join(per, "epoch", "full_outer").fillna(0, ["released"])
         out = running(out.withColumn("_e", F.coalesce("eligible_total", F.lit(0))), "epoch",
                       {"_total": ("max", "_e"), "released_total": ("sum", "released")})
         return out.select("epoch", F.col("_total").cast("long").alias("eligible_total"),
                           F.col("released").cast("long"), F.col("released_total").cast("long"))
-    cum = counts.withColumn("_slack", F.col("eligible_total") - b * (F.col("epoch") + 1))
-    cum = running(cum, "epoch", {"_low": ("min", "_slack")}, exclusive=True)
-    before = b * F.col("epoch") + F.least(F.lit(0), F.col("_low"))
-    total = b * (F.col("epoch") + 1) + F.least(F.lit(0), F.col("_low"), F.col("_slack"))
-    cum = materialize(cum.select("epoch", F.col("eligible_total").cast("long"), (total - before).cast("long").alias("released"),
-                                 total.cast("long").alias("released_total")), "paced")
     end = cum.filter(F.col("epoch") == e_end).first()
     left = 0 if end is None else int(end["eligible_total"] - end["released_total"])
     k = F.col("id")
