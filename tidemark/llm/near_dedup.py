@@ -53,7 +53,6 @@ BOTTOM = 512
 LEAST = 0.78  # estimated Jaccard of sets over BOTTOM that is looked at further
 SURE = 0.93  # estimate from which a pair counts as joined while its link is unconfirmed
 SIMILARITY = 85  # per cent
-MAX_BROADCAST = 200_000  # rows (about 50 MB at most); a larger side is joined by a shuffle
 
 _HASHES = 2 * COLLECTIONS * HALF
 _RNG = np.random.default_rng(97)
@@ -303,17 +302,16 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(holds, pa.bool_())], ["u", "v", "sure", "holds"])
 
 
-def if_small(side: DataFrame) -> DataFrame:
-    """A written table of narrow rows, marked for broadcast up to MAX_BROADCAST
-    rows: the documents it is joined to then stay where they are."""
-    return F.broadcast(side) if side.count() <= MAX_BROADCAST else side
-
-
 def _digest(text: Column) -> Column:
     """128 bits that, with its doc_id, name a row's text."""
     return F.unhex(F.md5(text.cast("string").cast("binary")))
 
 
+def _name(doc_id: Column, digest: Column) -> Column:
+    """One value for doc_id (null too) and digest, to join rows by; null without text."""
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")).cast("binary"), digest)
+
+
 def _order() -> Column:
     """Rows by doc_id, nulls last, then by digest."""
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("digest"))
@@ -336,10 +334,12 @@ def _classes(docs: DataFrame) -> DataFrame:
         sets.select("node", "halves").mapInArrow(_half_keys, "key long, collection byte, node long")
         .withColumn("n", F.count(F.lit(1)).over(by_key)).filter("n > 1")
         .withColumn("rank", F.row_number().over(by_key.orderBy("node")) - 1), "buckets")
-    members = materialize(buckets.select("node").distinct().join(sets, "node"), "members")
-    members = materialize(docs.join(if_small(members), docs["doc_id"].eqNullSafe(members["low"]) & (docs["digest"] == members["low_digest"]))
-                          .select("node", "halves", "set_key", "text").dropDuplicates(["node"])  # rows that repeat: one each
-                          .mapInArrow(_describe, _MEMBER), "members")
+    members = buckets.select("node").distinct().join(sets, "node").select(
+        "node", "halves", "set_key", _name(F.col("low"), F.col("low_digest")).alias("name"))
+    members = materialize(docs.select(_name(F.col("doc_id"), F.col("digest")).alias("name"), "text")
+                          .join(members.hint("merge"), "name")  # the same plan at every size
+                          .dropDuplicates(["name"])  # rows that repeat: one each, where the join has put them
+                          .select("node", "halves", "set_key", "text").mapInArrow(_describe, _MEMBER), "members")
     links, labels, trust = None, None, 2
     while True:
         known = buckets if labels is None else buckets.join(labels, "node", "left")
@@ -392,18 +392,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     mark = written()
     keys = settle(_classes(docs).filter("root IS NOT NULL").groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows")), mark, "keys")
     first = keys.groupBy("root").agg(F.min(_order()).alias("first"), F.sum("rows").alias("rows")).filter("rows > 1").drop("rows")
-    own_id, own_digest = (f"{c}_{uuid.uuid4().hex}" for c in ("id", "digest"))  # no column of the table has such a name
-    shared = keys.join(first, "root").select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest), "rows", (_order() == F.col("first")).alias("stays"))
+    own = f"name_{uuid.uuid4().hex}"  # no column of the table has such a name
+    shared = keys.join(first, "root").select(_name(F.col("doc_id"), F.col("digest")).alias(own), "rows", (_order() == F.col("first")).alias("stays"))
     shared = materialize(shared, "shared")
-    text, number = _digest(docs["text"]), docs["doc_id"].cast("long")
-
-    def at(side: DataFrame) -> Column:
-        return number.eqNullSafe(side[own_id]) & text.eqNullSafe(side[own_digest])
-
+    name = _name(docs["doc_id"].cast("long"), _digest(docs["text"]))
     # rows that go, and those of which several equal ones are there
-    aside = shared.filter("NOT stays OR rows > 1").select(own_id, own_digest)
-    out = docs.join(if_small(aside), at(aside), "left_anti")
-    equal = shared.filter("stays AND rows > 1").select(own_id, own_digest)
+    aside = shared.filter("NOT stays OR rows > 1").select(own)
+    out = docs.join(aside.hint("merge"), name == aside[own], "left_anti")
+    equal = shared.filter("stays AND rows > 1").select(own)
     if equal.isEmpty():
         return out
-    return out.unionByName(docs.join(if_small(equal), at(equal)).dropDuplicates([own_id, own_digest]).select(*[docs[c] for c in docs.columns]))
+    # the documents are dealt once: both joins read the same exchange
+    return out.unionByName(docs.join(equal.hint("merge"), name == equal[own]).dropDuplicates([own]).select(*[docs[c] for c in docs.columns]))
