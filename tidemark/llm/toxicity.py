@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import drop_tables, materialize, written, written_since
 from . import _bytes as B
 from ._ship import ready
 
@@ -43,7 +44,6 @@ N_FEATURES = 6
 DISCOUNT = 0.75
 FOLDS = 3
 MAX_CALIBRATION = 20_000
-MAX_BROADCAST_LABELS = 2_000_000  # rows (32 MB); beyond it the labels are joined by a shuffle
 THRESHOLD = 0.3
 _STEP = 12  # table entries per unit of log ratio
 
@@ -251,13 +251,11 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of the documents that have a label; the label side
-    is broadcast up to MAX_BROADCAST_LABELS rows."""
+    """(doc_id, text, label) of the documents that have a label. Texts are dealt
+    by doc_id once, by the same plan at every size."""
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
         .agg(F.max(F.col(label).cast("int")).alias("label"))
-    if labels.count() <= MAX_BROADCAST_LABELS:
-        marks = F.broadcast(marks)
-    return docs.join(marks, "doc_id").select("doc_id", "text", "label")
+    return docs.join(marks.hint("merge"), "doc_id").select("doc_id", "text", "label")
 
 
 def _out_of_fold(held_out: tuple[int, int]) -> Column:
@@ -279,9 +277,10 @@ def _learn(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int]):
         base = float(train.agg(F.avg("label")).first()[0] or 0.0)
         return spark.sparkContext.broadcast((table, fitted, base))
     table = _table_of(gram, n0, n1, np.ones(len(gram), bool))
-    n = labels.count()
+    n, mark = labels.count(), written()
     share = min(1.0, MAX_CALIBRATION / max(n, 1))  # a hash decides, so the sample is the same each time
     sample = train.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = materialize(sample, "calibration")  # read once for each fold
     xs, ys = [], []
     for k in range(FOLDS):
         other = part != k
@@ -293,6 +292,7 @@ def _learn(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int]):
         held.unpersist()
         xs.append(np.frombuffer(b"".join(rows.column(1).to_pylist()), np.float64).reshape(-1, N_FEATURES))
         ys.append(rows.column(0).to_numpy().astype(float))
+    drop_tables(spark, written_since(mark))
     y = np.concatenate(ys) if ys else np.zeros(0)
     if 0 < y.sum() < len(y):
         x = np.concatenate(xs)
