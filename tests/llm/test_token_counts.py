@@ -62,6 +62,43 @@ def test_words_forgotten_are_learned_again(monkeypatch):
         assert K.totals(t, [x]) == [library(x)]
 
 
+LONG = ["日本語の長い文には空白がない" * 8, "ab" * 250, " " * 1000 + "x", "a" * 20_000, "the" * 400, "é" * 500]
+
+
+@pytest.mark.parametrize("text", LONG, ids=range(len(LONG)))
+def test_long_words(text):
+    """Words of over WIDE bytes: totals of the library, and the vectorised DP's count at each prefix."""
+    t = K.table(default_path())
+    assert K.totals(t, [text]) == [library(text)]
+    word = text.strip()[:60].encode()[:120]
+    assert t.long_counts(word).tolist() == t.counts([word])[0].tolist()
+
+
+def test_a_million_spaces_take_seconds():
+    text = "a" + " " * 1_200_000 + "b<|endoftext|> c"
+    counts = K.prefixes(K.table(default_path()), text)
+    assert len(counts) == len(text) + 1 and counts[-1] == library(text)
+
+
+def test_white_space_before_white_space():
+    for text in ("a \tb", "a\n\n \u3000 b  c", " \t<|endoftext|> \tx", "\u3000\u3000x"):
+        counts = K.prefixes(K.table(default_path()), text)
+        for k in range(len(text) + 1):
+            assert counts[len(text[:k].encode())] == library(text[:k])
+
+
+def test_answers_from_the_stored_table(spark):
+    rows = cases.awkward([(40, "word " * 3000), (41, "short")])
+    got = K.answers(K.stored_counts(cases.frame(spark, rows)), 1024).collect()
+    assert len(got) == len(rows)
+    texts = {i: t for i, t in rows if i in (40, 41)}
+    for r in got:
+        if r.doc_id in texts:
+            raw = texts[r.doc_id].encode()
+            assert (r.n_bytes, r.n_tokens) == (len(raw), library(texts[r.doc_id]))
+            assert library(raw[:r.fit_bytes].decode()) <= 1024 and (r.fit_bytes == r.n_bytes) == (r.n_tokens <= 1024)
+
+
 def test_empty_table(spark):
     assert K.token_counts(cases.frame(spark, cases.awkward()).limit(0)).count() == 0
 

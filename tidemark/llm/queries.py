@@ -48,8 +48,8 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = K.token_counts(_table(spark, sf_dir, "documents"))
-    return counts.withColumn("over_limit", F.col("n_tokens") > K.LIMIT)
+    counts = K.answers(K.stored_counts(_table(spark, sf_dir, "documents")), K.LIMIT)
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("fit_bytes") < F.col("n_bytes")).alias("over_limit"))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

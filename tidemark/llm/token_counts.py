@@ -7,12 +7,14 @@ ending there that BPE would leave next to the last token of the prefix without
 t; then count[i] = count[i - len(t)] + 1. Whether two tokens may stand side by
 side is decided by undoing their merges, youngest first: no pair across the
 border may have a merge older than the one undone. The DP runs over all
-distinct words of a slice at once, byte by byte; a worker keeps the counts of
-words it has met, up to ``KEEP`` of them.
+distinct words of a slice at once, byte by byte; words of over ``WIDE`` bytes go
+one by one through an Aho-Corasick automaton of the tokens, which names the
+tokens that end at a byte, longest first. A worker keeps the counts of words it
+has met, up to ``KEEP`` bytes of them.
 
-``token_counts`` gives totals, ``prefix_counts`` also the counts at every byte
-(differences of one byte each), from which ``count_at`` and ``longest_prefix``
-answer truncation and budget questions without the tokenizer.
+``prefix_counts`` gives the count at every byte prefix of each text, as
+differences; ``count_at``, ``longest_prefix`` and ``answers`` read truncation and
+budget questions from it without the tokenizer.
 
 Two places where a prefix is split into words differently from the whole text
 are treated apart: the end of a run of white space (the text's next word takes
@@ -20,26 +22,32 @@ the last character, the prefix does not) and the inside of 're, 've, 'll.
 
 Defined cases: null or empty text has no tokens and no bytes. A special string
 inside a text is one token; a prefix ending inside it is ordinary text. At a
-byte inside a character the count is that of the bytes up to there.
+byte inside a character the count is that of the bytes up to there. Texts are
+worked on in slices of a megabyte, or one text. Extra columns are ignored; a
+null doc_id and repeated rows are counted each; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from array import array
 from typing import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import _bytes as B
 from ._ship import ready
 from ._tokens import PATTERN, Vocabulary, default_path, vocabulary
 
 LIMIT = 1024
-KEEP = 1_000_000  # distinct words whose totals a worker keeps
-WIDE = 48  # longer words go through the DP one at a time
+KEEP = 8 << 20  # of distinct words whose counts a worker keeps
+KEEP_PAIRS = 1 << 20  # of pairs of tokens known to fit or not
+WIDE = 48  # longer words go through the automaton
 _WORDS = regex.compile(PATTERN)
 _CUT_INSIDE = (b"'re", b"'ve", b"'ll")  # fixed values: PATTERN's words that a cut turns into two
 
@@ -67,7 +75,9 @@ class PrefixTable:
         self.name, self.id = h[order], ids[order]
         self.maybe = np.zeros(1 << 18, bool)
         self.maybe[(h >> np.uint64(46)).astype(np.int64)] = True
-        self.total: dict[str, int] = {}
+        self.known: dict[str | tuple[str, str], bytes] = {}
+        self.known_bytes = 0
+        self.automaton: ahocorasick.Automaton | None = None  # built for the first long word
 
     @staticmethod
     def _prefix(flat: np.ndarray) -> np.ndarray:
@@ -142,25 +152,93 @@ class PrefixTable:
                 open_ = open_[keep]
         return np.split(count, np.cumsum(size)[:-1])
 
+    def _prepare(self) -> None:
+        self.automaton = ahocorasick.Automaton()
+        for name, i in self.vocab.ids.items():
+            self.automaton.add_word(name.decode("latin-1"), (i, len(name)))
+        self.automaton.make_automaton()
+        self.merge = dict(zip(self.pair.tolist(), self.made.tolist()))
+        self.parts = self.left.tolist(), self.right.tolist()
+        self.fits: dict[int, bool] = {}
+
+    def _fit(self, a: int, b: int) -> bool:
+        """``adjacent`` for one pair of tokens."""
+        left, right = self.parts
+        limit = self.size + 1
+        while True:
+            if self.merge.get(a * self.size + b, limit) < limit:
+                return False
+            can_a, can_b = right[a] != a, left[b] != b
+            if can_a and (a > b or not can_b):  # the younger of the two merges is undone
+                limit, a = a, right[a]
+            elif can_b:
+                limit, b = b + 1, left[b]
+            else:
+                return True
+
+    def long_counts(self, word: bytes) -> np.ndarray:
+        """``counts`` of one word, in time that grows with its length."""
+        if self.automaton is None:
+            self._prepare()
+        count, last = array("i", bytes(4 * len(word))), array("i", bytes(4 * len(word)))
+        fits, size = self.fits, self.size
+        for end, (token, t) in self.automaton.iter(word.decode("latin-1")):
+            if count[end]:
+                continue  # a longer token ends here
+            before = end - t
+            if before >= 0:
+                key = last[before] * size + token
+                ok = fits.get(key)
+                if ok is None:
+                    if len(fits) >= KEEP_PAIRS:
+                        fits.clear()
+                    ok = fits[key] = self._fit(last[before], token)
+                if not ok:
+                    continue
+            last[end] = token
+            count[end] = (count[before] if before >= 0 else 0) + 1
+        return np.frombuffer(count, np.int32)
+
     def by_word(self, words: set[str]) -> Iterator[tuple[str, np.ndarray]]:
         """The prefix counts of each word, in no particular order."""
         names = sorted(words, key=len)
         raw = [w.encode() for w in names]
         short = [k for k, x in enumerate(raw) if len(x) <= WIDE]
-        groups = [short[a:a + 50_000] for a in range(0, len(short), 50_000)]
-        groups += [[k] for k, x in enumerate(raw) if len(x) > WIDE]
-        for g in groups:
+        for a in range(0, len(short), 50_000):
+            g = short[a:a + 50_000]
             for k, c in zip(g, self.counts([raw[k] for k in g])):
                 yield names[k], c
+        for name, x in zip(names, raw):
+            if len(x) > WIDE:
+                yield name, self.long_counts(x)
+
+    def one(self, word: bytes) -> np.ndarray:
+        return self.counts([word])[0] if len(word) <= WIDE else self.long_counts(word)
 
     def learn(self, words: set[str]) -> None:
-        """Make sure that ``total`` has all of these words."""
-        new = {w for w in words if w not in self.total}
-        if len(self.total) + len(new) > KEEP:
-            self.total.clear()
-            new = words
-        for w, c in self.by_word(new):
-            self.total[w] = int(c[-1])
+        """Make sure that ``known`` has the counts (as int32) of all of these words."""
+        if self.known_bytes > KEEP:
+            self.known.clear()
+            self.known_bytes = 0
+        for w, c in self.by_word({w for w in words if w not in self.known}):
+            if w.encode() in _CUT_INSIDE:
+                c = c.copy()
+                c[1] = sum(int(self.one(x.encode())[-1]) for x in ("'", w[1]))
+            self.known[w] = c.astype("<i4").tobytes()
+            self.known_bytes += len(c)
+
+    def after_space(self, before: str, word: str) -> bytes:
+        """The counts of a word that begins with white space and follows a word
+        of white space: a prefix that ends with the first character takes it
+        into the run before."""
+        key = before, word
+        if key not in self.known:
+            c = np.frombuffer(self.known[word], "<i4").copy()
+            n = len(word[0].encode())
+            c[:n] = self.one((before + word[0]).encode())[-n:] - np.frombuffer(self.known[before], "<i4")[-1]
+            self.known[key] = c.tobytes()
+            self.known_bytes += len(c)
+        return self.known[key]
 
 
 _tables: dict[str, PrefixTable] = {}
@@ -184,79 +262,104 @@ def _parts(t: PrefixTable, text: str) -> list[tuple[bool, str]]:
     return [p for p in out + [(False, text[at:])] if p[1]]
 
 
-def totals(t: PrefixTable, texts: list[str]) -> list[int]:
+def prefixes_of(t: PrefixTable, texts: list[str]) -> list[np.ndarray]:
+    """Token count of every byte prefix of each text (len = bytes + 1)."""
     split = [_parts(t, x) for x in texts]
-    words = [[_WORDS.findall(s) if not special else None for special, s in p] for p in split]
-    t.learn({w for p in words for ws in p if ws for w in ws})
-    get = t.total.__getitem__
-    return [sum(sum(map(get, ws)) if ws is not None else 1 for ws in p) for p in words]
+    words = [[[] if special else _WORDS.findall(s) for special, s in p] for p in split]
+    t.learn({w for p in words for ws in p for w in ws})
+    return [_prefix(t, p, ws) for p, ws in zip(split, words)]
 
 
 def prefixes(t: PrefixTable, text: str) -> np.ndarray:
-    """Token count of every byte prefix of a text (len = bytes + 1)."""
-    split = _parts(t, text)
-    words = [[] if special else _WORDS.findall(s) for special, s in split]
-    counts = dict(t.by_word({w for ws in words for w in ws}))
+    return prefixes_of(t, [text])[0]
+
+
+def totals(t: PrefixTable, texts: list[str]) -> list[int]:
+    return [int(c[-1]) for c in prefixes_of(t, texts)]
+
+
+def _prefix(t: PrefixTable, split: list[tuple[bool, str]], words: list[list[str]]) -> np.ndarray:
+    known = t.known.__getitem__
     out, base, before = [np.zeros(1, np.int64)], 0, None  # before: the word that ends here, if any
     for (special, s), ws in zip(split, words):
         if special:
             # a prefix that ends inside is ordinary text, read on from the word before
-            lead = base - int(counts[before][-1]) if before else base
+            lead = base - int(np.frombuffer(known(before), "<i4")[-1]) if before else base
             inside = [lead + len(t.vocab.encoding.encode_ordinary((before or "") + s[:k])) for k in range(1, len(s))]
             out.append(np.array([*inside, base + 1], np.int64))
             base, before = base + 1, None
             continue
-        for k, w in enumerate(ws):
-            c = counts[w].astype(np.int64)
-            if w.encode() in _CUT_INSIDE:
-                c[1] = sum(int(x[-1]) for _, x in t.by_word({"'", w[1]}))
-            if k and w[0].isspace() and ws[k - 1].isspace():
-                # a prefix that ends with this white space takes it into the run before
-                run = (ws[k - 1] + w[0]).encode()
-                n = len(w[0].encode())
-                c[:n] = t.counts([run])[0][-n:] - int(counts[ws[k - 1]][-1])
-            out.append(c + base)
-            base, before = base + int(counts[w][-1]), w
+        if not ws:
+            continue
+        cells = list(map(known, ws))
+        size = np.fromiter(map(len, cells), np.int64, len(cells)) >> 2
+        flat = np.frombuffer(b"".join(cells), "<i4")
+        total = flat[np.cumsum(size) - 1].astype(np.int64)
+        start = base + np.cumsum(total) - total
+        apart = [k + 1 for k, w in enumerate(ws[:-1]) if w.isspace() and ws[k + 1][0].isspace()]
+        if apart:
+            for k in apart:
+                cells[k] = t.after_space(ws[k - 1], ws[k])
+            flat = np.frombuffer(b"".join(cells), "<i4")
+        out.append(flat + np.repeat(start, size))
+        base, before = int(start[-1] + total[-1]), ws[-1]
     return np.concatenate(out)
 
 
-def _rows(path: str, stored: bool):
+def _rows(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = table(path)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                texts = [x or "" for x in part.column(1).to_pylist()]
-                columns = [part.column(0), pa.array([len(x.encode()) for x in texts], pa.int64()),
-                           pa.array(totals(t, texts), pa.int64())]
-                if stored:
-                    columns.append(pa.array([np.diff(prefixes(t, x)).astype("<i2").tobytes() for x in texts], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens", "prefix"][:len(columns)])
+            _, off = B.buffers(batch.column(1))
+            for a, b in B.slices(off):
+                texts = [x or "" for x in batch.column(1).slice(a, b - a).to_pylist()]
+                cells = [np.diff(c).astype("<i2").tobytes() for c in prefixes_of(t, texts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(cells, pa.large_binary()).cast(pa.binary())],
+                                                 ["doc_id", "prefix"])
 
     return run
 
 
-def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """(doc_id, text) rows -> doc_id, n_bytes, n_tokens of each row."""
-    return _counted(docs, tokenizer, False)
-
+def _answers(budget: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [x.as_buffer() for x in batch.column(1)]
+            rows = [(len(x) // 2, count_at(x, len(x) // 2), longest_prefix(x, budget)) for x in cells]
+            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "n_tokens", "fit_bytes"])
 
-def prefix_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """``token_counts`` and ``prefix``: the differences between the counts of
-    adjacent byte prefixes, as little-endian int16."""
-    return _counted(docs, tokenizer, True)
+    return run
 
 
-def _counted(docs: DataFrame, tokenizer: str | None, stored: bool) -> DataFrame:
+def prefix_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """(doc_id, text) rows -> doc_id, prefix: the differences between the token
+    counts of adjacent byte prefixes, as little-endian int16."""
     ready(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_bytes long, n_tokens long" + (", prefix binary" if stored else "")
-    return docs.mapInArrow(_rows(tokenizer or default_path(), stored), schema)
+    return docs.mapInArrow(_rows(tokenizer or default_path()), "doc_id long, prefix binary")
+
+
+def answers(stored: DataFrame, budget: int) -> DataFrame:
+    """A ``prefix_counts`` table -> doc_id, n_bytes, n_tokens, fit_bytes (bytes of
+    the longest prefix of at most ``budget`` tokens) of each row."""
+    ready(stored.sparkSession)
+    return stored.select("doc_id", "prefix").mapInArrow(_answers(budget), "doc_id long, n_bytes long, n_tokens long, fit_bytes long")
+
+
+def stored_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """``prefix_counts``, written once to the shared folder and read back."""
+    return materialize(prefix_counts(docs, tokenizer), "prefixes")
+
+
+def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """(doc_id, text) rows -> doc_id, n_bytes, n_tokens of each row, read from
+    stored prefix counts."""
+    return answers(stored_counts(docs, tokenizer), LIMIT).drop("fit_bytes")
 
 
 def count_at(prefix: bytes, n_bytes: int) -> int:
     """Tokens of the first ``n_bytes`` bytes."""
-    return int(np.frombuffer(prefix, "<i2", count=min(n_bytes, len(prefix) // 2)).sum())
+    return int(np.frombuffer(prefix, "<i2")[:n_bytes].sum(dtype=np.int64))
 
 
 def longest_prefix(prefix: bytes, budget: int) -> int:
