@@ -86,6 +86,15 @@ def test_ids_equal_the_library():
         assert v.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_cut_at_words_is_the_library():
+    """The way for texts that the matcher gives up on, over texts that it can do."""
+    t, v, rng = Tokenizer.from_file(default_path()), vocabulary(default_path()), random.Random(7)
+    parts = ["the", " ", "  ", "\n", "'s", "'re", "é", "<|endoftext|>", "##", "12", " a", "\t" * 20_000]
+    for _ in range(100):
+        text = "".join(rng.choice(parts) for _ in range(15))
+        assert v._by_words(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_white_space_of_a_million_characters():
     """More than the fast matcher can hold: the library's own ids all the same."""
     t = Tokenizer.from_file(default_path())

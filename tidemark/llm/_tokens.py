@@ -3,7 +3,9 @@
 The ids are those of the ``tokenizers`` library for the same file (tests
 compare them); the merging is done by ``tiktoken`` with the file's own
 vocabulary, which is several times faster. Its pattern matcher gives up on very
-long runs of white space; such a text goes to the ``tokenizers`` library itself.
+long runs of white space; such a text is cut at its words here, and a word of
+over ``LONG`` characters is merged without the matcher. A cut at a word border
+changes no word: the pattern looks ahead only at a word's end.
 Special strings inside a text become their special ids, as that library does by
 default.
 """
@@ -15,11 +17,14 @@ import re
 
 import numpy as np
 import tiktoken
-from tokenizers import Tokenizer
+import regex
 
 #: fixed value: the word pattern of byte-level BPE vocabularies of this kind
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+LONG = 10_000  # characters of a word that the matcher is spared
+_WORDS = regex.compile(PATTERN)
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -39,8 +44,6 @@ class Vocabulary:
     """Token bytes, ids, merges and special strings of a byte-level BPE file."""
 
     def __init__(self, path: str):
-        self.path = path
-        self.library: Tokenizer | None = None  # loaded for the first text that needs it
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = _letters()
@@ -59,8 +62,23 @@ class Vocabulary:
         try:
             return self.encoding.encode_to_numpy(text, allowed_special="all")
         except ValueError:  # the matcher's stack is too small for this text
-            self.library = self.library or Tokenizer.from_file(self.path)
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+            return self._by_words(text)
+
+    def _by_words(self, text: str) -> np.ndarray:
+        out, at = [np.zeros(0, np.uint32)], 0
+        special = list(self.split_special.finditer(text)) if self.split_special else []
+        for begin, end, token in [(m.start(), m.end(), self.special[m.group()]) for m in special] + [(len(text), len(text), None)]:
+            for word in _WORDS.finditer(text, at, begin):
+                if word.end() - word.start() > LONG or word.end() == begin or word.end() - at > 100 * LONG:
+                    short = word.start() if word.end() - word.start() > LONG else word.end()
+                    out.append(self.encoding.encode_to_numpy(text[at:short], disallowed_special=()))
+                    if short < word.end():
+                        out.append(np.array(self.encoding._core_bpe.encode_single_piece(word.group().encode()), np.uint32))
+                    at = word.end()
+            if token is not None:
+                out.append(np.array([token], np.uint32))
+            at = end
+        return np.concatenate(out)
 
 
 _loaded: dict[str, Vocabulary] = {}
