@@ -44,6 +44,7 @@ class Vocabulary:
     """Token bytes, ids, merges and special strings of a byte-level BPE file."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = _letters()
