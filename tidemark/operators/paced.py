@@ -17,14 +17,20 @@ depends only on the rows before it in that order, and those are served first.
   rest. Ranks are given once; only counts per (half, poll) move at each level.
 * In a task, rows in buffer order take the first poll with room.
 
-Only a limit that falls while rows wait takes readiness away. The axis is cut there
-and nowhere else: rows not served by then are carried, with the next poll whose limit
-covers them; all others are neither read nor written again. So the number of jobs
-grows with such falls and with log(rows of a period / LEAF), not with the polls.
+Only a limit below an earlier one takes readiness away, and that changes a poll only
+if too few rows stay below it. A row is *settled* at the first poll from its arrival on
+from which no limit is below it. Where the settled rows fill a poll, whatever has left
+before, it releases the same rows as if readiness stayed. At the first poll that is not
+sure in this way, the rows of up to ``CHUNK`` rows' worth of polls around it go through
+one task, poll by poll; a longer sure stretch before it is placed as above. Rows not
+served by then are carried, with the next poll whose limit covers them; all others are
+neither read nor written again. So the number of jobs grows with the rows of the unsure
+polls / CHUNK and with log(rows of a period / LEAF), not with the polls or the falls.
 """
 
 from __future__ import annotations
 
+import heapq
 from bisect import bisect_left
 
 import pyarrow as pa
@@ -39,68 +45,168 @@ from .release import BUFFER_KEY, release_epochs
 from .sequence import sequence_number
 
 LEAF = 1 << 17  # rows that one task places
+CHUNK = 1 << 19  # rows that one task takes through polls whose limits fall
 
 
-def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int, leaf: int = LEAF) -> DataFrame:
+def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int, leaf: int = LEAF, chunk: int = CHUNK) -> DataFrame:
     """``msgs`` (arrival_epoch and buffer key; release_epoch if R5 has been run)
     with the poll that releases each row under a cap, null where none does. After
     poll ``e_end`` empty polls drain what is left (T6)."""
     spark = msgs.sparkSession
     cols = [c for c in msgs.columns if c != "release_epoch"]
+    limits, rows = _begin(msgs, limits, e_end)
+    parts, start, carry, queue, _ = _sure_from(rows, limits, batch_size, e_end, leaf, chunk)
+    parts.append(materialize(_place(spark, _pool(rows, carry, start), queue, batch_size, e_end, None, leaf), "paced"))
+    never = rows.filter("ready IS NULL")
+    if carry is not None:
+        never = never.unionByName(carry.filter("ready IS NULL"))
+    out = never.select(*cols, F.lit(None).cast("long").alias("release_epoch"))
+    for p in parts:
+        out = out.unionByName(p.select(*cols, "release_epoch"))
+    return out
+
+
+def paced_totals(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int, chunk: int = CHUNK) -> DataFrame:
+    """R6 from R7: epoch and released, the rows that each poll up to ``e_end`` releases,
+    and those of the empty polls after it. Rows after the last unsure poll are only counted."""
+    spark = msgs.sparkSession
+    limits, rows = _begin(msgs, limits, e_end)
+    parts, _, _, queue, _ = _sure_from(rows, limits, batch_size, e_end, LEAF, chunk)
+    out = queue.select("epoch", (F.col("n") + F.col("waiting") - F.col("after")).alias("released"))
+    end = queue.agg(F.max_by("after", "epoch").alias("after")).first()["after"] or 0
+    left = F.lit(end) - F.col("id") * batch_size
+    out = out.unionByName(spark.range(-(-end // batch_size)).select(
+        (F.col("id") + e_end + 1).alias("epoch"), F.least(F.lit(batch_size), left).cast("long").alias("released")))
+    for p in parts:
+        out = out.unionByName(p.groupBy(F.col("release_epoch").alias("epoch")).agg(F.count(F.lit(1)).alias("released")))
+    return out.filter("released > 0")
+
+
+def _begin(msgs: DataFrame, limits: DataFrame, e_end: int) -> tuple[DataFrame, DataFrame]:
+    """The limits, and the rows with the poll at which they are ready, both written."""
+    cols = [c for c in msgs.columns if c != "release_epoch"]
     limits = materialize(limits.select("epoch", "release_limit"), "limits")
     if "release_epoch" not in msgs.columns:
         msgs = release_epochs(msgs, limits, e_end)
     order = ("ready", "topic", "partition", "offset")
-    rows = materialize(msgs.select(*cols, F.col("release_epoch").alias("ready"))
-                       .repartitionByRange(*order).sortWithinPartitions(*order), "ready")
-    before = limits.select((F.col("epoch") + 1).alias("epoch"), F.col("release_limit").alias("before"))
-    falls = materialize(limits.join(before, "epoch").filter("release_limit < before").select("epoch"), "falls")
-    start, carry, parts = 0, None, []
+    return limits, materialize(msgs.select(*cols, F.col("release_epoch").alias("ready"))
+                               .repartitionByRange(*order).sortWithinPartitions(*order), "ready")
+
+
+def _pool(rows: DataFrame, carry: DataFrame | None, start: int) -> DataFrame:
+    pool = rows.filter(F.col("ready") >= start)
+    return pool if carry is None else pool.unionByName(carry.filter("ready IS NOT NULL"))
+
+
+def _sure_from(rows: DataFrame, limits: DataFrame, batch_size: int, e_end: int, leaf: int,
+               chunk: int) -> tuple[list[DataFrame], int, DataFrame | None, DataFrame, int]:
+    """Goes through the polls up to the last unsure one. Gives the placed rows, the first
+    poll not gone through, the carried rows, the queue from that poll on, and how many
+    rows have been placed."""
+    spark = rows.sparkSession
+    cols = [c for c in rows.columns if c != "ready"]
+    start, gone, carry, parts, settled = 0, 0, None, [], None
     while True:
-        pool = rows.filter(F.col("ready") >= start)
-        if carry is not None:
-            pool = pool.unionByName(carry.filter("ready IS NOT NULL"))
-        queue = _queue(spark, pool, batch_size, start, e_end)
-        waits = queue.filter("after > 0").select((F.col("epoch") + 1).alias("epoch"))
-        cut = falls.filter(F.col("epoch") > start).join(waits, "epoch").agg(F.min("epoch")).first()[0]
-        if cut is not None:
-            pool, queue = pool.filter(F.col("ready") < cut), queue.filter(F.col("epoch") < cut)
-        done = materialize(_place(spark, pool, queue, batch_size, e_end, cut, leaf), "paced")
+        pool = _pool(rows, carry, start)
+        queue = _queue(spark, pool, limits, batch_size, start, e_end)
+        unsure = queue.filter("low AND waiting > 0")
+        if settled is None and not unsure.isEmpty():
+            settled = _settled(rows, limits, e_end)
+        if settled is not None:
+            left = F.col("settled") - F.lit(gone) - F.col("earlier") + F.col("waiting")
+            unsure = unsure.join(settled, "epoch").filter(left < batch_size)
+        first = unsure.agg(F.min("epoch").alias("cut"), F.min_by("earlier", "epoch").alias("rows")).first()
+        cut = first["cut"]
         if cut is None:
-            parts.append(done)
-            break
+            return parts, start, carry, queue, gone
+        head = queue.filter(F.col("epoch") == start).first()["n"]
+        # of the rows ready at the start, so many polls release no others than the first of them
+        polls = max(chunk // (2 * batch_size), 1) if head > chunk // 2 else e_end + 1
+        most = min(head, polls * batch_size)
+        if first["rows"] - head + most <= chunk and most <= chunk:
+            fits = F.col("earlier") + F.col("n") - F.lit(head) + F.lit(most) <= chunk
+            over = queue.filter((F.col("epoch") > start) & ~fits).agg(F.min("epoch")).first()[0]
+            cut = min(over or e_end, start + polls, start + chunk, e_end)  # the last poll drains
+            pool = pool.filter(F.col("ready") < cut)
+            done = materialize(_by_poll(spark, pool, limits, batch_size, start, cut, most if most < head else None), "paced")
+        else:
+            pool, queue = pool.filter(F.col("ready") < cut), queue.filter(F.col("epoch") < cut)
+            done = materialize(_place(spark, pool, queue, batch_size, e_end, cut, leaf), "paced")
         parts.append(done.filter(F.col("release_epoch") < cut))
+        gone += parts[-1].count()
         over = done.filter(F.col("release_epoch") >= cut).select(*cols).withColumn("arrived", F.col("arrival_epoch"))
         over = release_epochs(over.withColumn("arrival_epoch", F.lit(cut).cast("long")), limits, e_end)
         over = over.select(*[F.col("arrived").alias(c) if c == "arrival_epoch" else F.col(c) for c in cols], F.col("release_epoch").alias("ready"))
         if carry is not None:
             over = over.unionByName(carry.filter((F.col("ready") >= cut) | F.col("ready").isNull()))
         start, carry = cut, materialize(over, "carried")
-    never = rows.filter("ready IS NULL")
-    if carry is not None:
-        never = never.unionByName(carry.filter("ready IS NULL"))
-    out = never.select(*cols, F.lit(None).cast("long").alias("release_epoch"))
-    for p in parts:
-        out = out.unionByName(p.select(*cols, "release_epoch"))
-    return out
 
 
-def _queue(spark: SparkSession, pool: DataFrame, batch_size: int, start: int, e_end: int) -> DataFrame:
+def _settled(rows: DataFrame, limits: DataFrame, e_end: int) -> DataFrame:
+    """Per poll, the rows arrived by then that no limit from then on is below."""
+    back = limits.withColumn("back", F.lit(e_end) - F.col("epoch"))
+    lowest = running(back, "back", {"lowest": ("min", "release_limit")}).select("epoch", F.col("lowest").alias("release_limit"))
+    once = release_epochs(rows.drop("ready"), lowest, e_end).filter("release_epoch IS NOT NULL")
+    n = once.groupBy(F.col("release_epoch").alias("epoch")).agg(F.count(F.lit(1)).alias("n"))
+    polls = limits.select("epoch").join(n, "epoch", "left").fillna(0, ["n"])
+    return materialize(running(polls, "epoch", {"settled": ("sum", "n")}).select("epoch", "settled"), "settled")
+
+
+def _queue(spark: SparkSession, pool: DataFrame, limits: DataFrame, batch_size: int, start: int, e_end: int) -> DataFrame:
     """Of each poll from ``start`` on: rows that become ready (n), rows that wait
-    before it and after it, its busy period, and the rows ready before the poll."""
+    before it and after it, its busy period, the rows ready before the poll, and
+    whether its limit is below an earlier one (low)."""
     n = pool.groupBy(F.col("ready").alias("epoch")).agg(F.count(F.lit(1)).alias("n"))
     polls = spark.range(start, e_end + 1).withColumnRenamed("id", "epoch").join(n, "epoch", "left").fillna(0, ["n"])
-    q = running(polls, "epoch", {"total": ("sum", "n")})
+    q = running(polls.join(limits, "epoch"), "epoch", {"total": ("sum", "n")})
     q = q.withColumn("slack", F.col("total") - batch_size * (F.col("epoch") - start + 1))
-    q = running(q, "epoch", {"lowest": ("min", "slack")}, exclusive=True)
+    q = running(q, "epoch", {"lowest": ("min", "slack"), "high": ("max", "release_limit")}, exclusive=True)
     zero = F.lit(0).cast("long")
     q = q.select("epoch", "n", (F.col("total") - F.col("n")).alias("earlier"),
                  (F.col("slack") - F.col("n") + batch_size - F.least(zero, "lowest")).alias("waiting"),
-                 (F.col("slack") - F.least(zero, "lowest", "slack")).alias("after"))
+                 (F.col("slack") - F.least(zero, "lowest", "slack")).alias("after"),
+                 F.coalesce(F.col("release_limit") < F.col("high"), F.lit(False)).alias("low"))
     q = running(q.withColumn("idle", (F.col("after") == 0).cast("long")), "epoch", {"period": ("sum", "idle")}, exclusive=True)
     return materialize(q.drop("idle"), "queue")
 
 
+def _by_poll(spark: SparkSession, pool: DataFrame, limits: DataFrame, batch_size: int, start: int, cut: int, most: int | None) -> DataFrame:
+    """Rows ready before ``cut`` with their poll, from ``cut`` on if they are not served,
+    in one task. Only the first ``most`` of those ready at the start can be."""
+    rest = None
+    if most is not None:
+        at = pool.filter(F.col("ready") == start)
+        ranked = sequence_number(at, BUFFER_KEY, "rank")
+        rest = ranked.filter(F.col("rank") >= most).select(*pool.columns, F.lit(cut).cast("long").alias("release_epoch"))
+        pool = pool.filter(F.col("ready") > start).unionByName(ranked.filter(F.col("rank") < most).drop("rank"))
+    schema = T.StructType([f for f in pool.schema.fields] + [T.StructField("release_epoch", T.LongType())])
+    polls = limits.filter(F.col("epoch").between(start, cut - 1)).withColumn("of", F.lit(0))
+
+    def run(rows: pa.Table, polls: pa.Table) -> pa.Table:
+        return _take_by_poll(rows, polls, batch_size, cut)
+
+    found = pool.withColumn("group", F.lit(0)).groupBy("group").cogroup(polls.groupBy("of")).applyInArrow(run, schema)
+    return found if rest is None else found.unionByName(rest)
+
+
+def _take_by_poll(rows: pa.Table, polls: pa.Table, batch_size: int, cut: int) -> pa.Table:
+    rows = rows.sort_by([(c, "ascending") for c in BUFFER_KEY])
+    polls = polls.sort_by("epoch")
+    times = rows.column("timestamp_ms").to_pylist()
+    became: dict[int, list[int]] = {}
+    for k, ready in enumerate(rows.column("ready").to_pylist()):
+        became.setdefault(ready, []).append(k)
+    out, waiting = [cut] * len(times), []
+    for epoch, limit in zip(polls.column("epoch").to_pylist(), polls.column("release_limit").to_pylist()):
+        for k in became.get(epoch, ()):
+            heapq.heappush(waiting, k)
+        room = batch_size
+        while room and waiting and times[waiting[0]] <= limit:
+            out[heapq.heappop(waiting)] = epoch
+            room -= 1
+    return rows.drop_columns(["group"]).append_column("release_epoch", pa.array(out, pa.int64()))
+
+
 def _place(spark: SparkSession, pool: DataFrame, queue: DataFrame, batch_size: int, e_end: int, cut: int | None, leaf: int) -> DataFrame:
     """Rows of one stretch with their poll; from ``cut`` on, if they are not served."""
     busy = (F.col("waiting") > 0) | (F.col("after") > 0)

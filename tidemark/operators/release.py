@@ -167,9 +167,8 @@ def paced_counts(msgs_rel: DataFrame, limits: DataFrame, batch_size: int, spark,
     earlier = limits.select((F.col("epoch") + 1).alias("epoch"), F.col("release_limit").alias("_before"))
     falls = limits.select("epoch", "release_limit").join(earlier, "epoch").filter("release_limit < _before")
     if not falls.join(waits, "epoch").isEmpty():
-        from .paced import paced_replay
-        exact = paced_replay(msgs_rel, limits, batch_size, e_end).filter("release_epoch IS NOT NULL")
-        per = exact.groupBy(F.col("release_epoch").alias("epoch")).agg(F.count(F.lit(1)).alias("released"))
+        from .paced import paced_totals
+        per = paced_totals(msgs_rel, limits, batch_size, e_end)
         out = cum.select("epoch", "eligible_total").join(per, "epoch", "full_outer").fillna(0, ["released"])
         out = running(out.withColumn("_e", F.coalesce("eligible_total", F.lit(0))), "epoch",
                       {"_total": ("max", "_e"), "released_total": ("sum", "released")})
