@@ -64,3 +64,18 @@ def running(df: DataFrame, axis: str, columns: Mapping[str, tuple[str, str]], ex
     out = own.join(before.select(key, *[f"_before{levels}_{n}" for n in columns]), key)
     return out.select(*[c for c in df.columns if c != key], *[
         _together(fn, F.col(f"_before{levels}_{n}"), F.col(f"_own{levels}_{n}")).alias(n) for n, (fn, _) in columns.items()])
+
+
+def following(df: DataFrame, group: list[str], axis: str, out: str) -> DataFrame:
+    """Add the next larger ``axis`` value of the row's group; null in its last row.
+    ``axis`` must be unique in a group. A window over a group would move it into one
+    task; here it goes over its blocks, and the blocks' first values are looked up."""
+    block = F.shiftright(F.col(axis).cast("long"), BLOCK_BITS)
+    df = df.withColumn("_block", block)
+    own = F.lead(axis).over(Window.partitionBy(*group, "_block").orderBy(axis))
+    firsts = df.groupBy(*group, "_block").agg(F.min(axis).alias("_first"))
+    firsts = firsts.withColumn("_next", F.lead("_first").over(Window.partitionBy(*group).orderBy("_block")))
+    renamed = firsts.select(*[F.col(c).alias(f"_of_{c}") for c in (*group, "_block")], "_next")
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*group, "_block")]
+    joined = df.withColumn("_own", own).join(renamed, same, "left")
+    return joined.select(*[c for c in df.columns if c != "_block"], F.coalesce("_own", "_next").alias(out))

@@ -13,10 +13,11 @@ polls until its next change only while the partition still holds the mark.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import MAX_LIMIT, TP
+from .prefix import following
 
 
 def consumed_messages(slice_df: DataFrame) -> DataFrame:
@@ -42,9 +43,8 @@ def consumption_events(msgs: DataFrame, ranges: DataFrame) -> DataFrame:
 
 def state_intervals(events: DataFrame, e_end: int) -> DataFrame:
     """Each partition state with the polls it stays valid: [epoch, until]."""
-    w = Window.partitionBy(*TP).orderBy("epoch")
-    nxt = F.lead("epoch").over(w)
-    return events.withColumn("until", F.coalesce(nxt - 1, F.lit(e_end)).cast("long"))
+    out = following(events, TP, "epoch", "until")
+    return out.withColumn("until", F.coalesce(F.col("until") - 1, F.lit(e_end)).cast("long"))
 
 
 # Intervals up to this many polls are expanded poll by poll; longer ones are
