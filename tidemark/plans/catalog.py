@@ -27,6 +27,7 @@ from .replay import Replay
 # Fixed parameters of the registered queries.
 AS_OF_MS = 1706659200000            # 2024-01-31T00:00:00Z, never the clock
 BATCH_SIZE = 100
+STREAM_POLLS = 5_000                # polls that a micro-batch of the streams takes at most
 FINE_SCALE = 100                    # polls per poll in the many-polls variant
 ABSOLUTE_MS = 1704844800000         # 2024-01-10T00:00:00Z
 RELATIVE_MS = 20 * 86_400_000       # 20 days before AS_OF_MS
@@ -361,8 +362,8 @@ def _stream(spark, d, batch_size):
     msgs = rp.messages.select(*SLICE_COLS, "key", "value")
     archive = write_archive(msgs, f"{root}/archive")
     ranges = rp.ranges.withColumn("rows_per_poll", 10 * (F.col("partition") + 1))
-    source = read_log_stream(spark, archive, msgs.schema, ranges, f"{root}/progress")
-    return run_ordered_release(source, rp.ranges, root, batch_size)
+    source = read_log_stream(spark, archive, msgs.schema, ranges, f"{root}/progress", polls=STREAM_POLLS)
+    return run_ordered_release(source, ranges, root, batch_size, polls=STREAM_POLLS)
 
 
 def q_stream_ordered_release(spark, d):

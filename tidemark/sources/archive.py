@@ -43,16 +43,17 @@ def write_archive(log: DataFrame, path: str) -> str:
 
 
 def read_log_stream(spark: SparkSession, archive: str, schema: StructType, ranges: DataFrame, progress: str,
-                    rows_per_poll: int | None = None, stay_live: bool = False) -> DataFrame:
+                    rows_per_poll: int | None = None, stay_live: bool = False, polls: int = 1) -> DataFrame:
     """A stream of the messages in ``ranges``: topic, partition, replay_start_offset,
     replay_end_offset and, to admit so many for the partition in each poll,
-    rows_per_poll. ``rows_per_poll`` given here is for all partitions together."""
+    rows_per_poll. ``rows_per_poll`` given here is for all partitions together. A
+    micro-batch admits what so many ``polls`` do."""
     spark.dataSource.register(LogSource)
     has = "rows_per_poll" in ranges.columns
-    rows = [(r["topic"], r["partition"], r["replay_start_offset"], r["replay_end_offset"], r["rows_per_poll"] if has else None)
+    rows = [(r["topic"], r["partition"], r["replay_start_offset"], r["replay_end_offset"], r["rows_per_poll"] * polls if has else None)
             for r in ranges.sort("topic", "partition").collect()]  # one row for each partition
     return (spark.readStream.format(NAME).schema(schema).option("path", archive).option("ranges", json.dumps(rows))
-            .option("progress", progress).option("rows_per_poll", str(rows_per_poll or 0))
+            .option("progress", progress).option("rows_per_poll", str((rows_per_poll or 0) * polls))
             .option("stay_live", str(stay_live).lower()).load())
 
 

@@ -30,7 +30,7 @@ def advance_state(state: DataFrame, new_rows: DataFrame) -> DataFrame:
 
 def apply_release(state: DataFrame, released: DataFrame) -> DataFrame:
     """R8 as a merge: last released offset per partition in release order."""
-    key = F.struct("timestamp_ms", "arrival_epoch", "offset")
+    key = F.struct("release_epoch", "timestamp_ms", "arrival_epoch", "offset")
     upd = released.groupBy(*TP).agg(F.max_by("offset", key).alias("_r"))
     j = state.join(F.broadcast(upd), TP, "left")  # at most one row per partition
     got = F.col("_r").isNotNull()
