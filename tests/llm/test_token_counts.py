@@ -1,6 +1,7 @@
 import random
 
 import cases
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -110,3 +111,11 @@ def test_adjacent_tokens_are_those_bpe_leaves(a, b):
     x, y = t.vocab.ids[a.encode()], t.vocab.ids[b.encode()]
     kept = t.vocab.encoding._core_bpe.encode_single_piece((a + b).encode()) == [x, y]
     assert bool(t.adjacent(np.array([x]), np.array([y]))[0]) == kept
+
+
+def test_answers_in_one_pass_are_those_of_the_parts():
+    """Prefix counts may fall; blank runs are looked for only where two blanks meet."""
+    for step in ([], [1] * 5, [1, 1, 1, -1, 1, 1, 1], [3], [1, 2, -2, 1]):
+        x = np.array(step, "<i2").tobytes()
+        for budget in (1, 2, 3, 9):
+            assert K._totals(x, budget) == (len(step), K.count_at(x, len(step)), K.longest_prefix(x, budget))

@@ -29,6 +29,7 @@ null doc_id and repeated rows are counted each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from array import array
 from typing import Iterator
 
@@ -49,6 +50,7 @@ KEEP = 8 << 20  # of distinct words whose counts a worker keeps
 KEEP_PAIRS = 1 << 20  # of pairs of tokens known to fit or not
 WIDE = 48  # longer words go through the automaton
 _WORDS = regex.compile(PATTERN)
+_SPACES = re.compile(r"\s\s")  # two characters for which str.isspace holds
 _CUT_INSIDE = (b"'re", b"'ve", b"'ll")  # fixed values: PATTERN's words that a cut turns into two
 
 
@@ -70,7 +72,7 @@ class PrefixTable:
         flat = np.frombuffer(b"".join(names), np.uint8)
         head = np.cumsum(size) - size
         pre = self._prefix(flat)
-        h = self._hash(pre, head, size)
+        h = self._hash(pre, self._inverse(len(pre)), head, size)
         order = np.argsort(h)
         self.name, self.id = h[order], ids[order]
         self.maybe = np.zeros(1 << 18, bool)
@@ -86,8 +88,11 @@ class PrefixTable:
         return out
 
     @staticmethod
-    def _hash(pre: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
-        inv = B.powers(np.uint64(pow(int(B._BASE), -1, 1 << 64)), len(pre))
+    def _inverse(n: int) -> np.ndarray:
+        return B.powers(np.uint64(pow(int(B._BASE), -1, 1 << 64)), n)
+
+    @staticmethod
+    def _hash(pre: np.ndarray, inv: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
         return B.mix((pre[at + size] - pre[at]) * inv[at] + size.astype(np.uint64))
 
     def _token(self, h: np.ndarray) -> np.ndarray:
@@ -129,7 +134,7 @@ class PrefixTable:
         size = np.array([len(w) for w in words], np.int64)
         flat = np.frombuffer(b"".join(words), np.uint8)
         head = np.cumsum(size) - size
-        pre = self._prefix(flat)
+        pre, inv = self._prefix(flat), self._inverse(len(flat) + 1)
         count = np.zeros(len(flat), np.int32)
         last = np.zeros(len(flat), np.int64)
         by_size = np.argsort(-size, kind="stable")
@@ -140,7 +145,7 @@ class PrefixTable:
                 if not len(open_):
                     break
                 at = head[open_] + i - t
-                token = self._token(self._hash(pre, at, np.full(len(at), t)))
+                token = self._token(self._hash(pre, inv, at, np.full(len(at), t)))
                 k = np.flatnonzero(token >= 0)
                 if t < i and len(k):
                     k = k[self.adjacent(last[at[k] - 1], token[k])]
@@ -150,7 +155,8 @@ class PrefixTable:
                 keep = np.ones(len(open_), bool)
                 keep[k] = False
                 open_ = open_[keep]
-        return np.split(count, np.cumsum(size)[:-1])
+        ends = np.cumsum(size).tolist()
+        return [count[a:b] for a, b in zip([0, *ends], ends)]
 
     def _prepare(self) -> None:
         self.automaton = ahocorasick.Automaton()
@@ -220,11 +226,11 @@ class PrefixTable:
         if self.known_bytes > KEEP:
             self.known.clear()
             self.known_bytes = 0
-        for w, c in self.by_word({w for w in words if w not in self.known}):
-            if w.encode() in _CUT_INSIDE:
+        for w, c in self.by_word(words - self.known.keys()):
+            if w[0] == "'" and w.encode() in _CUT_INSIDE:
                 c = c.copy()
                 c[1] = sum(int(self.one(x.encode())[-1]) for x in ("'", w[1]))
-            self.known[w] = c.astype("<i4").tobytes()
+            self.known[w] = c.astype("<i4", copy=False).tobytes()
             self.known_bytes += len(c)
 
     def after_space(self, before: str, word: str) -> bytes:
@@ -266,7 +272,7 @@ def prefixes_of(t: PrefixTable, texts: list[str]) -> list[np.ndarray]:
     """Token count of every byte prefix of each text (len = bytes + 1)."""
     split = [_parts(t, x) for x in texts]
     words = [[[] if special else _WORDS.findall(s) for special, s in p] for p in split]
-    t.learn({w for p in words for ws in p for w in ws})
+    t.learn(set().union(*(ws for p in words for ws in p)))
     return [_prefix(t, p, ws) for p, ws in zip(split, words)]
 
 
@@ -280,7 +286,7 @@ def totals(t: PrefixTable, texts: list[str]) -> list[int]:
 
 def _prefix(t: PrefixTable, split: list[tuple[bool, str]], words: list[list[str]]) -> np.ndarray:
     known = t.known.__getitem__
-    out, base, before = [np.zeros(1, np.int64)], 0, None  # before: the word that ends here, if any
+    out, base, before = [np.zeros(1, np.int32)], 0, None  # before: the word that ends here, if any
     for (special, s), ws in zip(split, words):
         if special:
             # a prefix that ends inside is ordinary text, read on from the word before
@@ -296,12 +302,13 @@ def _prefix(t: PrefixTable, split: list[tuple[bool, str]], words: list[list[str]
         flat = np.frombuffer(b"".join(cells), "<i4")
         total = flat[np.cumsum(size) - 1].astype(np.int64)
         start = base + np.cumsum(total) - total
-        apart = [k + 1 for k, w in enumerate(ws[:-1]) if w.isspace() and ws[k + 1][0].isspace()]
+        blank = {w for w in set(ws) if w.isspace()} if _SPACES.search(s) else ()
+        apart = [k + 1 for k, w in enumerate(ws[:-1]) if w in blank and ws[k + 1][0].isspace()] if blank else ()
         if apart:
             for k in apart:
                 cells[k] = t.after_space(ws[k - 1], ws[k])
             flat = np.frombuffer(b"".join(cells), "<i4")
-        out.append(flat + np.repeat(start, size))
+        out.append(flat + np.repeat(start.astype(np.int32), size))
         base, before = int(start[-1] + total[-1]), ws[-1]
     return np.concatenate(out)
 
@@ -324,7 +331,7 @@ def _answers(budget: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells = [x.as_buffer() for x in batch.column(1)]
-            rows = [(len(x) // 2, count_at(x, len(x) // 2), longest_prefix(x, budget)) for x in cells]
+            rows = [_totals(x, budget) for x in cells]
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "n_tokens", "fit_bytes"])
 
@@ -357,6 +364,16 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return answers(stored_counts(docs, tokenizer), LIMIT).drop("fit_bytes")
 
 
+def _totals(prefix: bytes, budget: int) -> tuple[int, int, int]:
+    """Bytes, ``count_at`` their end and ``longest_prefix``, in one pass."""
+    count = np.cumsum(np.frombuffer(prefix, "<i2"), dtype=np.int32)
+    if not len(count) or count[-1] <= budget:
+        return len(count), int(count[-1]) if len(count) else 0, len(count)
+    fits = count[::-1] <= budget
+    at = int(fits.argmax())
+    return len(count), int(count[-1]), len(count) - at if fits[at] else 0
+
+
 def count_at(prefix: bytes, n_bytes: int) -> int:
     """Tokens of the first ``n_bytes`` bytes."""
     return int(np.frombuffer(prefix, "<i2")[:n_bytes].sum(dtype=np.int64))
