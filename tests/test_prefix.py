@@ -23,3 +23,13 @@ def test_running_values(spark, monkeypatch, bits, exclusive):
         want = (sum(x for _, x, _ in seen), max(ys, default=None), min((x for _, x, _ in seen), default=None),
                 seen[-1][1] if seen else None)
         assert got[e] == want
+
+
+def test_following_across_blocks(spark):
+    """The next value of the group, in its block or the first of a later one."""
+    from tidemark.operators.prefix import BLOCK_BITS, following
+    at = [0, 1, (1 << BLOCK_BITS) - 1, 1 << BLOCK_BITS, 5 << BLOCK_BITS]
+    rows = [(g, a) for g in ("x", None) for a in at] + [("y", 7)]
+    got = {(r.g, r.a): r.nxt for r in following(spark.createDataFrame(rows, "g string, a long"), ["g"], "a", "nxt").collect()}
+    want = {(g, a): n for g in ("x", None) for a, n in zip(at, [*at[1:], None])} | {("y", 7): None}
+    assert got == want

@@ -160,3 +160,23 @@ def test_mark_and_ahead_with_tree_blocks(spark, seed, monkeypatch):
         assert lim[e] == mark, f"poll {e}"
         n = sum(1 for v in state.values() if v["ts"] is not None and mark is not None and v["ts"] > mark)
         assert ahead[e] == n, f"poll {e}"
+
+
+def test_many_falls_make_few_cuts(spark):
+    """A fall in every second poll, while rows wait: one cut, not one for each fall."""
+    from tidemark.operators import paced as P
+    rows = [("a", 0, o, o, o // 4) for o in range(160)]
+    msgs = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp_ms long, arrival_epoch long")
+    lims = [(e, 4 * e + 3 - (6 if e % 2 else 0)) for e in range(40)]
+    limits = spark.createDataFrame(lims, "epoch long, release_limit long")
+    start, held, want = P._begin(msgs, limits, 39), [], {}
+    parts, *_ = P._sure_from(start[1], start[0], 2, 39, P.LEAF, P.CHUNK)
+    assert len(parts) <= 1
+    got = {r.offset: r.release_epoch for r in P.paced_replay(msgs, limits, 2, 39).collect()}
+
+    for e in range(400):
+        held += [o for o in range(4 * e, 4 * e + 4) if o < 160]
+        out = [o for o in held if o <= lims[min(e, 39)][1]][:2]
+        want |= {o: e for o in out}
+        held = [o for o in held if o not in out]
+    assert {o: e for o, e in got.items() if e is not None} == want
