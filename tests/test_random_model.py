@@ -107,6 +107,14 @@ def test_capped_exact_replay(spark, seed):
     assert spark_release(got.collect()) == expected
 
 
+@pytest.mark.parametrize("seed", [11, 43])
+def test_few_rows_go_through_all_polls_in_one_task(spark, seed):
+    ranges, polls = random_log(seed, out_of_order=0.4, max_msgs=20)
+    rp = replay_of(spark, ranges, polls, batch_size=3)
+    got = paced_replay(rp.released, rp.limits, 3, rp.last_epoch, whole=1000)
+    assert spark_release(got.collect()) == model_release(ranges, polls, 3, drain=True)
+
+
 def test_capped_counts(spark):
     # in-order timestamps, all partitions start at once: limits never decrease
     ranges, polls = random_log(21, out_of_order=0.0, null_ts=0.0, late_start=0.0, never_caught=0.0,

@@ -26,6 +26,9 @@ one task, poll by poll; a longer sure stretch before it is placed as above. Rows
 served by then are carried, with the next poll whose limit covers them; all others are
 neither read nor written again. So the number of jobs grows with the rows of the unsure
 polls / CHUNK and with log(rows of a period / LEAF), not with the polls or the falls.
+
+A caller whose rows are few by its own bound (a stream's micro-batch) says so with
+``whole``: up to so many rows then go through all polls in one task, in a few jobs.
 """
 
 from __future__ import annotations
@@ -48,12 +51,20 @@ LEAF = 1 << 17  # rows that one task places
 CHUNK = 1 << 19  # rows that one task takes through polls whose limits fall
 
 
-def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int, leaf: int = LEAF, chunk: int = CHUNK) -> DataFrame:
+def paced_replay(msgs: DataFrame, limits: DataFrame, batch_size: int, e_end: int, leaf: int = LEAF, chunk: int = CHUNK,
+                 whole: int = 0) -> DataFrame:
     """``msgs`` (arrival_epoch and buffer key; release_epoch if R5 has been run)
     with the poll that releases each row under a cap, null where none does. After
     poll ``e_end`` empty polls drain what is left (T6)."""
     spark = msgs.sparkSession
     cols = [c for c in msgs.columns if c != "release_epoch"]
+    if whole:
+        msgs = materialize(msgs if "release_epoch" in msgs.columns else release_epochs(msgs, limits, e_end), "ready")
+        if msgs.count() <= whole:
+            rows = msgs.withColumnRenamed("release_epoch", "ready")
+            done = _by_poll(spark, rows.filter("ready IS NOT NULL"), limits.select("epoch", "release_limit"), batch_size, 0, None, None)
+            never = rows.filter("ready IS NULL").select(*cols, F.lit(None).cast("long").alias("release_epoch"))
+            return done.select(*cols, "release_epoch").unionByName(never)
     limits, rows = _begin(msgs, limits, e_end)
     parts, start, carry, queue, _ = _sure_from(rows, limits, batch_size, e_end, leaf, chunk)
     parts.append(materialize(_place(spark, _pool(rows, carry, start), queue, batch_size, e_end, None, leaf), "paced"))
@@ -170,9 +181,10 @@ def _queue(spark: SparkSession, pool: DataFrame, limits: DataFrame, batch_size:
     return materialize(q.drop("idle"), "queue")
 
 
-def _by_poll(spark: SparkSession, pool: DataFrame, limits: DataFrame, batch_size: int, start: int, cut: int, most: int | None) -> DataFrame:
+def _by_poll(spark: SparkSession, pool: DataFrame, limits: DataFrame, batch_size: int, start: int, cut: int | None, most: int | None) -> DataFrame:
     """Rows ready before ``cut`` with their poll, from ``cut`` on if they are not served,
-    in one task. Only the first ``most`` of those ready at the start can be."""
+    in one task. Only the first ``most`` of those ready at the start can be. Without a cut
+    empty polls follow the last one, and rows that none releases have null."""
     rest = None
     if most is not None:
         at = pool.filter(F.col("ready") == start)
@@ -180,7 +192,7 @@ def _by_poll(spark: SparkSession, pool: DataFrame, limits: DataFrame, batch_size
         rest = ranked.filter(F.col("rank") >= most).select(*pool.columns, F.lit(cut).cast("long").alias("release_epoch"))
         pool = pool.filter(F.col("ready") > start).unionByName(ranked.filter(F.col("rank") < most).drop("rank"))
     schema = T.StructType([f for f in pool.schema.fields] + [T.StructField("release_epoch", T.LongType())])
-    polls = limits.filter(F.col("epoch").between(start, cut - 1)).withColumn("of", F.lit(0))
+    polls = limits.filter((F.col("epoch") >= start) & (F.lit(True) if cut is None else F.col("epoch") < cut)).withColumn("of", F.lit(0))
 
     def run(rows: pa.Table, polls: pa.Table) -> pa.Table:
         return _take_by_poll(rows, polls, batch_size, cut)
@@ -189,7 +201,7 @@ def _by_poll(spark: SparkSession, pool: DataFrame, limits: DataFrame, batch_size
     return found if rest is None else found.unionByName(rest)
 
 
-def _take_by_poll(rows: pa.Table, polls: pa.Table, batch_size: int, cut: int) -> pa.Table:
+def _take_by_poll(rows: pa.Table, polls: pa.Table, batch_size: int, cut: int | None) -> pa.Table:
     rows = rows.sort_by([(c, "ascending") for c in BUFFER_KEY])
     polls = polls.sort_by("epoch")
     times = rows.column("timestamp_ms").to_pylist()
@@ -197,6 +209,7 @@ def _take_by_poll(rows: pa.Table, polls: pa.Table, batch_size: int, cut: int) ->
     for k, ready in enumerate(rows.column("ready").to_pylist()):
         became.setdefault(ready, []).append(k)
     out, waiting = [cut] * len(times), []
+    epoch = limit = -1
     for epoch, limit in zip(polls.column("epoch").to_pylist(), polls.column("release_limit").to_pylist()):
         for k in became.get(epoch, ()):
             heapq.heappush(waiting, k)
@@ -204,6 +217,11 @@ def _take_by_poll(rows: pa.Table, polls: pa.Table, batch_size: int, cut: int) ->
         while room and waiting and times[waiting[0]] <= limit:
             out[heapq.heappop(waiting)] = epoch
             room -= 1
+    if cut is None:  # the last limit stays
+        n = 0
+        while waiting and times[waiting[0]] <= limit:
+            out[heapq.heappop(waiting)] = epoch + 1 + n // batch_size
+            n += 1
     return rows.drop_columns(["group"]).append_column("release_epoch", pa.array(out, pa.int64()))
 
 

@@ -30,6 +30,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.types import StructType
 
 NAME = "tidemark_log"
+GROUP_BYTES = 8 << 20  # of a row group: a poll reads those that hold its messages
 _NOWHERE = 1 << 62
 
 
@@ -38,7 +39,7 @@ def write_archive(log: DataFrame, path: str) -> str:
     is split over several tasks and files."""
     order = ("topic", "partition", "offset")
     (log.repartitionByRange(*order).sortWithinPartitions(*order)
-     .write.partitionBy("topic", "partition").parquet(path))
+     .write.option("parquet.block.size", GROUP_BYTES).partitionBy("topic", "partition").parquet(path))
     return path
 
 
